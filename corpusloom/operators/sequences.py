@@ -171,10 +171,7 @@ def trajectories(segments: DataFrame, sample: list[str]) -> DataFrame:
         ).alias("seg"),
     )
     ordered = marked.groupBy(*sample).agg(F.sort_array(F.collect_list("seg")).alias("segs"))
-    return ordered.select(
-        *sample,
-        *[F.flatten(F.transform("segs", lambda s, n=n: s[n])).alias(n) for n in ("ids", "mask", "logps")],
-    )
+    return ordered.select(*sample, *[F.flatten(F.col(f"segs.{n}")).alias(n) for n in ("ids", "mask", "logps")])
 
 
 def pack(prompt_ids: Column, response_ids: Column, response_mask: Column, logps: Column, max_len: int) -> Column:
@@ -221,10 +218,17 @@ def final_answer(turns: DataFrame, key: str, turn: str, text: str) -> DataFrame:
     return turns.groupBy(key).agg(F.max_by(text, turn).alias("final_text"))
 
 
-def call_results(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def call_results(
+    turns: DataFrame,
+    key: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    roles: tuple[str, str] = ("assistant", "tool"),
+) -> DataFrame:
     """Each assistant turn with the tool result right behind it (null when another role follows)."""
-    calls = turns.filter(F.col(role) == "assistant").select(key, turn, F.col(text).alias("call_text"))
-    results = turns.filter(F.col(role) == "tool").select(
+    calls = turns.filter(F.col(role) == roles[0]).select(key, turn, F.col(text).alias("call_text"))
+    results = turns.filter(F.col(role) == roles[1]).select(
         key, (F.col(turn) - 1).alias(turn), F.col(text).alias("result_text")
     )
     return calls.join(results, [key, turn], "left")

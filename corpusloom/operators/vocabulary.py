@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import fixed
-from corpusloom.functions.text import WS_CLASS, words
+from corpusloom.functions.text import WHITESPACE, WORD_PATTERN, WS_CLASS, words
 from corpusloom.session import ensure_checkpoint_dir
 
 
@@ -288,7 +288,7 @@ def hashed_ids(tokens: Column, size: int = fixed.VOCAB_SIZE) -> Column:
     listed = F.array(*[F.lit(t) for t in reserved])
 
     def one(token: Column) -> Column:
-        at = F.array_position(listed, token)
+        at = F.when(F.startswith(token, F.lit("<")), F.array_position(listed, token)).otherwise(F.lit(0))
         spread = F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint")
         hashed = F.lit(len(reserved)) + F.pmod(spread, F.lit(size - len(reserved)))
         return F.when(at > 0, at - 1).otherwise(hashed).cast("int")
@@ -296,7 +296,7 @@ def hashed_ids(tokens: Column, size: int = fixed.VOCAB_SIZE) -> Column:
     return F.transform(tokens, one)
 
 
-MARKED_WORDS = rf"<\|im_start\|>|<\|im_end\|>|\n|{'[\\p{L}\\p{N}_]+'}|[^\p{{L}}\p{{N}}_{WS_CLASS}]"
+MARKED_WORDS = rf"<\|im_start\|>|<\|im_end\|>|\n|{WORD_PATTERN}"
 
 
 def marked_words(text: Column) -> Column:

@@ -1,6 +1,14 @@
 """Imports every query module, which fills the registry."""
 
-from corpusloom.plans import conversation_queries  # noqa: F401
+from corpusloom.plans import (  # noqa: F401
+    conversation_queries,
+    corpus_queries,
+    report_queries,
+    response_queries,
+    sampling_queries,
+    sequence_queries,
+    stream_queries,
+)
 from corpusloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -61,13 +61,13 @@ TOKEN_COLUMNS = {
     "policy": "-value / 1e2",
     "ref": "-value / 1e2 + (event_id % 7 - 3) * 1e-2",
     "old": "-value / 1e2 + (event_id % 5 - 2) * 1e-1",
-    "value": "(event_id % 11 - 5) * 1e-1",
-    "old_value": "(event_id % 11 - 5) * 1e-1 + (event_id % 3 - 1) * 25e-2",
-    "advantage": "(event_id % 9 - 4) * 5e-1",
-    "returns": "(event_id % 13 - 6) * 2e-1",
+    "value": "(event_id % 11 - 5) / 7e1",
+    "old_value": "(event_id % 11 - 5) / 7e1 + (event_id % 3 - 1) / 3e0",
+    "advantage": "(event_id % 9 - 4) / 3e0",
+    "returns": "(event_id % 13 - 6) / 9e0",
     "mask": "CASE WHEN event_type = 'error' THEN 0 ELSE 1 END",
     "label": "CASE WHEN event_id % 4 = 0 THEN -100 ELSE CAST(event_id % 6400 AS INT) END",
-    "sequence_reward": "(user_id % 9 - 4) * 5e-1",
+    "sequence_reward": "(user_id % 9 - 4) / 3e0",
     "side": "CASE WHEN event_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END",
 }
 _COLUMNS_SQL = ", ".join(f"{v} AS {k}" for k, v in TOKEN_COLUMNS.items())

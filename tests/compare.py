@@ -39,19 +39,33 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_notes(df, cur) -> str:
+    """Columns whose types differ between the two engines."""
+    theirs = {d[0]: str(d[1]) for d in cur.description}
+    return ", ".join(
+        f"{c} {t}/{theirs[c]}" for c, t in df.dtypes if c in theirs and TYPES.get(t, t) != theirs[c]
+    )
+
+
 def compare(spark, con, name: str, folder: str, build, sql: str) -> str | None:
     """None when equal, else a short account of the difference."""
     df = build(spark, folder)
     got = rows_of(df.columns, df.collect())
     cur = con.execute(sql)
     columns = [d[0] for d in cur.description]
+    notes = type_notes(df, cur)
     want = rows_of(columns, cur.fetchall())
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
     if len(got) != len(want):
         return f"{len(got)} rows against {len(want)}"
     bad = [(g, w) for g, w in zip(got, want) if g != w]
-    return f"{len(bad)} of {len(got)} rows differ, first {bad[0]}" if bad else None
+    if bad:
+        return f"{len(bad)} of {len(got)} rows differ, first {bad[0]}"
+    return f"types {notes}" if notes else None
 
 
 def main(argv: list[str]) -> int:
