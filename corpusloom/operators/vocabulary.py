@@ -53,11 +53,21 @@ def pretokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(pretoken_pattern()), F.lit(0))
 
 
-def byte_symbols(piece: Column) -> Column:
-    """A pre-token as an array of byte letters: its UTF-8 bytes in hex, looked up pairwise."""
-    letters = F.create_map(*[F.lit(x) for b in range(256) for x in (f"{b:02X}", BYTE_LETTERS[b])])
+# Training writes a pre-token as a string with one private character per symbol, so that a merge
+# is a plain string replacement in the JVM. Symbol ids are shifted past the last ordinary plane
+# that needs surrogates, where there is room for a million of them.
+_SHIFT = 0x10000
+
+
+def _char(token_id: int) -> str:
+    return chr(_SHIFT + token_id)
+
+
+def _symbol_string(piece: Column, byte_ids: list[int]) -> Column:
+    """A pre-token as symbol characters: its UTF-8 bytes in hex, looked up one by one."""
+    table = F.array(*[F.lit(_char(i)) for i in byte_ids])
     pairs = F.regexp_extract_all(F.hex(F.encode(piece, "UTF-8")), F.lit("(..)"), F.lit(1))
-    return F.transform(pairs, lambda h: F.element_at(letters, h))
+    return F.array_join(F.transform(pairs, lambda h: F.get(table, F.conv(h, 16, 10).cast("int"))), "")
 
 
 def word_counts(rows: DataFrame, text: str) -> DataFrame:
@@ -84,25 +94,6 @@ def pair_counts(pieces: DataFrame, symbols: str = "symbols", freq: str = "freq")
     )
 
 
-def _apply_merges(merges: list[tuple[int, int, int]]):
-    """Array UDF that applies merges with pairwise disjoint symbols, left to right."""
-    table = {(a, b): c for a, b, c in merges}
-
-    def merge(ids: np.ndarray) -> list[int]:
-        out, i, n = [], 0, len(ids)
-        while i < n:
-            new = table.get((ids[i], ids[i + 1])) if i + 1 < n else None
-            out.append(int(ids[i]) if new is None else new)
-            i += 1 if new is None else 2
-        return out
-
-    @F.pandas_udf("array<int>")
-    def apply(column: pd.Series) -> pd.Series:
-        return column.map(merge)
-
-    return apply
-
-
 def _round(top: list, known: dict[str, int], tokens: list[str], room: int) -> list[tuple[int, int, int]]:
     """Merges of one round: the longest run of best pairs that sequential training would also do.
 
@@ -113,52 +104,63 @@ def _round(top: list, known: dict[str, int], tokens: list[str], room: int) -> li
     """
     merges, used = [], set()
     for row in top:
-        if len(merges) == room or row["left"] in used or row["right"] in used:
+        left, right = (ord(ch) - _SHIFT for ch in row["pair"])
+        if room <= 0 or left in used or right in used:
             break
-        used |= {row["left"], row["right"]}
-        text = tokens[row["left"]] + tokens[row["right"]]
+        used |= {left, right}
+        text = tokens[left] + tokens[right]
         old = known.get(text)
         if old is None:
             known[text] = len(tokens)
             tokens.append(text)
-        merges.append((row["left"], row["right"], known[text]))
+            room -= 1
+        merges.append((left, right, known[text]))
         if old is not None:
             break
     return merges
 
 
+def symbol_pairs(pieces: DataFrame) -> DataFrame:
+    """Frequency of adjacent symbols over (symbols, freq), symbols being one character each."""
+    s = F.col("symbols")
+    pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, F.lit(2)))
+    return pieces.select(F.explode(pairs).alias("pair"), "freq").groupBy("pair").agg(F.sum("freq").alias("freq"))
+
+
 def train_vocabulary(
-    rows: DataFrame, text: str, vocab_size: int = fixed.VOCAB_SIZE, checkpoint_every: int = 20, per_round: int = 64
+    rows: DataFrame, text: str, vocab_size: int = fixed.VOCAB_SIZE, checkpoint_every: int = 4, per_round: int = 64
 ) -> tuple[DataFrame, DataFrame]:
     """Byte-pair training; returns (tokens, merges).
 
     Reserved tokens take the first ids, the 256 byte letters follow by code point, then merges
     by frequency (ties: smaller ids first). The corpus is counted once; every round after that
-    reads only the distinct pre-token table. The driver sees ``per_round`` pairs per round and
-    the vocabulary itself. The table is written to the checkpoint folder every few rounds, which
-    also cuts the lineage.
+    reads only the distinct pre-token table, merges by string replacement and brings the
+    ``per_round`` best pairs to the driver. The table is written to the checkpoint folder every
+    few rounds, which also cuts the lineage.
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     tokens = fixed.reserved_tokens() + sorted(BYTE_LETTERS)
     known = {t: i for i, t in enumerate(tokens)}
-    reserved = set(fixed.reserved_tokens())
-    ids = F.create_map(*[x for letter in BYTE_LETTERS for x in (F.lit(letter), F.lit(known[letter]).cast("int"))])
-    counts = pretoken_counts(rows, text).filter(~F.col("piece").isin(list(reserved)))
-    pieces = counts.select(
-        F.transform(byte_symbols(F.col("piece")), lambda s: F.element_at(ids, s)).alias("symbols"), "freq"
-    ).filter(F.size("symbols") > 1).checkpoint()
+    reserved = fixed.reserved_tokens()
+    counts = pretoken_counts(rows, text).filter(~F.col("piece").isin(reserved))
+    symbols = _symbol_string(F.col("piece"), [known[letter] for letter in BYTE_LETTERS])
+    pieces = counts.select(symbols.alias("symbols"), "freq").filter(F.length("symbols") > 1)
+    # The table is small for its work, so spread it over all cores instead of by size.
+    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pieces = pieces.repartition(spread).checkpoint()
     merges: list[tuple[int, int, int]] = []
     rounds = 0
     while len(tokens) < vocab_size:
-        top = pair_counts(pieces).orderBy(F.desc("freq"), "left", "right").limit(per_round).collect()
+        top = symbol_pairs(pieces).orderBy(F.desc("freq"), "pair").limit(per_round).collect()
         done = _round(top, known, tokens, vocab_size - len(tokens))
         if not done:
             break
         merges += done
-        pieces = pieces.select(_apply_merges(done)(F.col("symbols")).alias("symbols"), "freq").filter(
-            F.size("symbols") > 1
-        )
+        merged = F.col("symbols")
+        for left, right, new in done:
+            merged = F.replace(merged, F.lit(_char(left) + _char(right)), F.lit(_char(new)))
+        pieces = pieces.select(merged.alias("symbols"), "freq").filter(F.length("symbols") > 1)
         rounds += 1
         if rounds % checkpoint_every == 0:
             pieces = pieces.checkpoint()

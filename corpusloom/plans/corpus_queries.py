@@ -132,7 +132,7 @@ def pretoken_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.pretoken_counts(_docs(spark, sf_dir), "text")
 
 
-def _trained(spark: SparkSession, sf_dir: str, size: int = 340) -> tuple[DataFrame, DataFrame]:
+def _trained(spark: SparkSession, sf_dir: str, size: int = 320) -> tuple[DataFrame, DataFrame]:
     return V.train_vocabulary(_docs(spark, sf_dir).select("text"), "text", size)
 
 

@@ -61,8 +61,8 @@ TOKEN_COLUMNS = {
     "policy": "-value / 1e2",
     "ref": "-value / 1e2 + (event_id % 7 - 3) * 1e-2",
     "old": "-value / 1e2 + (event_id % 5 - 2) * 1e-1",
-    "value": "(event_id % 11 - 5) / 7e1",
-    "old_value": "(event_id % 11 - 5) / 7e1 + (event_id % 3 - 1) / 3e0",
+    "value": "ln(event_id % 11 + 2e0) / 1e1",
+    "old_value": "ln(event_id % 11 + 2e0) / 1e1 + (event_id % 3 - 1) / 3e0",
     "advantage": "(event_id % 9 - 4) / 3e0",
     "returns": "(event_id % 13 - 6) / 9e0",
     "mask": "CASE WHEN event_type = 'error' THEN 0 ELSE 1 END",

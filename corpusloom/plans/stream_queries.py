@@ -41,10 +41,14 @@ _REQUEST = "conv_id * 1000 + turn"
 
 
 def chunked(rows: DataFrame, size: int = 12) -> DataFrame:
-    """(request_id, text) to (request_id, seq, chunk) pieces."""
+    """(request_id, text) to (request_id, seq, chunk) pieces, a null chunk at the end."""
+    n = F.ceil(F.length("text") / size).cast("int")
     pieces = F.transform(
-        F.sequence(F.lit(0), F.floor((F.greatest(F.length("text"), F.lit(1)) - 1) / size).cast("int")),
-        lambda i: F.struct(i.cast("bigint").alias("seq"), F.substring("text", i * size + 1, F.lit(size)).alias("chunk")),
+        F.sequence(F.lit(0), n),
+        lambda i: F.struct(
+            i.cast("bigint").alias("seq"),
+            F.when(i < n, F.substring("text", i * size + 1, F.lit(size))).alias("chunk"),
+        ),
     )
     return rows.select("request_id", F.inline(pieces))
 

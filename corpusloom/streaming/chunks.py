@@ -3,6 +3,7 @@ incomplete characters. The functions take a batch or a streaming DataFrame alike
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -70,42 +71,41 @@ DELTA_SCHEMA = "request_id bigint, part int, kind string, text string"
 STATE_SCHEMA = "next_seq bigint, done boolean, held string, parts int, trimming boolean, waiting string"
 
 
+def _held_tail(text: str) -> int:
+    """Length of the longest suffix that could be the start of the close tag."""
+    close = fixed.THINK_CLOSE
+    return next((n for n in range(min(len(text), len(close) - 1), 0, -1) if close.startswith(text[-n:])), 0)
+
+
 def stream_deltas(chunks: DataFrame, thinking: bool = True) -> DataFrame:
     """Deltas of each response as soon as they are certain: (request_id, part, kind, text).
 
     Streaming only. Chunks are taken in sequence order; one that arrives early waits in the
-    state until the gap closes. While thinking, a tail that may be the start of the close tag
-    is held back, so a tag cut across chunks is never shown as reasoning. The state per request is
-    that tail plus early chunks, not the response. A state with nothing to do expires after an hour.
+    state until the gap closes. A null chunk ends the response: what is held back is given out
+    and the state is dropped. While thinking, a tail that may be the start of the close tag is
+    held back, so a tag cut across chunks is never shown as reasoning. The state per request
+    is that tail plus early chunks, not the response.
     """
-    close = fixed.THINK_CLOSE
-
-    def held_tail(text: str) -> int:
-        """Length of the longest suffix that starts the close tag."""
-        return next((n for n in range(min(len(text), len(close) - 1), 0, -1) if close.startswith(text[-n:])), 0)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        import json
-
-        if state.hasTimedOut:
-            state.remove()
-            return
         next_seq, done, held, parts, trimming, waiting = (
             state.get if state.exists else (0, not thinking, "", 0, False, "{}")
         )
         early = {int(k): v for k, v in json.loads(waiting).items()}
         for frame in frames:
-            early.update(zip(frame["seq"].astype(int), frame["chunk"]))
+            early.update(zip(frame["seq"].astype(int), frame["chunk"].where(frame["chunk"].notna(), None)))
         deltas = {"reasoning": "", "content": ""}
-        while next_seq in early:
-            text = held + early.pop(next_seq)
-            held, next_seq = "", next_seq + 1
+        ended = False
+        while next_seq in early and not ended:
+            chunk = early.pop(next_seq)
+            ended = chunk is None
+            text, held, next_seq = held + (chunk or ""), "", next_seq + 1
             if not done:
-                before, tag, after = text.partition(close)
+                before, tag, after = text.partition(fixed.THINK_CLOSE)
                 if not tag:
-                    n = held_tail(text)
-                    held = text[len(text) - n :]
-                    deltas["reasoning"] += text[: len(text) - n]
+                    keep = 0 if ended else _held_tail(text)
+                    held = text[len(text) - keep :]
+                    deltas["reasoning"] += text[: len(text) - keep]
                     continue
                 deltas["reasoning"] += before
                 done, trimming, text = True, True, after
@@ -113,18 +113,19 @@ def stream_deltas(chunks: DataFrame, thinking: bool = True) -> DataFrame:
                 text = text.lstrip("\n")
                 trimming = not text
             deltas["content"] += text
-        rows = []
-        for kind, text in deltas.items():
-            if text:
-                rows.append((key[0], parts, kind, text))
-                parts += 1
-        state.update((next_seq, done, held, parts, trimming, json.dumps(early)))
-        state.setTimeoutDuration(3_600_000)
+        rows = [(kind, text) for kind, text in deltas.items() if text]
+        if ended:
+            state.remove()
+        else:
+            state.update((next_seq, done, held, parts + len(rows), trimming, json.dumps(early)))
         if rows:
-            yield pd.DataFrame(rows, columns=["request_id", "part", "kind", "text"])
+            yield pd.DataFrame(
+                [(key[0], parts + i, kind, text) for i, (kind, text) in enumerate(rows)],
+                columns=["request_id", "part", "kind", "text"],
+            )
 
     return chunks.groupBy("request_id").applyInPandasWithState(
-        update, DELTA_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout
+        update, DELTA_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
