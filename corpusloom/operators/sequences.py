@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.arrays import tail
+from corpusloom.functions.arrays import first_response_position, tail
+from corpusloom.functions.bind import let
 
 
 def number_positions(rows: DataFrame, key: str, order: str, bucket: Column) -> DataFrame:
@@ -47,14 +48,19 @@ def cut_at_end(rows: DataFrame, key: str, is_end: Column, pos: str = "pos") -> D
     return rows.join(ends, key).withColumn("mask", (F.col(pos) <= F.col("end_pos")).cast("int"))
 
 
-def reward_on_last(rows: DataFrame, key: str, reward: str, mask: str = "mask", pos: str = "pos") -> DataFrame:
-    """Add ``token_reward``: the sequence reward on the last counted token, 0 elsewhere."""
-    last = rows.groupBy(key).agg(F.max(F.when(F.col(mask) != 0, F.col(pos))).alias("_last"))
-    return (
-        rows.join(last, key)
-        .withColumn("token_reward", F.when(F.col(pos) == F.col("_last"), F.col(reward)).otherwise(F.lit(0.0)))
-        .drop("_last")
-    )
+def reward_on_last(
+    rows: DataFrame, key: str, reward: str, mask: str = "mask", pos: str = "pos", last: str | None = None
+) -> DataFrame:
+    """Add ``token_reward``: the sequence reward on the last counted token, 0 elsewhere.
+
+    ``last`` names a column that already holds that position (``end_pos`` after
+    ``cut_at_end``), which saves the aggregate.
+    """
+    placed = F.when(F.col(pos) == F.col(last or "_last"), F.col(reward)).otherwise(F.lit(0.0))
+    if last is not None:
+        return rows.withColumn("token_reward", placed)
+    found = rows.groupBy(key).agg(F.max(F.when(F.col(mask) != 0, F.col(pos))).alias("_last"))
+    return rows.join(found, key).withColumn("token_reward", placed).drop("_last")
 
 
 def next_value(rows: DataFrame, key: str, value: str, alias: str, pos: str = "pos") -> DataFrame:
@@ -63,51 +69,69 @@ def next_value(rows: DataFrame, key: str, value: str, alias: str, pos: str = "po
     return rows.join(later, [key, pos], "left")
 
 
-def backward_recurrence(
-    rows: DataFrame, key: str, add: str, factor: str, pos: str = "pos", block: int = 128, levels: int = 2
-) -> DataFrame:
-    """Solve ``x[t] = add[t] + factor[t] * x[t+1]`` along each sequence; returns (key, pos, x).
+def _blocks(rows: DataFrame, key: str, pos: str, columns: dict[str, Column], block: int | None) -> DataFrame:
+    """(key, _block, _items): consecutive positions gathered in order, ``block`` at a time."""
+    group = F.lit(0) if block is None else F.floor(F.col(pos) / F.lit(block))
+    item = F.struct(F.col(pos).cast("bigint").alias("pos"), *[c.alias(n) for n, c in columns.items()])
+    return rows.groupBy(F.col(key), group.cast("bigint").alias("_block")).agg(
+        F.sort_array(F.collect_list(item)).alias("_items")
+    )
+
+
+def _from_next_block(blocks: DataFrame, key: str, value: Column, alias: str) -> DataFrame:
+    """Add a value of the block behind; null for the last block."""
+    behind = blocks.select(key, (F.col("_block") - 1).alias("_block"), value.alias(alias))
+    return blocks.join(behind, [key, "_block"], "left")
+
+
+def _solve(blocks: DataFrame, key: str, add, factor, block: int, levels: int) -> DataFrame:
+    """Add ``_carry``: the solution at the first position of the block behind, 0 at the end.
 
-    Linear recurrences compose, so a block of consecutive positions acts on what follows it
-    like one step. Each block is folded to such a step, the shorter sequence of steps is solved
-    the same way, and the result enters the block as its boundary value. With ``levels`` = 2
-    and blocks of 128, the longest array any task sees is a block or 1/16384 of a sequence.
+    ``add`` and ``factor`` give the terms of an item. Linear recurrences compose, so a block
+    acts on what follows it like one step; the shorter sequence of steps is solved the same way.
     """
-    item = F.struct(F.col(pos).alias("pos"), F.col(add).alias("add"), F.col(factor).alias("factor"))
-    group = F.floor(F.col(pos) / F.lit(block)).cast("bigint") if levels > 0 else F.lit(0).cast("bigint")
-    blocks = rows.groupBy(F.col(key), group.alias("_block")).agg(
-        F.reverse(F.sort_array(F.collect_list(item))).alias("_items")
+    folded = F.aggregate(
+        F.reverse("_items"),
+        F.struct(F.lit(0.0).alias("x"), F.lit(1.0).alias("f")),
+        lambda s, it: F.struct((add(it) + factor(it) * s["x"]).alias("x"), (factor(it) * s["f"]).alias("f")),
     )
-    if levels > 0:
-        folded = F.aggregate(
-            "_items",
-            F.struct(F.lit(0.0).alias("x"), F.lit(1.0).alias("f")),
-            lambda s, it: F.struct(
-                (it["add"] + it["factor"] * s["x"]).alias("x"), (it["factor"] * s["f"]).alias("f")
-            ),
-        )
-        steps = blocks.select(key, F.col("_block"), folded.alias("_s")).select(
-            key, F.col("_block").alias("pos"), F.col("_s.x").alias("add"), F.col("_s.f").alias("factor")
-        )
-        solved = backward_recurrence(steps, key, "add", "factor", "pos", block, levels - 1)
-        boundary = solved.select(key, (F.col("pos") - 1).alias("_block"), F.col("x").alias("_carry"))
-        blocks = blocks.join(boundary, [key, "_block"], "left")
+    steps = blocks.select(key, F.col("_block").alias("pos"), folded.alias("_s"))
+    columns = {"add": F.col("_s.x"), "factor": F.col("_s.f")}
+    upper = _blocks(steps, key, "pos", columns, block if levels > 1 else None)
+    inner = (lambda it: it["add"]), (lambda it: it["factor"])
+    if levels > 1:
+        upper = _solve(upper, key, *inner, block, levels - 1)
     else:
-        blocks = blocks.withColumn("_carry", F.lit(None).cast("double"))
-    start = F.struct(
-        F.coalesce("_carry", F.lit(0.0)).alias("x"),
-        F.array().cast("array<struct<pos:bigint,x:double>>").alias("out"),
+        upper = upper.withColumn("_carry", F.lit(0.0))
+    solved = upper.select(key, F.inline(_unfold(*inner))).select(
+        key, (F.col("item.pos") - 1).alias("_block"), F.col("x").alias("_carry")
     )
+    return blocks.join(solved, [key, "_block"], "left").withColumn("_carry", F.coalesce("_carry", F.lit(0.0)))
+
+
+def _unfold(add, factor) -> Column:
+    """Array of (item, x) of a block, from the last position to the first."""
+    start = F.struct(F.col("_carry").alias("x"), F.transform(F.slice("_items", 1, 0), lambda _: F.lit(0.0)).alias("xs"))
 
     def step(s: Column, it: Column) -> Column:
-        x = it["add"] + it["factor"] * s["x"]
-        return F.struct(
-            x.alias("x"),
-            F.array_append(s["out"], F.struct(it["pos"].cast("bigint").alias("pos"), x.alias("x"))).alias("out"),
-        )
+        return let(add(it) + factor(it) * s["x"], lambda x: F.struct(x.alias("x"), F.array_append(s["xs"], x).alias("xs")))
 
-    out = F.aggregate("_items", start, step, lambda s: s["out"])
-    return blocks.select(key, F.inline(out)).select(key, F.col("pos").alias(pos), "x")
+    xs = F.aggregate(F.reverse("_items"), start, step, lambda s: s["xs"])
+    return F.arrays_zip(F.reverse("_items").alias("item"), xs.alias("x"))
+
+
+def backward_recurrence(
+    rows: DataFrame, key: str, add: str, factor: str, pos: str = "pos", block: int = 128, levels: int = 2
+) -> DataFrame:
+    """Solve ``x[t] = add[t] + factor[t] * x[t+1]`` along each sequence; returns (key, pos, x).
+
+    With two levels and blocks of 128, the longest array a task sees is a block or 1/16384 of
+    a sequence, and the joins are between tables of blocks, not of rows.
+    """
+    blocks = _blocks(rows, key, pos, {"add": F.col(add), "factor": F.col(factor)}, block)
+    terms = (lambda it: it["add"]), (lambda it: it["factor"])
+    solved = _solve(blocks, key, *terms, block, levels)
+    return solved.select(key, F.inline(_unfold(*terms))).select(key, F.col("item.pos").alias(pos), "x")
 
 
 def gae(
@@ -119,16 +143,36 @@ def gae(
     lam: float = 0.95,
     pos: str = "pos",
     block: int = 128,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Add ``advantage`` and ``returns`` by generalised advantage estimation.
+    """Advantages and returns by generalised advantage estimation.
 
-    The step error uses the value one position later, 0 behind the end of the sequence.
+    Returns (key, pos, …keep, value, advantage, returns); ``keep`` names further row columns to
+    carry along. Rows are shuffled once, into blocks; the value one position later comes from
+    the block itself or, for its last position, from the block behind (0 at the end).
     """
-    ahead = next_value(rows, key, value, "_next", pos)
-    error = F.col(reward) + F.lit(float(gamma)) * F.coalesce("_next", F.lit(0.0)) - F.col(value)
-    steps = ahead.select(key, pos, error.alias("add"), F.lit(float(gamma * lam)).alias("factor"))
-    solved = backward_recurrence(steps, key, "add", "factor", pos, block).withColumnRenamed("x", "advantage")
-    return rows.join(solved, [key, pos]).withColumn("returns", F.col("advantage") + F.col(value))
+    columns = {"reward": F.col(reward), "value": F.col(value), **{c: F.col(c) for c in keep}}
+    blocks = _from_next_block(
+        _blocks(rows, key, pos, columns, block), key, F.get("_items", F.lit(0))["value"], "_next"
+    )
+    last = F.size("_items") - 1
+
+    def with_error(it: Column, i: Column) -> Column:
+        ahead = F.when(i < last, F.get("_items", i + 1)["value"]).otherwise(F.coalesce("_next", F.lit(0.0)))
+        error = it["reward"] + F.lit(float(gamma)) * ahead - it["value"]
+        return F.struct(it["pos"].alias("pos"), it["value"].alias("value"), error.alias("error"), *[it[c].alias(c) for c in keep])
+
+    ready = blocks.select(key, "_block", F.transform("_items", with_error).alias("_items"))
+    terms = (lambda it: it["error"]), (lambda it: F.lit(float(gamma * lam)))
+    out = _solve(ready, key, *terms, block, 2).select(key, F.inline(_unfold(*terms)))
+    return out.select(
+        key,
+        F.col("item.pos").alias(pos),
+        *[F.col(f"item.{c}").alias(c) for c in keep],
+        F.col("item.value").alias(value),
+        F.col("x").alias("advantage"),
+        (F.col("x") + F.col("item.value")).alias("returns"),
+    )
 
 
 def gae_array(rewards: Column, values: Column, gamma: float = 1.0, lam: float = 0.95) -> Column:
@@ -180,9 +224,6 @@ def pack(prompt_ids: Column, response_ids: Column, response_mask: Column, logps:
     Log-probabilities belong to predicted tokens, so there is one fewer than tokens. The last
     field is the index of the first response token.
     """
-    from corpusloom.functions.arrays import first_response_position
-    from corpusloom.functions.bind import let
-
     ids = F.concat(prompt_ids, response_ids)
     mask = F.concat(F.transform(prompt_ids, lambda _: F.lit(0).cast("int")), response_mask)
     lead = F.array_repeat(F.lit(0.0), F.greatest(F.size(prompt_ids) - 1, F.lit(0)))

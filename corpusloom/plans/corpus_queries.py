@@ -10,12 +10,18 @@ from corpusloom.operators import corpus as C
 from corpusloom.operators import vocabulary as V
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.registry import query, table
+from corpusloom.sources.readers import spread
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts for queries that take them apart, spread over the cores."""
+    return spread(_docs(spark, sf_dir).select("doc_id", "lang", "text"))
+
+
 @query(f"SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY {S.strip('text')}")
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First row of each distinct text, with the size of its group of copies."""
@@ -42,12 +48,12 @@ _HITS = f"""d AS ({_windows("documents", "doc_id")}), b AS (SELECT DISTINCT g FR
 @query(f"WITH {_HITS} SELECT DISTINCT doc_id FROM d WHERE g IN (SELECT g FROM b)")
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share an 8-word window with the benchmark."""
-    return C.overlapping(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "text", "text")
+    return C.overlapping(_texts(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "text", "text")
 
 
 @query(f"WITH {_HITS} SELECT lang, count(*) AS n_clean FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM d WHERE g IN (SELECT g FROM b)) GROUP BY lang")
 def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _docs(spark, sf_dir).select("doc_id", "text", "lang")
+    rows = _texts(spark, sf_dir)
     clean = C.without_overlap(rows, table(spark, sf_dir, "benchmark"), "doc_id", "text", "text")
     return clean.groupBy("lang").agg(F.count(F.lit(1)).alias("n_clean"))
 
@@ -101,13 +107,13 @@ def lang_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE len({S.words("text")}) > 0 GROUP BY lang""")
 def compression_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of the characters-per-token ratios, words as tokens."""
-    made = C.compression(_docs(spark, sf_dir), "text", F.size(words(F.col("text"))), "lang")
+    made = C.compression(_texts(spark, sf_dir), "text", F.size(words(F.col("text"))), "lang")
     return made.select("lang", "n_rows", F.round("chars_per_token", 6).alias("chars_per_token"))
 
 
 @query(f"SELECT word, count(*) AS freq FROM (SELECT unnest({S.words('text')}) AS word FROM documents) GROUP BY word")
 def word_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.word_counts(_docs(spark, sf_dir), "text")
+    return V.word_counts(_texts(spark, sf_dir), "text")
 
 
 _WORD_FREQ = f"f AS (SELECT word, count(*) AS freq FROM (SELECT unnest({S.words('text')}) AS word FROM documents) GROUP BY word)"
@@ -117,7 +123,7 @@ _WORD_FREQ = f"f AS (SELECT word, count(*) AS freq FROM (SELECT unnest({S.words(
 SELECT substr(pair, 1, 1) AS "left", substr(pair, 2, 1) AS "right", CAST(sum(freq) AS BIGINT) AS freq FROM p GROUP BY 1, 2""")
 def pair_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacent letter pairs, counted over the distinct words."""
-    counted = V.word_counts(_docs(spark, sf_dir), "text").withColumn("symbols", F.split("word", ""))
+    counted = V.word_counts(_texts(spark, sf_dir), "text").withColumn("symbols", F.split("word", ""))
     return V.pair_counts(counted)
 
 
@@ -129,11 +135,11 @@ _PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{S.WS_CLASS}\p{{L
 p AS (SELECT unnest(regexp_extract_all(t, '{_PIECES}')) AS piece FROM m) SELECT piece, count(*) AS freq FROM p GROUP BY piece""")
 def pretoken_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pre-token frequencies; joined again they give the text."""
-    return V.pretoken_counts(_docs(spark, sf_dir), "text")
+    return V.pretoken_counts(_texts(spark, sf_dir), "text")
 
 
 def _trained(spark: SparkSession, sf_dir: str, size: int = 320) -> tuple[DataFrame, DataFrame]:
-    return V.train_vocabulary(_docs(spark, sf_dir).select("text"), "text", size)
+    return V.train_vocabulary(_texts(spark, sf_dir), "text", size)
 
 
 @query()
@@ -146,7 +152,7 @@ def vocab_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that encode and decode to themselves under a trained vocabulary."""
     encoder = V.Encoder(*_trained(spark, sf_dir))
-    return V.round_trip(_docs(spark, sf_dir), "text", encoder).select("n_rows", "n_same")
+    return V.round_trip(_texts(spark, sf_dir), "text", encoder).select("n_rows", "n_same")
 
 
 @query(f"""SELECT lang, round(exp(avg(length(text) * 1e-3)), 6) AS perplexity,

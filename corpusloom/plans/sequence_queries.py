@@ -18,6 +18,7 @@ from corpusloom.plans import sqltext as S
 from corpusloom.plans.conversation_queries import _PIECE, nested
 from corpusloom.plans.derived import RESPONSES_SQL, TOKENS_SQL, loose_tokens, responses, tokens
 from corpusloom.plans.registry import query, table
+from corpusloom.sources.readers import spread
 
 # --- arrays ------------------------------------------------------------------------------------
 
@@ -41,8 +42,9 @@ f AS (SELECT doc_id, len(ids) + 2 AS n_real, list_resize(list_concat([1::BIGINT]
 SELECT doc_id, n_real, {_digest_sql("ids")} AS ids_md5, {_digest_sql("list_transform(ids, lambda i: CASE WHEN i = 0 THEN -100 ELSE i END)")} AS labels_md5 FROM f""")
 def frame_pad_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain-text samples: cut, framed, padded to 128, labels without padding."""
-    ids = A.head(hashed_ids(words(F.col("text"))), 126)
-    rows = table(spark, sf_dir, "documents").select("doc_id", A.frame(ids).alias("framed"))
+    ids = hashed_ids(A.head(words(F.col("text")), 126))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = docs.select("doc_id", A.frame(ids).alias("framed"))
     padded = rows.select("doc_id", F.size("framed").cast("bigint").alias("n_real"), A.pad_right(F.col("framed"), 128).alias("ids"))
     return padded.select(
         "doc_id", "n_real", digest(F.col("ids")).alias("ids_md5"), digest(A.labels_from_ids(F.col("ids"))).alias("labels_md5")
@@ -213,7 +215,7 @@ a AS (SELECT x.sample_id, x.pos, x.value, sum(pow(95e-2, y.pos - x.pos) * y.delt
 SELECT sample_id, pos, round(advantage, 6) AS advantage, round(advantage + value, 6) AS returns FROM a""")
 def gae(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advantages and returns along each sequence."""
-    placed = Q.reward_on_last(_cut(spark, sf_dir), "sample_id", "sequence_reward")
+    placed = Q.reward_on_last(_cut(spark, sf_dir), "sample_id", "sequence_reward", last="end_pos")
     rows = placed.select("sample_id", "pos", "token_reward", "value")
     return Q.gae(rows, "sample_id").select(
         "sample_id", "pos", F.round("advantage", 6).alias("advantage"), F.round("returns", 6).alias("returns")
