@@ -17,7 +17,8 @@ def is_json(text: Column) -> Column:
     characters an error. Null text gives false.
     """
     wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    return F.coalesce(F.json_array_length(wrapped) == 1, F.lit(False))
+    values = F.from_json(wrapped, "array<string>", {"allowSingleQuotes": "false"})
+    return F.coalesce(F.size(values) == 1, F.lit(False))
 
 
 def is_json_object(text: Column) -> Column:

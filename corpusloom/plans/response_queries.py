@@ -192,11 +192,11 @@ def reward_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _expected() -> Column:
     turn = F.col("turn").cast("string")
     return F.array(
-        F.left("text", F.lit(5)), F.upper(F.left("text", F.lit(5))), F.lit("1234"), F.lit(" -7.50 "), F.lit("99999"), turn, F.lit("1234")
+        F.left("text", F.lit(5)), F.lower(F.left("text", F.lit(5))), F.lit("1234"), F.lit(" -7.50 "), F.lit("99999"), turn, F.lit("1234")
     )
 
 
-_EXPECTED = "[left(text, 5), upper(left(text, 5)), '1234', ' -7.50 ', '99999', CAST(turn AS VARCHAR), '1234']"
+_EXPECTED = "[left(text, 5), lower(left(text, 5)), '1234', ' -7.50 ', '99999', CAST(turn AS VARCHAR), '1234']"
 _NUM = r"[-+]?\p{Nd}+(?:\.\p{Nd}+)?"
 
 

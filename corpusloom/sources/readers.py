@@ -62,7 +62,10 @@ def read_tolerant(
             .orderBy("_file", "_block", "_row")
             .limit(first_lines)
         )
-    clean = F.replace(F.col("value"), F.lit("\ufffd"), F.lit(""))
+    value = F.col("value")
+    clean = F.when(F.is_valid_utf8(value), value).otherwise(
+        F.replace(F.make_valid_utf8(value), F.lit("\ufffd"), F.lit(""))
+    )
     schema = T.StructType(list(SCHEMAS[kind].fields) + [T.StructField("_bad", T.StringType())])
     parsed = lines.select(
         F.from_json(
