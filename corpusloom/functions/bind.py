@@ -15,3 +15,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     element; a one-element ``transform`` turns the value into a lambda variable instead.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def keep_if(row: Column, test: Callable[[Column], Column]) -> Column:
+    """Generator that gives the fields of a struct as columns when they pass, and no row otherwise.
+
+    A plain ``filter`` on a computed column is pushed below its projection, which computes the
+    column twice: once to test it, once to return it.
+    """
+    return F.inline(F.filter(F.array(row), test))

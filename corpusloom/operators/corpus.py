@@ -10,13 +10,17 @@ from corpusloom.functions.text import ngrams, strip, words
 
 
 def drop_exact_copies(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Keep the row with the smallest key of each distinct (stripped) text.
+    """Keep the row with the smallest key of each distinct (stripped) text; null texts stay.
 
-    Only (hash, key) is shuffled, with partial minimums first, so a text copied a billion times
-    reaches its reducer as one row per map task. The kept keys are then a semi-join filter.
+    Texts never travel. (hash, key) pairs are reduced to the smallest key of each repeated
+    hash, with partial minimums first, so a text copied a billion times reaches its reducer as
+    one row per map task. The keys of the later copies are then an anti-join filter: Spark
+    broadcasts them when they are few and splits a hot partition when they are not.
     """
-    kept = rows.groupBy(F.sha2(strip(F.col(text)), 256).alias("_h")).agg(F.min(key).alias(key)).select(key)
-    return rows.join(kept, key, "left_semi")
+    hashed = rows.select(key, F.sha2(strip(F.col(text)), 256).alias("_h"))
+    repeated = hashed.groupBy("_h").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    later = hashed.join(repeated.select("_h", "_first"), "_h").filter(F.col(key) != F.col("_first")).select(key)
+    return rows.join(later, key, "left_anti")
 
 
 def licensed(rows: DataFrame, licences: DataFrame, allowed: list[str], source: str = "source") -> DataFrame:

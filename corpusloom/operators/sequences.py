@@ -78,12 +78,6 @@ def _blocks(rows: DataFrame, key: str, pos: str, columns: dict[str, Column], blo
     )
 
 
-def _from_next_block(blocks: DataFrame, key: str, value: Column, alias: str) -> DataFrame:
-    """Add a value of the block behind; null for the last block."""
-    behind = blocks.select(key, (F.col("_block") - 1).alias("_block"), value.alias(alias))
-    return blocks.join(behind, [key, "_block"], "left")
-
-
 def _solve(blocks: DataFrame, key: str, add, factor, block: int, levels: int) -> DataFrame:
     """Add ``_carry``: the solution at the first position of the block behind, 0 at the end.
 
@@ -148,21 +142,27 @@ def gae(
     """Advantages and returns by generalised advantage estimation.
 
     Returns (key, pos, …keep, value, advantage, returns); ``keep`` names further row columns to
-    carry along. Rows are shuffled once, into blocks; the value one position later comes from
-    the block itself or, for its last position, from the block behind (0 at the end).
+    carry along. Rows are shuffled once, into blocks; the value one position later is 0 at the
+    end of the sequence.
     """
     columns = {"reward": F.col(reward), "value": F.col(value), **{c: F.col(c) for c in keep}}
-    blocks = _from_next_block(
-        _blocks(rows, key, pos, columns, block), key, F.get("_items", F.lit(0))["value"], "_next"
+    # The first row of a block also goes to the block before it, whose last row needs its value.
+    own = F.floor(F.col(pos) / F.lit(block)).cast("bigint")
+    homes = F.when((F.col(pos) % block == 0) & (F.col(pos) > 0), F.array(own, own - 1)).otherwise(F.array(own))
+    item = F.struct(F.col(pos).cast("bigint").alias("pos"), *[c.alias(n) for n, c in columns.items()])
+    blocks = (
+        rows.select(key, F.explode(homes).alias("_block"), item.alias("_item"))
+        .groupBy(key, "_block")
+        .agg(F.sort_array(F.collect_list("_item")).alias("_rows"))
     )
-    last = F.size("_items") - 1
+    inside = F.filter("_rows", lambda it: it["pos"] < (F.col("_block") + 1) * block)
 
     def with_error(it: Column, i: Column) -> Column:
-        ahead = F.when(i < last, F.get("_items", i + 1)["value"]).otherwise(F.coalesce("_next", F.lit(0.0)))
+        ahead = F.coalesce(F.get("_rows", i + 1)["value"], F.lit(0.0))
         error = it["reward"] + F.lit(float(gamma)) * ahead - it["value"]
         return F.struct(it["pos"].alias("pos"), it["value"].alias("value"), error.alias("error"), *[it[c].alias(c) for c in keep])
 
-    ready = blocks.select(key, "_block", F.transform("_items", with_error).alias("_items"))
+    ready = blocks.select(key, "_block", F.transform(inside, with_error).alias("_items"))
     terms = (lambda it: it["error"]), (lambda it: F.lit(float(gamma * lam)))
     out = _solve(ready, key, *terms, block, 2).select(key, F.inline(_unfold(*terms)))
     return out.select(

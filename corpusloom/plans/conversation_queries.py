@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
+from corpusloom.functions.bind import keep_if
 from corpusloom.functions.text import repeat_fraction
 from corpusloom.operators import messages as M
 from corpusloom.operators.render import render, reparse
@@ -68,8 +69,13 @@ def training_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grouping, system augmentation, rendering, length band and repeated-trigram share."""
     rows = nested(spark, sf_dir).withColumn("conversations", M.add_system_prompt(conv(), F.col("conv_id")))
     return (
-        rows.select("conv_id", F.size(conv()).cast("bigint").alias("n_turns"), render(conv()).alias("rendered"))
-        .filter(M.stripped_between(F.col("rendered"), 100, 20000))
+        rows.select(
+            "conv_id",
+            F.size(conv()).cast("bigint").alias("n_turns"),
+            keep_if(
+                F.struct(render(conv()).alias("rendered")), lambda r: M.stripped_between(r["rendered"], 100, 20000)
+            ),
+        )
         .select(
             "conv_id",
             "n_turns",
@@ -138,7 +144,8 @@ def conv_history_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH t AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE length(text) > 0) AS t
  FROM conversations GROUP BY conv_id) SELECT conv_id, length(t) AS n_chars, md5(t) AS text_md5 FROM t WHERE t IS NOT NULL""")
 def conv_corpus_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = nested(spark, sf_dir).select("conv_id", M.corpus_text(conv()).alias("t")).filter("t is not null")
+    text = F.struct(M.corpus_text(conv()).alias("t"))
+    rows = nested(spark, sf_dir).select("conv_id", keep_if(text, lambda r: r["t"].isNotNull()))
     return rows.select("conv_id", F.length("t").cast("bigint").alias("n_chars"), F.md5("t").alias("text_md5"))
 
 

@@ -22,15 +22,12 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(_docs(spark, sf_dir).select("doc_id", "lang", "text"))
 
 
-@query(f"SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY {S.strip('text')}")
+@query(f"""WITH k AS (SELECT min(doc_id) AS doc_id FROM documents GROUP BY {S.strip('text')})
+SELECT d.doc_id, lang, md5(text) AS text_md5 FROM documents d JOIN k ON d.doc_id = k.doc_id""")
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First row of each distinct text, with the size of its group of copies."""
-    rows = _docs(spark, sf_dir).select("doc_id", "text")
-    kept = C.drop_exact_copies(rows, "doc_id", "text").select("doc_id")
-    sizes = rows.groupBy(F.sha2(F.btrim("text", F.lit(V.WHITESPACE)), 256)).agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")
-    )
-    return kept.join(sizes, "doc_id").select("doc_id", "copies")
+    """First row of each distinct text."""
+    kept = C.drop_exact_copies(_docs(spark, sf_dir).select("doc_id", "lang", "text"), "doc_id", "text")
+    return kept.select("doc_id", "lang", F.md5("text").alias("text_md5"))
 
 
 _W8 = "concat_ws(' ', w[i], w[i+1], w[i+2], w[i+3], w[i+4], w[i+5], w[i+6], w[i+7])"

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import fixed
+from corpusloom.functions.bind import keep_if
 
 MESSAGE = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("role", "content", "reasoning_content", "tools", "tool_calls")]
@@ -67,15 +68,14 @@ def read_tolerant(
         F.replace(F.make_valid_utf8(value), F.lit("\ufffd"), F.lit(""))
     )
     schema = T.StructType(list(SCHEMAS[kind].fields) + [T.StructField("_bad", T.StringType())])
-    parsed = lines.select(
-        F.from_json(
-            clean, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-        ).alias("row"),
-        F.col("value").alias("line"),
-    )
-    bad = F.col("row").isNull() | F.col("row._bad").isNotNull()
-    good_rows = parsed.filter(~bad).select(*[F.col(f"row.{f.name}") for f in SCHEMAS[kind].fields])
-    return good_rows, parsed.filter(bad).select("line")
+    row = F.from_json(clean, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+
+    def broken(r: Column) -> Column:
+        return r.isNull() | r["_bad"].isNotNull()
+
+    good_rows = lines.select(keep_if(row, lambda r: ~broken(r))).drop("_bad")
+    bad_lines = lines.filter(broken(row)).select(value.alias("line"))
+    return good_rows, bad_lines
 
 
 def registry(spark: SparkSession) -> DataFrame:
