@@ -24,3 +24,12 @@ def keep_if(row: Column, test: Callable[[Column], Column]) -> Column:
     column twice: once to test it, once to return it.
     """
     return F.inline(F.filter(F.array(row), test))
+
+
+def computed(**columns: Column) -> Column:
+    """Generator that gives the named columns, computed once, as plain attributes.
+
+    The optimiser does not merge projections across a generator. Put one in front of a Python
+    function whose input is a large expression, so that the expression stays out of its call.
+    """
+    return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))

@@ -12,10 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusloom.functions import fixed
 from corpusloom.functions.text import WHITESPACE, WORD_PATTERN, WS_CLASS, words
@@ -31,6 +29,7 @@ def _byte_letters() -> list[str]:
 
 
 BYTE_LETTERS = _byte_letters()
+_RESERVED = frozenset(fixed.reserved_tokens())
 
 
 def _special() -> str:
@@ -176,6 +175,24 @@ def _vocabulary_tables(spark: SparkSession, tokens: list[str], merges: list[tupl
     return vocabulary, spark.createDataFrame(ranked, "rank int, left string, right string")
 
 
+def base_vocabulary(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """Reserved tokens and byte letters without any merge: one token per byte."""
+    return _vocabulary_tables(spark, fixed.reserved_tokens() + sorted(BYTE_LETTERS), [])
+
+
+def _encode_piece(piece: str, ids: dict[str, int], ranks: dict[tuple[str, str], int]) -> list[int]:
+    """Token ids of one pre-token: the best-ranked adjacent pair is joined until none is left."""
+    if piece in _RESERVED:
+        return [ids[piece]]
+    parts = [BYTE_LETTERS[b] for b in piece.encode("utf-8")]
+    while len(parts) > 1:
+        rank, at = min((ranks.get(pair, len(ranks)), i) for i, pair in enumerate(zip(parts, parts[1:])))
+        if rank == len(ranks):
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ids[p] for p in parts]
+
+
 class Encoder:
     """A trained vocabulary on the driver, for building encode and decode columns.
 
@@ -192,32 +209,28 @@ class Encoder:
         self.special = {r["token_id"] for r in tokens if r["special"]}
         self.ranks = {(r["left"], r["right"]): r["rank"] for r in ranks}
 
+    def _piece_ids(self, piece: str) -> list[int]:
+        return _encode_piece(piece, self.ids, self.ranks)
+
+    def reply_marks(self) -> tuple[list[int], list[int]]:
+        """Token ids of a reply's opener and closer."""
+        opener = [fixed.START, "assistant", "\n"]
+        closer = [fixed.END, "\n"]
+        return tuple([i for piece in mark for i in self._piece_ids(piece)] for mark in (opener, closer))
+
     def encode(self, text: Column) -> Column:
         """Token ids of a text. Pre-tokens are cut in the JVM; Python sees arrays of them."""
         return self._encode_pieces(pretokens(text))
 
     def _encode_pieces(self, pieces: Column) -> Column:
-        ids, ranks, reserved = self.ids, self.ranks, set(fixed.reserved_tokens())
-        letters = BYTE_LETTERS
-
-        def one(piece: str) -> list[int]:
-            if piece in reserved:
-                return [ids[piece]]
-            parts = [letters[b] for b in piece.encode("utf-8")]
-            while len(parts) > 1:
-                ranked = [(ranks.get(p, len(ranks)), i) for i, p in enumerate(zip(parts, parts[1:]))]
-                rank, at = min(ranked)
-                if rank == len(ranks):
-                    break
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            return [ids[p] for p in parts]
+        ids, ranks = self.ids, self.ranks
 
         def batch_ids(column: pd.Series) -> pd.Series:
             sizes = column.map(len).to_numpy()
             if sizes.sum() == 0:
                 return pd.Series([np.empty(0, np.int32)] * len(column), index=column.index)
             codes, distinct = pd.factorize(np.concatenate(column.to_numpy()))
-            encoded = [np.asarray(one(p), dtype=np.int32) for p in distinct]
+            encoded = [np.asarray(_encode_piece(p, ids, ranks), dtype=np.int32) for p in distinct]
             bounds = np.cumsum(sizes)[:-1]
             return pd.Series(
                 [
@@ -284,8 +297,6 @@ def round_trip(rows: DataFrame, text: str, encoder: Encoder) -> DataFrame:
 def hashed_ids(tokens: Column, size: int = fixed.VOCAB_SIZE) -> Column:
     """Word ids without a trained vocabulary: reserved markers keep their id, every other token gets
     a hash-derived id behind the reserved range."""
-    from corpusloom.functions.draws import draw_int
-
     reserved = fixed.reserved_tokens()
     listed = F.array(*[F.lit(t) for t in reserved])
 

@@ -3,6 +3,7 @@
 from corpusloom.plans import (  # noqa: F401
     conversation_queries,
     corpus_queries,
+    job_queries,
     report_queries,
     response_queries,
     sampling_queries,
