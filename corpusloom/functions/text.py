@@ -105,10 +105,12 @@ def ngrams(tokens: Column, n: int) -> Column:
 
     def build(bound: Column) -> Column:
         heads = F.slice(bound, F.lit(1), F.greatest(F.size(bound) - F.lit(n - 1), F.lit(0)))
-        return F.transform(
-            heads,
-            lambda first, i: F.concat_ws(" ", first, *[F.get(bound, i + F.lit(k)) for k in range(1, n)]),
-        )
+
+        def run(first: Column, i: Column) -> Column:
+            later = [x for k in range(1, n) for x in (F.lit(" "), F.get(bound, i + F.lit(k)))]
+            return F.concat(first, *later)
+
+        return F.transform(heads, run)
 
     return let(tokens, build)
 
