@@ -12,7 +12,7 @@ from corpusloom.operators import messages as M
 from corpusloom.operators.render import render, reparse
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.registry import query, table
-from corpusloom.sources.readers import nest_turns
+from corpusloom.sources.readers import nest_turns, spread
 
 def conv() -> Column:
     return F.col("conversations")
@@ -20,7 +20,7 @@ def conv() -> Column:
 
 
 def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nest_turns(table(spark, sf_dir, "conversations"))
+    return nest_turns(spread(table(spark, sf_dir, "conversations"), "conv_id"))
 
 
 _PIECE = """'<|im_start|>' || role || chr(10)

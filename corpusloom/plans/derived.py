@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.sequences import number_positions
 from corpusloom.plans.registry import table
+from corpusloom.sources.readers import spread
 
 NL = "chr(10)"
 
@@ -47,7 +48,7 @@ RESPONSES_SQL = f"""SELECT conv_id, turn, text, {RESPONSE} AS response, {TOOL_NA
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns as raw model responses: (conv_id, turn, text, response, tool, args)."""
     return (
-        table(spark, sf_dir, "conversations")
+        spread(table(spark, sf_dir, "conversations"))
         .filter("role = 'assistant'")
         .selectExpr("conv_id", "turn", "text", f"{RESPONSE} AS response", f"{TOOL_NAME} AS tool", f"{TOOL_ARGS} AS args")
     )

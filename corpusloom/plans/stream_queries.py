@@ -68,7 +68,9 @@ def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {_SPLIT} SELECT request_id, md5(reasoning) AS reasoning_md5, md5(content) AS content_md5 FROM s")
+@query(f"""WITH {_SPLIT} SELECT request_id, md5(reasoning) AS reasoning_md5, md5(content) AS content_md5,
+ CASE WHEN called THEN 1 ELSE 0 END AS n_calls,
+ CASE WHEN called THEN 'tool_calls' ELSE 'stop' END AS finish_reason FROM s""")
 def stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deltas from the stateful stream, joined again per request."""
     rows = _stream(spark, sf_dir, "conversations").filter("role = 'assistant'").selectExpr(
@@ -81,7 +83,10 @@ def stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.md5(F.array_join(F.transform(parts, lambda p: p["text"]), ""))
 
     return deltas.groupBy("request_id").agg(
-        joined("reasoning").alias("reasoning_md5"), joined("content").alias("content_md5")
+        joined("reasoning").alias("reasoning_md5"),
+        joined("content").alias("content_md5"),
+        F.sum(F.coalesce(F.size("calls"), F.lit(0))).cast("int").alias("n_calls"),
+        F.max("finish_reason").alias("finish_reason"),
     )
 
 

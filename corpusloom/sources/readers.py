@@ -114,12 +114,13 @@ def nest_turns(
     )
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan that has fewer splits than the cluster has cores before heavy per-row work.
 
     One file with one row group is one task, whatever its text costs to process. A large
     input has far more splits than cores and passes through untouched, without a shuffle. Use
-    on plain scans only, after picking the columns.
+    on plain scans only, after picking the columns. With ``keys`` the rows are spread by them,
+    so that grouping by the same keys needs no further shuffle.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from corpusloom.functions import fixed
 from corpusloom.functions.bind import let
 from corpusloom.functions.text import after_first, before_first, lstrip_newlines
-from corpusloom.operators.responses import parse_response
+from corpusloom.operators.responses import call_spans, parse_response
 
 
 def _ordered(piece: str, *order: str) -> Column:
@@ -68,7 +68,9 @@ def join_call_fragments(fragments: DataFrame) -> DataFrame:
 
 
 DELTA_SCHEMA = "request_id bigint, part int, kind string, text string"
-STATE_SCHEMA = "next_seq bigint, done boolean, held string, parts int, trimming boolean, waiting string"
+STATE_SCHEMA = (
+    "next_seq bigint, done boolean, held string, parts int, trimming boolean, waiting string, calls string"
+)
 
 
 def _held_tail(text: str) -> int:
@@ -78,18 +80,19 @@ def _held_tail(text: str) -> int:
 
 
 def stream_deltas(chunks: DataFrame, thinking: bool = True) -> DataFrame:
-    """Deltas of each response as soon as they are certain: (request_id, part, kind, text).
+    """Deltas of each response as soon as they are certain: (request_id, part, kind, text, calls,
+    finish_reason), ``kind`` being reasoning, content or finish.
 
     Streaming only. Chunks are taken in sequence order; one that arrives early waits in the
-    state until the gap closes. A null chunk ends the response: what is held back is given out
-    and the state is dropped. While thinking, a tail that may be the start of the close tag is
+    state until the gap closes. A null chunk ends the response: what is held back is given out,
+    a finish row tells the tool calls and the reason, and the state is dropped. While thinking, a tail that may be the start of the close tag is
     held back, so a tag cut across chunks is never shown as reasoning. The state per request
-    is that tail plus early chunks, not the response.
+    is that tail, early chunks and the text from the first call tag on, not the response.
     """
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        next_seq, done, held, parts, trimming, waiting = (
-            state.get if state.exists else (0, not thinking, "", 0, False, "{}")
+        next_seq, done, held, parts, trimming, waiting, calls = (
+            state.get if state.exists else (0, not thinking, "", 0, False, "{}", "")
         )
         early = {int(k): v for k, v in json.loads(waiting).items()}
         for frame in frames:
@@ -105,28 +108,46 @@ def stream_deltas(chunks: DataFrame, thinking: bool = True) -> DataFrame:
                 if not tag:
                     keep = 0 if ended else _held_tail(text)
                     held = text[len(text) - keep :]
-                    deltas["reasoning"] += text[: len(text) - keep]
+                    shown = text[: len(text) - keep]
+                    deltas["reasoning"] += shown
+                    calls += shown
                     continue
                 deltas["reasoning"] += before
-                done, trimming, text = True, True, after
+                done, trimming, text, calls = True, True, after, ""
             if trimming:
                 text = text.lstrip("\n")
                 trimming = not text
             deltas["content"] += text
+            calls += text
         rows = [(kind, text) for kind, text in deltas.items() if text]
+        # Keep the text from the first call tag on, or a tail that may be the start of one. Calls
+        # inside closed thinking do not count, so the close tag starts over.
+        at = calls.find(fixed.CALL_OPEN)
+        calls = calls[at:] if at >= 0 else calls[-(len(fixed.CALL_OPEN) - 1) :]
         if ended:
+            rows.append(("finish", calls))
             state.remove()
         else:
-            state.update((next_seq, done, held, parts + len(rows), trimming, json.dumps(early)))
+            state.update((next_seq, done, held, parts + len(rows), trimming, json.dumps(early), calls))
         if rows:
             yield pd.DataFrame(
                 [(key[0], parts + i, kind, text) for i, (kind, text) in enumerate(rows)],
                 columns=["request_id", "part", "kind", "text"],
             )
 
-    return chunks.groupBy("request_id").applyInPandasWithState(
+    deltas = chunks.groupBy("request_id").applyInPandasWithState(
         update, DELTA_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
+    ending = F.col("kind") == "finish"
+    calls = let(call_spans(F.col("text")), lambda c: F.when(F.size(c) > 0, c))
+    return deltas.withColumn("calls", F.when(ending, calls)).select(
+        "request_id",
+        "part",
+        "kind",
+        F.when(~ending, F.col("text")).alias("text"),
+        "calls",
+        F.when(ending & F.col("calls").isNotNull(), F.lit("tool_calls")).when(ending, F.lit("stop")).alias("finish_reason"),
+    )
 
 
 def showable_prefix(pieces: Column) -> Column:

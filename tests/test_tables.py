@@ -240,7 +240,10 @@ def test_stream_out_of_order_with_a_cut_tag(spark, tmp_path_factory):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source))
     deltas = drain(spark, K.stream_deltas(stream), place).orderBy("request_id", "part").collect()
     text = {}
+    assert [(d["request_id"], d["finish_reason"]) for d in deltas if d["kind"] == "finish"] == [(1, "stop"), (2, "stop")]
     for d in deltas:
+        if d["kind"] == "finish":
+            continue
         text[d["request_id"], d["kind"]] = text.get((d["request_id"], d["kind"]), "") + d["text"]
     assert text == {(1, "reasoning"): "why so", (1, "content"): "answer", (2, "reasoning"): "never </th"}
 
