@@ -203,7 +203,8 @@ def _sql(text: str) -> str:
     return " || chr(10) || ".join("'" + part.replace("'", "''") + "'" for part in text.split("\n"))
 
 
-_THINK = "'reason ' || left(text, 10)"
+# Rendering takes newlines off both ends of the reasoning.
+_THINK = "trim('reason ' || left(text, 10), chr(10))"
 _TOOL_PIECE = f"""CASE WHEN kind = 'call' THEN '<|im_start|>assistant' || chr(10) || '<think>' || chr(10) || {_THINK} || chr(10)
  || '</think>' || chr(10) || chr(10) || CASE WHEN conv_id % 2 = 0 THEN 'look' || chr(10) ELSE '' END
  || '<tool_call>' || chr(10) || '{{"name": "lookup", "arguments": {{"n": ' || CAST(turn AS VARCHAR) || ', "s": "a:b"}}}}' || chr(10) || '</tool_call>'
