@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -96,26 +98,30 @@ def whitespace_words(text: Column) -> Column:
     )
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """All runs of ``n`` tokens, each joined by a space; empty when there are fewer than ``n``.
-
-    Tokens hold no whitespace, so the joined text identifies the run, and ``array_distinct``
-    can hash plain strings instead of comparing nested arrays pairwise.
-    """
+def token_runs(tokens: Column, n: int, join: Callable[..., Column]) -> Column:
+    """``join`` applied to every run of ``n`` tokens; empty when there are fewer than ``n``."""
 
     def build(bound: Column) -> Column:
         heads = F.slice(bound, F.lit(1), F.greatest(F.size(bound) - F.lit(n - 1), F.lit(0)))
+        return F.transform(heads, lambda first, i: join(first, *[F.get(bound, i + F.lit(k)) for k in range(1, n)]))
 
-        def run(first: Column, i: Column) -> Column:
-            later = [x for k in range(1, n) for x in (F.lit(" "), F.get(bound, i + F.lit(k)))]
-            return F.concat(first, *later)
+    return let(tokens, build)
 
-        return F.transform(heads, run)
 
-    return let(tokens, build)
+def _with_spaces(*tokens: Column) -> Column:
+    return F.concat(tokens[0], *[x for t in tokens[1:] for x in (F.lit(" "), t)])
 
 
-def repeat_fraction(text: Column, n: int = 3, cap: float = 0.5) -> Column:
+def ngrams(tokens: Column, n: int) -> Column:
+    """All runs of ``n`` tokens, each joined by a space.
+
+    Tokens hold no whitespace, so the joined text identifies the run, and ``array_distinct``
+    can hash plain strings instead of comparing nested arrays pairwise.
+    """
+    return token_runs(tokens, n, _with_spaces)
+
+
+def repeat_share(tokens: Column, n: int = 3, cap: float = 0.5) -> Column:
     """Share of repeated n-grams, doubled, scaled and capped at ``cap``; 0 without n-grams."""
 
     def score(grams: Column) -> Column:
@@ -125,7 +131,12 @@ def repeat_fraction(text: Column, n: int = 3, cap: float = 0.5) -> Column:
             F.least(F.lit(float(cap)), repeats * F.lit(float(cap)) * F.lit(2.0) / total)
         )
 
-    return let(ngrams(words(text), n), score)
+    return let(ngrams(tokens, n), score)
+
+
+def repeat_fraction(text: Column, n: int = 3, cap: float = 0.5) -> Column:
+    """``repeat_share`` over the words of a text."""
+    return repeat_share(words(text), n, cap)
 
 
 def numbers(text: Column) -> Column:

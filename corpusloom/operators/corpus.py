@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.bind import let
-from corpusloom.functions.text import ngrams, strip, words
+from corpusloom.functions.text import ngrams, strip, token_runs, words
 
 
 def drop_exact_copies(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -67,6 +67,17 @@ def word_windows(text: Column, n: int) -> Column:
     return let(words(text), windows)
 
 
+def window_hashes(text: Column, n: int) -> Column:
+    """64-bit hashes of the same windows, without building their text."""
+
+    def hashes(w: Column) -> Column:
+        return F.when(F.size(w) < n, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
+            F.array_distinct(token_runs(w, n, F.xxhash64))
+        )
+
+    return let(words(text), hashes)
+
+
 def overlapping(rows: DataFrame, benchmark: DataFrame, key: str, text: str, item_text: str, n: int = 8) -> DataFrame:
     """Keys of rows that share an n-word window with any benchmark item.
 
@@ -75,11 +86,11 @@ def overlapping(rows: DataFrame, benchmark: DataFrame, key: str, text: str, item
     once, the benchmark side is distinct and a semi-join never multiplies rows. The benchmark
     side is left to Spark's own size check: broadcast when small, shuffled when not.
     """
-    windows = word_windows(F.col(text), n)
+    hashed = rows.select(key, F.explode(window_hashes(F.col(text), n)).alias("h"))
+    bench_hashed = benchmark.select(F.explode(window_hashes(F.col(item_text), n)).alias("h")).distinct()
+    maybe = hashed.join(bench_hashed, "h", "left_semi").select(key).distinct()
+    seen = rows.join(maybe, key, "left_semi").select(key, F.explode(word_windows(F.col(text), n)).alias("window"))
     bench = benchmark.select(F.explode(word_windows(F.col(item_text), n)).alias("window")).distinct()
-    hashed = rows.select(key, F.explode(F.transform(windows, lambda w: F.xxhash64(w))).alias("h"))
-    maybe = hashed.join(bench.select(F.xxhash64("window").alias("h")), "h", "left_semi").select(key).distinct()
-    seen = rows.join(maybe, key, "left_semi").select(key, F.explode(windows).alias("window"))
     return seen.join(bench, "window", "left_semi").select(key).distinct()
 
 

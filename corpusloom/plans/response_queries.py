@@ -14,6 +14,7 @@ from corpusloom.operators import tools as T
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.derived import CALL_JSON, RESPONSES_SQL, responses
 from corpusloom.plans.registry import query, table
+from corpusloom.sources.readers import spread
 from corpusloom.sources.writers import response_json
 
 _THINK = r"(?s)<think>(.*?)</think>"
@@ -146,12 +147,13 @@ def _grams(x: str, name: str) -> str:
 @query(f"""WITH w AS (SELECT conv_id, turn, {S.words("text")} AS w FROM conversations), g AS (SELECT *, {S.grams("w")} AS g FROM w)
 SELECT conv_id, turn, len(w) AS n_words, len(g) AS n_grams, round({S.repeat_fraction("g")}, 6) AS rep FROM g""")
 def rep_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select(
+    rows = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    return rows.select("conv_id", "turn", X.words(F.col("text")).alias("w")).select(
         "conv_id",
         "turn",
-        F.size(X.words(F.col("text"))).cast("bigint").alias("n_words"),
-        F.size(X.ngrams(X.words(F.col("text")), 3)).cast("bigint").alias("n_grams"),
-        F.round(X.repeat_fraction(F.col("text")), 6).alias("rep"),
+        F.size("w").cast("bigint").alias("n_words"),
+        F.size(X.ngrams(F.col("w"), 3)).cast("bigint").alias("n_grams"),
+        F.round(X.repeat_share(F.col("w")), 6).alias("rep"),
     )
 
 

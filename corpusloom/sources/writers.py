@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 def write_samples(samples: DataFrame, path: str, partition_by: tuple[str, ...] = ("epoch", "shard")) -> None:
     """Training samples as Parquet, one folder per (epoch, shard).
 
-    Rows are clustered on the folder columns plus a hash spread, so a folder gets a few large
-    files and no task writes a whole folder alone.
+    The rebalance hint brings a folder's rows together and lets Spark split large folders and
+    merge small ones to its advisory size, so file sizes stay even at any scale.
     """
     folders = [c for c in partition_by if c in samples.columns]
-    others = [c for c in samples.columns if c not in folders]
-    spread = F.pmod(F.xxhash64(*others), F.lit(16))
-    out = samples.repartition(*folders, spread) if folders else samples
+    out = samples.hint("rebalance", *folders) if folders else samples
     out.write.mode("overwrite").partitionBy(*folders).parquet(path)
 
 
