@@ -225,7 +225,7 @@ def role_neighbours(
 
 
 def pair_samples(pairs: DataFrame, key: str = "pair_id") -> DataFrame:
-    """Preference pairs to one row per side; both sides then share one pipeline."""
+    """Preference pairs to one row per side; both sides then take the same steps."""
     return pairs.select(
         key,
         F.expr("stack(2, 'chosen', chosen, 'rejected', rejected) as (side, conversations)"),

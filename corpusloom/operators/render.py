@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
@@ -17,7 +17,7 @@ from corpusloom.functions.text import (
     strip,
     strip_newlines,
 )
-from corpusloom.operators.messages import decode_calls, tool_list
+from corpusloom.operators.messages import FIELDS, decode_calls, role_neighbours, tool_list
 
 
 def _block(role: Column, body: Column) -> Column:
@@ -158,6 +158,22 @@ def render(messages: Column, tools_json: Column | None = None, prompt_thinking:
     return text if prompt_thinking is None else F.concat(text, generation_prompt(prompt_thinking))
 
 
+def render_turns(
+    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """The long form: each turn with its ``piece`` of the rendered text, for gap-free turn numbers.
+
+    Pieces in turn order make up the text. No conversation is gathered, so this also serves
+    conversations too long for one row, and lengths or counts can be summed over the pieces.
+    """
+    none = F.lit(None).cast("string")
+    m = F.struct(F.col(role).alias("role"), F.col(text).alias("content"), *[none.alias(n) for n in FIELDS[2:]])
+    first = F.col("prev_role").isNull()
+    lead = F.when(first & (F.col(role) == "system"), _block(F.lit("system"), F.coalesce(F.col(text), F.lit("")))).otherwise(F.lit(""))
+    piece = F.concat(lead, message_text(m, first, F.col("prev_role"), F.col("next_role")))
+    return role_neighbours(turns, conv, turn, role).select(conv, turn, piece.alias("piece"))
+
+
 _BLOCKS = rf"(?s)<\|im_start\|>(system|user|assistant)[{WS_CLASS}]+(.*?)<\|im_end\|>"
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
-from corpusloom.functions.bind import let
 from corpusloom.functions.jsontext import field_kind, get_or, not_null, python_truthy, spaced
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
-from corpusloom.functions.text import WHITESPACE, WORD_PATTERN, WS_CLASS, words
+from corpusloom.functions.text import WORD_PATTERN, WS_CLASS, words
 from corpusloom.session import ensure_checkpoint_dir
 
 
@@ -146,8 +146,7 @@ def train_vocabulary(
     symbols = _symbol_string(F.col("piece"), [known[letter] for letter in BYTE_LETTERS])
     pieces = counts.select(symbols.alias("symbols"), "freq").filter(F.length("symbols") > 1)
     # The table is small for its work, so spread it over all cores instead of by size.
-    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pieces = pieces.repartition(spread).checkpoint()
+    pieces = pieces.repartition(2 * spark.sparkContext.defaultParallelism).checkpoint()
     merges: list[tuple[int, int, int]] = []
     rounds = 0
     while len(tokens) < vocab_size:

@@ -9,7 +9,7 @@ from corpusloom.functions import fixed
 from corpusloom.functions.bind import keep_if
 from corpusloom.functions.text import repeat_fraction
 from corpusloom.operators import messages as M
-from corpusloom.operators.render import render, reparse
+from corpusloom.operators.render import render, render_turns, reparse
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.registry import query, table
 from corpusloom.sources.readers import nest_turns, spread
@@ -40,6 +40,13 @@ def conv_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"SELECT conv_id, turn, md5({_PIECE}) AS piece_md5 FROM conversations")
+def conv_render_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered text as one piece per turn; no conversation is gathered."""
+    pieces = render_turns(table(spark, sf_dir, "conversations"))
+    return pieces.select("conv_id", "turn", F.md5("piece").alias("piece_md5"))
+
+
 _PROMPTS_SQL = "[" + ", ".join("'" + p.replace("'", "''") + "'" for p in fixed.system_prompts()) + "]"
 _AUGMENT = f"""firsts AS (SELECT conv_id, role FROM conversations WHERE turn = 0),
 chosen AS (SELECT conv_id, role <> 'system' AND {S.draw(42, "system_add", "conv_id")} < 0.2 AS added,

@@ -12,10 +12,9 @@ from corpusloom.operators.vocabulary import Encoder, base_vocabulary
 from corpusloom.plans import jobs
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.conversation_queries import _AUGMENT, _EMPTY, _PIECE, _RENDERED, conv, nested
-from corpusloom.plans.derived import RESPONSES_SQL, responses
+from corpusloom.plans.derived import responses
 from corpusloom.plans.registry import query, table
 from corpusloom.plans.response_queries import _AGENT, _THINK_TERMS, _verified
-from corpusloom.plans.sequence_queries import digest
 from corpusloom.sources.readers import spread
 
 

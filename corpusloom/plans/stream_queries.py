@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.plans import sqltext as S
-from corpusloom.plans.derived import RESPONSE, RESPONSES_SQL, TOOL_ARGS, TOOL_NAME, responses
+from corpusloom.plans.derived import RESPONSE, RESPONSES_SQL, responses
 from corpusloom.plans.registry import query, table
 from corpusloom.session import ensure_checkpoint_dir
 from corpusloom.streaming import chunks as K

@@ -83,6 +83,16 @@ def test_reparse_inverts_render(spark):
     assert [tuple(m) for m in df.first()["m"]] == [("system", "s"), ("user", "line\nline"), ("assistant", "ok")]
 
 
+def test_pieces_make_up_the_text(spark):
+    from corpusloom.operators.render import render_turns
+
+    roles = ["system", "user", "assistant", "tool", "tool", "user", "tool"]
+    messages = [msg(r, f"{r} {i}") for i, r in enumerate(roles)]
+    turns = spark.createDataFrame([(1, i, m[0], m[1]) for i, m in enumerate(messages)], "conv_id int, turn int, role string, text string")
+    pieces = sorted(map(tuple, render_turns(turns).select("turn", "piece").collect()))
+    assert "".join(p for _, p in pieces) == rendered(spark, *messages)
+
+
 def test_system_prompt_is_not_added_to_tools_or_system(spark):
     rows = [(i, [msg("system", "s"), msg("user", "u")]) for i in range(50)]
     rows += [(i, [msg("user", "u", tools="[1]")]) for i in range(50, 100)]
