@@ -13,12 +13,14 @@ _JSON_PIECE = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[,:]|[^",:]+'
 def is_json(text: Column) -> Column:
     """True when the whole text is one JSON value.
 
-    Spark's parsers stop after the first value; wrapping the text in brackets makes trailing
-    characters an error. Null text gives false.
+    Spark's parsers stop after the first value; wrapping the text makes trailing characters an
+    error. Text that closes one kind of wrapper early cannot close the other as well. Null
+    text gives false.
     """
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    values = F.from_json(wrapped, "array<string>", {"allowSingleQuotes": "false"})
-    return F.coalesce(F.size(values) == 1, F.lit(False))
+    strict = {"allowSingleQuotes": "false"}
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", strict)
+    member = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "map<string,string>", strict)
+    return F.coalesce((F.size(listed) == 1) & (F.size(member) == 1), F.lit(False))
 
 
 def is_json_object(text: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.bind import let
-from corpusloom.functions.text import ngrams, strip, token_runs, words
+from corpusloom.functions.text import ngrams, strip, words
+from corpusloom.session import settled
 
 
 def drop_exact_copies(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -14,13 +15,13 @@ def drop_exact_copies(rows: DataFrame, key: str, text: str) -> DataFrame:
 
     Texts never travel. (hash, key) pairs are reduced to the smallest key of each repeated
     hash, with partial minimums first, so a text copied a billion times reaches its reducer as
-    one row per map task. The keys of the later copies are then an anti-join filter: Spark
-    broadcasts them when they are few and splits a hot partition when they are not.
+    one row per map task. The keys of the later copies are written out (see ``settled``) and
+    become an anti-join filter, broadcast when small and shuffled when not.
     """
     hashed = rows.select(key, F.sha2(strip(F.col(text)), 256).alias("_h"))
     repeated = hashed.groupBy("_h").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     later = hashed.join(repeated.select("_h", "_first"), "_h").filter(F.col(key) != F.col("_first")).select(key)
-    return rows.join(later, key, "left_anti")
+    return rows.join(settled(later), key, "left_anti")
 
 
 def licensed(rows: DataFrame, licences: DataFrame, allowed: list[str], source: str = "source") -> DataFrame:
@@ -67,36 +68,26 @@ def word_windows(text: Column, n: int) -> Column:
     return let(words(text), windows)
 
 
-def window_hashes(text: Column, n: int) -> Column:
-    """64-bit hashes of the same windows, without building their text."""
-
-    def hashes(w: Column) -> Column:
-        return F.when(F.size(w) < n, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
-            F.array_distinct(token_runs(w, n, F.xxhash64))
-        )
-
-    return let(words(text), hashes)
-
-
 def overlapping(rows: DataFrame, benchmark: DataFrame, key: str, text: str, item_text: str, n: int = 8) -> DataFrame:
     """Keys of rows that share an n-word window with any benchmark item.
 
-    The scan compares 64-bit window hashes only; the rows that hit, few as a rule, are then
-    compared by the window text, so a hash collision cannot add a row. A row offers a window
-    once, the benchmark side is distinct and a semi-join never multiplies rows. The benchmark
-    side is left to Spark's own size check: broadcast when small, shuffled when not.
+    A row offers a window once, the benchmark side is distinct and a semi-join never multiplies
+    rows. The benchmark side is left to Spark's size check: when it is small it is broadcast
+    and the corpus is read once without a shuffle; when it is not, both sides are shuffled and
+    a window many rows share is split.
     """
-    hashed = rows.select(key, F.explode(window_hashes(F.col(text), n)).alias("h"))
-    bench_hashed = benchmark.select(F.explode(window_hashes(F.col(item_text), n)).alias("h")).distinct()
-    maybe = hashed.join(bench_hashed, "h", "left_semi").select(key).distinct()
-    seen = rows.join(maybe, key, "left_semi").select(key, F.explode(word_windows(F.col(text), n)).alias("window"))
+    seen = rows.select(key, F.explode(word_windows(F.col(text), n)).alias("window"))
     bench = benchmark.select(F.explode(word_windows(F.col(item_text), n)).alias("window")).distinct()
     return seen.join(bench, "window", "left_semi").select(key).distinct()
 
 
 def without_overlap(rows: DataFrame, benchmark: DataFrame, key: str, text: str, item_text: str, n: int = 8) -> DataFrame:
-    """Rows that share no n-word window with the benchmark."""
-    return rows.join(overlapping(rows, benchmark, key, text, item_text, n), key, "left_anti")
+    """Rows that share no n-word window with the benchmark.
+
+    The keys found are written out first (see ``settled``), so texts only move when there are
+    too many of them to broadcast.
+    """
+    return rows.join(settled(overlapping(rows, benchmark, key, text, item_text, n)), key, "left_anti")
 
 
 def length_profile(rows: DataFrame, text: str, by: str, limit: int, bin_width: int = 500) -> DataFrame:

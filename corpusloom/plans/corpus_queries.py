@@ -26,7 +26,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT d.doc_id, lang, md5(text) AS text_md5 FROM documents d JOIN k ON d.doc_id = k.doc_id""")
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First row of each distinct text."""
-    kept = C.drop_exact_copies(_docs(spark, sf_dir).select("doc_id", "lang", "text"), "doc_id", "text")
+    kept = C.drop_exact_copies(_texts(spark, sf_dir), "doc_id", "text")
     return kept.select("doc_id", "lang", F.md5("text").alias("text_md5"))
 
 

@@ -8,8 +8,9 @@ correct results.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -66,3 +67,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """Write a table to the checkpoint folder and read it back.
+
+    The lineage ends there, and the planner sees the true size of what was an estimate. Use
+    it for key sets that decide how a much larger table is joined: a small one is then broadcast
+    before anything of the larger table is shuffled. Runs a job when called.
+    """
+    spark = rows.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)

@@ -45,7 +45,7 @@ def test_call_arguments(spark):
     assert [c["id"] for c in one(spark, braced, R.braced_calls)] == ["call_0", "call_1", "call_2", "call_4"]
 
 
-@pytest.mark.parametrize("text, ok", [('{"a":1}', True), ('{"a":1} x', False), ("", False), ("{'a':1}", False), ("[1, 2]", True), ("3", True), ('{"a":1}{"b":2}', False), (None, False)])
+@pytest.mark.parametrize("text, ok", [('{"a":1}', True), ('{"a":1} x', False), ("", False), ("{'a':1}", False), ("[1, 2]", True), ("3", True), ('{"a":1}{"b":2}', False), (None, False), ("1],[2", False), ('1},{"a":2', False), ("null", True)])
 def test_is_json(spark, text, ok):
     assert one(spark, text, J.is_json) is ok
 

@@ -116,6 +116,16 @@ def test_group_advantage_sums_to_zero_and_survives_zero_spread(spark):
     assert got[1]["m"] == 0.0 and got[0]["m"] == pytest.approx(1 / 1.0001)
 
 
+def test_a_third_of_all_rows_in_one_group(spark):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000).alias("g"), (F.col("id") % 17).cast("double").alias("r")
+    )
+    got = G.group_advantage(rows, ["g"], "r").toPandas()
+    groups = got.groupby("g")["r"]
+    want = (got["r"] - groups.transform("mean")) / (groups.transform("std", ddof=0) + 1e-4)
+    assert len(got) == 30000 and (got["advantage"] - want).abs().max() < 1e-9
+
+
 def test_row_mean_differs_from_token_mean(spark):
     df = spark.createDataFrame([(1, 1.0, 1), (2, 3.0, 1), (2, 5.0, 1), (3, 9.0, 0)], "s int, x double, m int")
     x, m = F.col("x"), F.col("m")
