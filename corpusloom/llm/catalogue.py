@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, mixing, sharding, simhash, toxicity
+from corpusloom.llm import ann, decontaminate, lines, mixing, secrets, sharding, simhash, toxicity, urls, warc
+from corpusloom.llm.scratch import keep, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +98,72 @@ def op10_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", ~held_out())
     judged = toxicity.scored(docs, "text", model)
     return judged.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op1_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector."""
+    return ann.nearest_by_product(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0)
+
+
+DIGIT = "CAST(concat('0x', substr(sha1(coalesce(html, '')), {at}, 5)) AS BIGINT)"
+LETTERS = " || ".join(
+    f"substr('{warc.BASE32}', CAST((({DIGIT.format(at=5 * part + 1)} >> {15 - 5 * n}) & 31) + 1 AS BIGINT), 1)"
+    for part in range(8)
+    for n in range(4)
+)
+
+
+@query(
+    f"""
+WITH summed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, {LETTERS} AS payload_digest FROM pages),
+lasts AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM summed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to, TRUE AS intact
+FROM lasts
+"""
+)
+def op4_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages into WARC archives and back, their captures merged into one order."""
+    pages = warc.with_revisits(table(spark, sf_dir, "pages"), "page_id", "html")
+    folder = new_folder(spark, "warc")
+    warc.write_archives(pages, folder, "page_id", "url", "html")
+    runs = keep(warc.captures(spark, folder), new_folder(spark, "runs"))
+    merged = warc.histories(runs)
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+@query()
+def op7_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, open and under encodings."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+    def joined(spans: str):
+        names = F.array(*[F.lit(k) for k in secrets.KINDS])
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
+    return found.select(F.col("key").alias("doc_id"), *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query()
+def op8_url_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's URL."""
+    found = urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), "url", URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query()
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document, its number of lines and those that repeat an earlier or nearly equal line."""
+    found = lines.fuzzy_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(F.col("key").alias("doc_id"), "lines", F.size("dropped").alias("n_dropped"), F.array_join("dropped", ",").alias("dropped"))
