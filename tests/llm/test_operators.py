@@ -1,0 +1,553 @@
+"""The ten training-data operators against brute force on small tables, with nulls, ties, repeats and empty tables."""
+
+import base64
+import gzip
+import hashlib
+import math
+import random
+import re
+import urllib.parse
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.llm import (
+    ann,
+    catalogue,
+    components,
+    decontaminate,
+    lines,
+    mixing,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    urls,
+    warc,
+)
+from tests.compare import compare, connect
+
+FOLDER = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def documents(spark, texts, ids=None):
+    rows = [(i if ids is None else ids[i], t, "en", f"src{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def sentence(dice, n):
+    return " ".join("".join(dice.choice("abcdefghijklmnop") for _ in range(dice.randint(2, 8))) for _ in range(n))
+
+
+def grouped(links, nodes):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
+def test_matches_sql(spark, name):
+    assert compare(spark, connect(FOLDER), name, FOLDER, catalogue.QUERIES[name], catalogue.ORACLES[name]) is None
+
+
+def test_components_of_chains_stars_and_nothing(spark):
+    dice = random.Random(5)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
+    dice.shuffle(edges)
+    found = components.components(spark.createDataFrame(edges + [(None, 3)], "a bigint, b bigint"))
+    got = {r.node: r.root for r in found.collect()}
+    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+    assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+# 1 -------------------------------------------------------------------------------------------------
+
+
+def test_nearest_neighbours_recall_order_and_exact_scores(spark):
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()
+    vectors = {r.vec_id: np.array(r.embedding, np.float64) for r in rows}
+    found = defaultdict(list)
+    for r in catalogue.QUERIES["op1_adaptive_dimension_scan"](spark, FOLDER).collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert set(found) == {i for i in vectors if i % 20 == 0}
+    hit = total = 0
+    for q, got in found.items():
+        got.sort()
+        assert [r for r, _, _ in got] == list(range(1, 21))
+        assert [(-s, v) for _, v, s in got] == sorted((-s, v) for _, v, s in got)
+        assert all(abs(s - vectors[q] @ vectors[v]) < 1e-9 and v != q for _, v, s in got)
+        true = sorted((-(vectors[q] @ x), v) for v, x in vectors.items() if v != q)[:20]
+        hit += len({v for _, v in true} & {v for _, v, _ in got})
+        total += 20
+    assert hit / total >= 0.9
+
+
+def test_vectors_that_take_no_part_and_copies(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.5, 0.5]), (4, None), (5, [0.0, 0.0]), (6, [])]
+    rows += [(7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (9, [1.0, None]), (10, [1.0, 2.0, 3.0]), (None, [1.0, 1.0])]
+    rows += [(20, [2.0, 0.0]), (20, [2.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = ann.nearest_by_product(table, "vec_id", "embedding", F.col("id") % 20 == 0, k=3, lists=2, probes=2).collect()
+    by = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
+        by[r.query_id].append((r.vec_id, r.score))
+    assert by == {0: [(20, 2.0), (1, 1.0), (2, 1.0)], 20: [(0, 2.0), (1, 2.0), (2, 2.0)]}
+    assert ann.nearest_by_product(table.limit(0), "vec_id", "embedding", F.col("id") % 20 == 0).count() == 0
+
+
+# 2 -------------------------------------------------------------------------------------------------
+
+
+def test_mix_meets_weights_and_repeats(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "a").when(F.col("id") % 4 == 1, "b").otherwise(None).alias("source"))
+    weights = {"a": 3.0, "b": 1.0, None: 1.0}
+    mixed = mixing.replicated(docs, "doc_id", "source", weights, total=5000).collect()
+    share = Counter(r.source for r in mixed)
+    assert abs(share["a"] - 3000) < 250 and abs(share["b"] - 1000) < 200 and abs(share[None] - 1000) < 200
+    assert sorted((r.doc_id, r.copy) for r in mixed) == sorted((r.doc_id, r.copy) for r in mixing.replicated(docs.repartition(7), "doc_id", "source", weights, total=5000).collect())
+    counts = Counter(r.doc_id for r in mixed)
+    assert all(counts[r.doc_id] == r.repeats for r in mixed)
+    none = mixing.replicated(docs, "doc_id", "source", {"a": 1.0}).select("source").distinct().collect()
+    assert [r.source for r in none] == ["a"]
+
+
+def test_large_rates_repeats_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "x", 5), (1, "x", 5), (None, "x", 6)], "doc_id bigint, source string, copy int")
+    mixed = mixing.replicated(docs, "doc_id", "source", total=6000).collect()
+    by = Counter((r.doc_id, r.repeats) for r in mixed)
+    assert len(by) == 2 and all(1700 < r < 2300 for _, r in by) and all(n % r == 0 for (_, r), n in by.items())
+    placed = mixing.shuffled(mixing.replicated(docs, "doc_id", "source", total=60), "doc_id")
+    assert sorted(r.position for r in placed.collect()) == list(range(placed.count()))
+    assert mixing.replicated(docs.limit(0), "doc_id", "source").count() == 0
+
+
+# 3 -------------------------------------------------------------------------------------------------
+
+
+def edit_distance_within(pattern, text):
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j - 1] + (p != t), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_leaks_against_alignment_by_brute_force(spark):
+    dice = random.Random(3)
+    items = [sentence(dice, 18) for _ in range(6)]
+    texts = [sentence(dice, 60) for _ in range(4)]
+    for n, item in enumerate(items):
+        chars = list(item)
+        for _ in range(n * 3):
+            at = dice.randrange(len(chars))
+            chars[at] = dice.choice(["", "q", chars[at] + "q"])
+        texts.append(f"{sentence(dice, 20)} {''.join(chars)} {sentence(dice, 5)}")
+    docs = documents(spark, texts)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {r.doc_id: r.leaked_items for r in decontaminate.tag_leaks(docs, bench, window=200).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        t = decontaminate.plain(t)
+        want[d] = []
+        for i, item in enumerate(items):
+            p = decontaminate.plain(item)
+            if edit_distance_within(p, t) <= min(int(0.08 * len(p)), (len(p) - 10) // 10):
+                want[d].append(i)
+    assert got == want and sum(map(len, want.values())) >= 3
+
+
+def test_alignment_is_exact_within_its_band():
+    dice = random.Random(9)
+    for _ in range(300):
+        p = "".join(dice.choice("ab") for _ in range(dice.randint(5, 20)))
+        t = "".join(dice.choice("ab") for _ in range(dice.randint(1, 40)))
+        budget = dice.randint(0, 6)
+        width = len(t) + len(p) + 2 * budget + 2
+        found = decontaminate.alignment(decontaminate._codes(p), decontaminate._codes(t), -len(p) - budget, width, budget)
+        true = edit_distance_within(p, t)
+        assert found == (true if true <= budget else None)
+
+
+def test_leaks_in_disguise_in_blocks_and_odd_rows(spark):
+    dice = random.Random(4)
+    long = sentence(dice, 90)
+    items = [(0, sentence(dice, 20)), (1, long), (2, ""), (3, None), (4, "... ***"), (None, "no id"), (5, "tiny one")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    loud = " ".join(w.upper() + "***" for w in items[0][1].split())
+    part = long[150:420]
+    texts = [loud, "x " + part + " y", None, "", "a Tiny   ONE.", "destiny ones", sentence(dice, 4000) + " " + items[0][1]]
+    docs = documents(spark, texts).withColumn("leaked_items", F.lit("clash")).withColumn("text_to_search", F.lit(1))
+    for block in (20_000, 3):
+        got = {r.doc_id: r.leaked_items for r in decontaminate.tag_leaks(docs, bench, block=block).collect()}
+        assert got == {0: [0], 1: [1], 2: [], 3: [], 4: [5], 5: [], 6: [0]}
+    kept = decontaminate.decontaminated(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 5]
+    assert decontaminate.decontaminated(docs, bench.limit(0)).count() == 7
+    assert decontaminate.decontaminated(docs.limit(0), bench).count() == 0
+
+
+# 4 -------------------------------------------------------------------------------------------------
+
+
+def test_archives_round_trip_and_revisits(spark, tmp_path):
+    pages = [
+        (1, "http://A.example.org/x", "<p>é</p>\r\n\r\nWARC/1.1\r\n"),
+        (2, "http://b.example.org/y", "same"),
+        (3, None, "same"),
+        (3, None, "same"),
+        (4, "http://b.example.org/\r\ny", None),
+        (9, "", ""),
+        (None, "http://b.example.org/y", "same"),
+        (None, "u", "only null"),
+        (12, "http://big.example.org", "x" * 300_000),
+    ]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("last", F.lit(7))
+    marked = warc.with_revisits(table, "page_id", "html")
+    folder = str(tmp_path / "w")
+    warc.write_archives(marked.repartition(3), folder, "page_id", "url", "html", records_per_file=2)
+    runs = warc.captures(spark, folder)
+    rows = warc.histories(runs, 3).collect()
+    assert [(r.url_key, r.captured, -1 if r.page_id is None else r.page_id) for r in rows] == sorted((r.url_key, r.captured, -1 if r.page_id is None else r.page_id) for r in rows)
+    assert all(r.intact for r in rows) and len(rows) == len(pages)
+
+    def digest(t):
+        return base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+
+    last = {}
+    for i, _, h in pages:
+        if i is not None:
+            last[h or ""] = max(last.get(h or "", i), i)
+    want = []
+    for i, _, h in pages:
+        top = last.get(h or "")
+        again = top is not None and i != top
+        want.append((i, len((h or "").encode()), digest(h), "revisit" if again else "response", top if again else None))
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows) == Counter(want)
+    assert {r.url for r in rows if r.page_id == 4} == {"http://b.example.org/%0D%0Ay"} and {r.url for r in rows if r.page_id == 3} == {None}
+    one = rows[0]
+    content = open(one.file.removeprefix("file:"), "rb").read()
+    assert content[one.offset : one.offset + 8] == b"WARC/1.1" and content[one.offset : one.offset + one.length].endswith(b"\r\n\r\n")
+    warc.write_archives(marked.limit(0), str(tmp_path / "none"), "page_id", "url", "html")
+
+
+def test_loser_tree_merges_any_number_of_runs():
+    dice = random.Random(1)
+    for k in (0, 1, 2, 3, 5, 8, 13):
+        runs = [sorted(dice.randrange(50) for _ in range(dice.randrange(20))) for _ in range(k)]
+        merged = list(warc.LoserTree([iter([(x, x) for x in r]) for r in runs]))
+        assert merged == sorted(x for r in runs for x in r)
+
+
+# 5 -------------------------------------------------------------------------------------------------
+
+
+def test_shards_move_only_into_a_new_one_and_slots_have_no_gaps(spark):
+    rows = catalogue.QUERIES["op5_rendezvous_shards"](spark, FOLDER).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    assert {r.doc_id for r in rows} == set(texts) and len(rows) == len(texts)
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law) == (len(raw) + 1, zlib.crc32(raw), "key")
+        assert r.grown_shard in (r.shard, 16)
+    for s in range(16):
+        slots = sorted(r.slot for r in rows if r.shard == s)
+        assert slots == list(range(len(slots)))
+
+
+def test_weighted_shards(spark):
+    keys = spark.range(20000).withColumn("shard", F.lit("clash"))
+    count = Counter(r.shard for r in sharding.sharded(keys, "id", [1.0, 2.0, 0.0, 1.0]).collect())
+    assert set(count) == {0, 1, 3} and abs(count[1] - 10000) < 500
+    odd = spark.createDataFrame([(None, "a"), (None, "b"), (1, None)], "id bigint, t string")
+    slots = sharding.slotted(sharding.sharded(odd, "id", [1.0]), "shard", "id", ["t"], buckets=4)
+    assert sorted(r.slot for r in slots.collect()) == [0, 1, 2]
+    assert sharding.slotted(sharding.sharded(odd.limit(0), "id", [1.0]), "shard", "id", ["t"]).count() == 0
+    with pytest.raises(ValueError):
+        sharding.rendezvous(F.col("id"), [0.0])
+
+
+# 6 -------------------------------------------------------------------------------------------------
+
+
+def plain_simhash(text, words=4):
+    import xxhash
+
+    tokens = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m.group().lower(), text or ""))
+    if not tokens:
+        return 0
+    parts = [" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_components_by_brute_force(spark):
+    dice = random.Random(8)
+    texts = [None, "", " \t\n", "One two", "ONE two", "É é\u00a0x y z w", "É é\u00a0x y z w"]
+    for _ in range(30):
+        base = sentence(dice, 80).split()
+        texts.append(" ".join(base))
+        for _ in range(dice.randint(0, 3)):
+            base[dice.randrange(80)] = "zz"
+            texts.append(" ".join(base))
+    docs = documents(spark, texts).withColumn("fp", F.lit("clash")).withColumn("key", F.lit(0))
+    got = {r.key: (r.fp & (2**64 - 1), r.component) for r in simhash.simhash_components(docs, "doc_id", "text", words=4).collect()}
+    prints = {i: plain_simhash(t) for i, t in enumerate(texts)}
+    assert {i: f for i, (f, _) in got.items()} == prints
+    near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
+    assert {i: c for i, (_, c) in got.items()} == grouped(near, prints) and len(near) > 5
+
+
+def test_links_are_complete_for_random_fingerprints(spark):
+    dice = random.Random(2)
+    fps = {dice.getrandbits(64) for _ in range(60)}
+    for f in list(fps):
+        for _ in range(4):
+            for _ in range(dice.randint(1, 4)):
+                f ^= 1 << dice.randrange(64)
+            fps.add(f)
+    signed = [(f - (f >> 63 << 64),) for f in fps]
+    got = sorted((r.a, r.b) for r in simhash.links(spark.createDataFrame(signed, "fp bigint")).collect())
+    want = sorted((a, b) for (a,) in signed for (b,) in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 4)
+    assert got == want and len(want) > 50
+    assert simhash.links(spark.createDataFrame([], "fp bigint")).count() == 0
+
+
+def test_near_copies_keep_the_first_of_each_group(spark):
+    dice = random.Random(11)
+    base = sentence(dice, 300).split()
+    texts = [" ".join(base)]
+    for n in range(60):  # one group, over 24 members in most cells
+        words = list(base)
+        words[dice.randrange(300)] = f"w{n}"
+        texts.append(" ".join(words))
+    texts += [sentence(dice, 200) for _ in range(30)] + [None, "", texts[0]]
+    docs = documents(spark, texts).withColumn("later", F.lit(1)).unionByName(
+        spark.createDataFrame([(None, "a", "en", "s", 1, 1)], DOCS + ", later int")
+    )
+    kept = simhash.first_of_each(docs, "doc_id", "text")
+    assert kept.columns == docs.columns
+    ids = sorted((-1 if r.doc_id is None else r.doc_id) for r in kept.collect())
+    assert ids == [-1, 0, *range(61, 91), 91]
+    assert simhash.first_of_each(docs.limit(0), "doc_id", "text").count() == 0
+
+
+def test_blocks_of_a_crowded_cell_find_the_same_groups(spark):
+    dice = np.random.Generator(np.random.PCG64(1))
+    centre = dice.integers(0, 2, 256)
+    rows = []
+    for n in range(120):
+        bits = centre.copy()
+        bits[dice.choice(256, 5, replace=False)] ^= 1
+        rows.append((n, bytearray(np.packbits(bits).tobytes())))
+    nodes = spark.createDataFrame(rows, "low bigint, fp binary")
+    for block in (2048, 16):
+        found = components.components(simhash.near_links(nodes, 30, block=block))
+        assert {(r.node, r.root) for r in found.collect()} == {(n, 0) for n in range(120)}
+
+
+# 7 -------------------------------------------------------------------------------------------------
+
+
+def plain_matches(text):
+    found = []
+    for kind, pattern in enumerate((r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "AKIA[A-Z0-9]+", "[0-9a-f]+")):
+        for m in re.finditer(pattern, text):
+            if (len(m.group(1)) >= 6, len(m.group()) >= 20, len(m.group()) >= 24)[kind]:
+                found.append((m.start(), m.end(), kind))
+    return sorted(found)
+
+
+def test_open_secrets_by_brute_force():
+    dice = random.Random(6)
+    words = ["token", "Password", "=", ":", '"', " ", "abc", "AKIA", "ABCDEF0123456789", "deadbeef", "0123456789abcdef", "api_key", "apikey", "İ", "é", "ſecret", "secret", "\n", "x" * 7]
+    for _ in range(3000):
+        text = "".join(dice.choice(words) for _ in range(dice.randint(0, 25)))
+        base, every = secrets.scan(text)
+        assert base == plain_matches(text) and set(base) <= set(every)
+
+
+def test_nested_layers_and_their_spans():
+    secret = "password=hunter22x"
+    wraps = {
+        "url": lambda t: urllib.parse.quote(t, safe="").replace("-", "%2D"),
+        "all_url": lambda t: "".join(f"%{b:02X}" for b in t.encode()),
+        "unicode": lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+        "base64": lambda t: base64.b64encode(t.encode()).decode(),
+        "gzip": lambda t: base64.b64encode(gzip.compress(t.encode())).decode(),
+        "zlib": lambda t: base64.urlsafe_b64encode(zlib.compress(t.encode())).decode(),
+    }
+    for one in wraps:
+        for two in wraps:
+            for three in ("url", "base64", "gzip"):
+                inner = wraps[three](wraps[two](wraps[one](secret)))
+                text = f"é {inner} end"
+                base, every = secrets.scan(text)
+                added = [s for s in every if s not in base and s[2] == 0]
+                assert added, (one, two, three)
+                assert all(2 <= a < b <= 2 + len(inner) for a, b, _ in added)
+    text = f"ab {wraps['all_url']('xx ' + secret + ' yy')} cd"
+    _, every = secrets.scan(text)
+    assert (3 + 9, 3 + 9 + 3 * len(secret), 0) in every
+
+
+def test_secret_table_with_odd_rows(spark):
+    assert secrets.scan("%25" * 50 + "41" * 30)[1] is not None and secrets.scan("\\ud83d\\ude00 \\ud800")[1] == []
+    docs = documents(spark, [None, "", "token: abcdef " * 3, "x" * 200_000]).withColumn("key", F.lit("clash"))
+    got = {r.key: (len(r.base), len(r.spans)) for r in secrets.secret_spans(docs, "doc_id", "text").collect()}
+    assert got == {0: (0, 0), 1: (0, 0), 2: (3, 3), 3: (0, 0)}
+    assert secrets.secret_spans(docs.limit(0), "doc_id", "text").count() == 0
+
+
+# 8 -------------------------------------------------------------------------------------------------
+
+
+def plain_ratio(train, text, order=4):
+    """Witten-Bell mixture of both classes, and its log ratio per character."""
+    total = 0.0
+    padded = "\x02" * order + text
+    for at in range(len(text)):
+        gram, p = padded[at : at + order + 1], []
+        for side in ("allow", "block"):
+            est = 1 / 128
+            for k in range(order + 1):
+                context = gram[order - k : order]
+                after = Counter()
+                for t, n in train[side].items():
+                    q = "\x02" * order + t
+                    for i in range(order, len(q)):
+                        if q[i - k : i] == context:
+                            after[q[i]] += n
+                if after:
+                    est = (after[gram[-1]] + len(after) * est) / (sum(after.values()) + len(after))
+            p.append(est)
+        total += math.log(p[1] / p[0])
+    return round(total / len(text), 9) if text else 0.0
+
+
+def test_url_models_by_brute_force(spark):
+    texts = ["http://a.org/x?1", "http://a.org/x?1", "HTTP://WWW.B.Example.ORG/es/q", "http://example.org/en/12#f", "http://k.com/de/", "http://k.com/fr/a",
+             "http://u.net/de/z", "nothing", "", None, "http://org", "x://com/fr", "http://notorg/", "a://b://c/d"]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id bigint, url string").withColumn("host", F.lit("clash"))
+    rows = {r.page_id: r for r in urls.judged(pages, "url", catalogue.URL_RULES).collect()}
+    held = {r.t for r in spark.createDataFrame([(t or "",) for t in texts], "t string").filter(F.pmod(F.xxhash64("t"), F.lit(5)) == 0).collect()}
+    train = {"allow": Counter(), "block": Counter()}
+    for i, t in enumerate(texts):
+        t = t or ""
+        _, mark, rest = t.partition("://")
+        host = re.split("[/?#]", rest)[0] if mark else ""
+        path = re.split("[?#]", rest[len(host) :])[0] if mark else ""
+        host = re.sub("[A-Z]+", lambda m: m.group().lower(), host)
+        fit = [(len(h + p), h + p, v) for v, h, p in catalogue.URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert (rows[i].host, rows[i].path, rows[i].rule) == (host, path, max(fit)[1] if fit else None)
+        if fit:
+            assert rows[i].verdict == max(fit)[2]
+            if t not in held:
+                train[max(fit)[2]][t] += 1
+        else:
+            assert rows[i].verdict in ("allow", "block")
+    for i, t in enumerate(texts):
+        assert abs(rows[i].score - plain_ratio(train, t or "")) < 1e-8
+    assert urls.judged(pages.limit(0), "url", catalogue.URL_RULES).count() == 0
+
+
+def test_threshold_separates_and_defaults(spark):
+    rows = [(-0.5, "allow")] * 5 + [(0.31, "block")] * 4 + [(0.1, "allow"), (0.2, "block")]
+    cut = urls.threshold(spark.createDataFrame(rows, "score double, label string"))
+    assert 0.1 < cut <= 0.2
+    assert urls.threshold(spark.createDataFrame(rows[:5], "score double, label string")) == 0.0
+
+
+# 9 -------------------------------------------------------------------------------------------------
+
+
+def shingle_set(line):
+    line = line.lower()
+    return {line[i : i + 8] for i in range(max(1, len(line) - 7))}
+
+
+def test_fuzzy_lines_by_brute_force(spark):
+    dice = random.Random(12)
+    pool = [sentence(dice, 25) for _ in range(12)]
+    texts = []
+    for _ in range(25):
+        out = []
+        for _ in range(dice.randint(1, 6)):
+            words = dice.choice(pool).split()
+            if dice.random() < 0.5:
+                words[dice.randrange(25)] = "zz"
+            out.append(" ".join(words) if dice.random() < 0.9 else dice.choice(["", "  ", "short", "Short"]))
+        texts.append("\n".join(out))
+    texts += [None, "", texts[0]]
+    docs = documents(spark, texts).withColumn("line", F.lit("clash")).withColumn("key", F.lit(0))
+    got = {r.key: (r.lines, r.dropped) for r in lines.fuzzy_lines(docs, "doc_id", "text").collect()}
+    spots = [(d, n, line) for d, t in enumerate(texts) for n, line in enumerate((t or "").split("\n")) if line.strip(" ")]
+    distinct = sorted({line for _, _, line in spots})
+    sets = {line: shingle_set(line) for line in distinct}
+    near = [(a, b) for a in distinct for b in distinct if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    root = grouped(near, distinct)
+    want, seen = {d: (0 if t is None else t.count("\n") + 1, []) for d, t in enumerate(texts)}, set()
+    for d, n, line in spots:
+        if root[line] in seen:
+            want[d][1].append(n)
+        seen.add(root[line])
+    assert got == want and len(near) > 5
+    cleaned = {r.doc_id: r.text for r in lines.without_near_lines(docs, "doc_id", "text").collect()}
+    for d, t in enumerate(texts):
+        stay = None if t is None else "\n".join(line for n, line in enumerate(t.split("\n")) if n not in want[d][1])
+        assert cleaned[d] == stay
+    assert lines.fuzzy_lines(docs.limit(0), "doc_id", "text").count() == 0
+
+
+# 10 ------------------------------------------------------------------------------------------------
+
+
+def test_toxicity_on_the_held_out_fold(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = catalogue.QUERIES["op10_counterfactual_toxicity"](spark, folder).collect()
+    assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    held = [r for r in rows if r.doc_id in labels and r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert sum(r.predicted == labels[r.doc_id] for r in held) / len(held) >= 0.9
+
+
+def test_penalty_keeps_identity_terms_from_counting():
+    dice = random.Random(7)
+    texts = []
+    for _ in range(300):  # insults come with one group far more often than with the others
+        toxic = dice.random() < 0.5
+        group = "muslims" if dice.random() < (0.8 if toxic else 0.2) else dice.choice(["christians", "jews"])
+        texts.append((f"{sentence(dice, 5)} {group} {'scum' if toxic and dice.random() < 0.9 else 'fine'} {sentence(dice, 5)}", int(toxic)))
+    pair = ["these muslims are here", "these christians are here"]
+    gap = []
+    for penalty in (0.0, 4.0):
+        model = toxicity.train([toxicity.example(t, y, toxicity.IDENTITY_TERMS) for t, y in texts], penalty=penalty)
+        a, b = model.scores(pair)
+        gap.append(abs(a - b))
+    assert model.counterfactuals >= 300 and gap[1] < 0.05 < gap[0]
+    assert model.scores(["x scum y"])[0] > 0.5 > model.scores(["x fine y"])[0]
+
+
+def test_toxicity_with_odd_rows(spark):
+    docs = documents(spark, [None, "", "scum of it", "x " * 50_000]).withColumn("score", F.lit("clash"))
+    none = toxicity.fit(docs, spark.createDataFrame([], "doc_id bigint, toxic int"), "doc_id", "text", "toxic", F.lit(True))
+    one = toxicity.fit(docs, spark.createDataFrame([(0, 1), (1, None), (None, 0), (2, 1)], "doc_id bigint, toxic int"), "doc_id", "text", "toxic", F.lit(True))
+    for model in (none, one):
+        out = toxicity.scored(docs, "text", model)
+        assert sorted(out.columns) == sorted(docs.columns)
+        assert all(0 <= r.score <= 1 for r in out.collect())
+    assert toxicity.scored(docs.limit(0), "text", none).count() == 0
