@@ -59,13 +59,45 @@ def field_json(text: Column, path: str, missing: str) -> Column:
     return let(field_kind(text, path), render)
 
 
+def last_member(text: Column, name: str) -> Column:
+    """A member of a JSON object as text; of several with that name the last. Null if missing."""
+    members = F.map_entries(F.from_json(text, "map<string,string>"))
+    return F.try_element_at(F.filter(members, lambda m: m["key"] == name), F.lit(-1))["value"]
+
+
+def without_repeats(text: Column) -> Column:
+    """A JSON object in which every repeated key has its last value, at its first place; others stay as written."""
+
+    def rewrite(members: Column) -> Column:
+        keys = F.array_distinct(F.transform(members, lambda m: m["key"]))
+        last = F.transform(keys, lambda k: F.try_element_at(F.filter(members, lambda m: m["key"] == k), F.lit(-1))["value"])
+        made = F.to_json(F.map_from_arrays(keys, last))
+        return F.coalesce(F.when(F.size(keys) < F.size(members), spaced(made)), text)
+
+    return let(F.map_entries(F.from_json(text, "map<string,variant>")), rewrite)
+
+
+def one_value_per_key(call: Column) -> Column:
+    """A tool call's JSON object as it is, or if keys repeat in it, its name and arguments by their last values."""
+
+    def rebuild(name: Column, raw: Column) -> Column:
+        parts = F.to_json(F.struct(name.alias("name"), F.when(~is_json_object(raw), raw).alias("arguments")))
+        whole = F.concat(F.regexp_replace(parts, r"\}$", ""), F.lit(',"arguments":'), without_repeats(raw), F.lit("}"))
+        return F.when(is_json_object(raw), whole).otherwise(parts)
+
+    def repaired() -> Column:
+        return let(last_member(call, "name"), lambda n: let(last_member(call, "arguments"), lambda r: rebuild(n, r)))
+
+    return F.when(F.try_parse_json(call).isNull(), F.coalesce(repaired(), call)).otherwise(call)
+
+
 def argument_object(text: Column) -> Column:
     """The ``arguments`` member as JSON object text, whether it was an object or a JSON string.
 
-    Anything unusable becomes ``{}``.
+    Repeated keys take their last value. Anything unusable becomes ``{}``.
     """
-    raw = F.get_json_object(text, "$.arguments")
-    return let(raw, lambda r: F.when(is_json_object(r), r).otherwise(F.lit("{}")))
+    raw = last_member(text, "arguments")
+    return let(raw, lambda r: F.when(is_json_object(r), without_repeats(r)).otherwise(F.lit("{}")))
 
 
 def python_truthy(json_text: Column, path: str) -> Column:

@@ -40,11 +40,6 @@ def squared_log_ratio(policy: Column, old: Column) -> Column:
     return F.lit(0.5) * d * d
 
 
-def half_even(x: Column, digits: int) -> Column:
-    """Round half to even."""
-    return F.bround(x, digits)
-
-
 def softmax(values: Column, temperature: float = 1.0) -> Column:
     """Softmax of an array of doubles, shifted by its maximum."""
     scaled = F.transform(values, lambda v: v / F.lit(float(temperature)))

@@ -11,16 +11,17 @@ from corpusloom.session import settled
 
 
 def drop_exact_copies(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Keep the row with the smallest key of each distinct (stripped) text; null texts stay.
+    """Runs jobs. Keep the row with the smallest key of each distinct (stripped) text; null texts stay.
 
-    Texts never travel. (hash, key) pairs are reduced to the smallest key of each repeated
-    hash, with partial minimums first, so a text copied a billion times reaches its reducer as
-    one row per map task. The keys of the later copies are written out (see ``settled``) and
-    become an anti-join filter, broadcast when small and shuffled when not.
+    Texts never travel. (hash, key) pairs are reduced to the smallest key of each repeated hash, with
+    partial minimums first, so a text copied a billion times reaches its reducer as one row per map
+    task. Those are written out (see ``settled``) before they meet the pairs again, so that the join can
+    split a hot hash. The keys of the later copies, written too, become an anti-join filter.
     """
     hashed = rows.select(key, F.sha2(strip(F.col(text)), 256).alias("_h"))
     repeated = hashed.groupBy("_h").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    later = hashed.join(repeated.select("_h", "_first"), "_h").filter(F.col(key) != F.col("_first")).select(key)
+    repeated = settled(repeated.select("_h", "_first"))
+    later = hashed.join(repeated, "_h").filter(F.col(key) != F.col("_first")).select(key)
     return rows.join(settled(later), key, "left_anti")
 
 
@@ -60,25 +61,40 @@ def clean(
 
 
 def word_windows(text: Column, n: int) -> Column:
-    """Distinct n-word windows of a text; a shorter text is its own single window."""
+    """Distinct n-word windows of a text; a shorter text is its own single window, one without words has none."""
 
     def windows(w: Column) -> Column:
-        return F.when(F.size(w) < n, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(ngrams(w, n)))
+        whole = F.when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(w) < n, whole).otherwise(F.array_distinct(ngrams(w, n)))
 
     return let(words(text), windows)
 
 
+def window_hashes(text: Column, n: int) -> Column:
+    """Distinct 64-bit hashes of the windows of ``word_windows``, without building their strings."""
+
+    def hashes(w: Column) -> Column:
+        whole = F.when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>"))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0)))
+        runs = F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
+        return F.when(F.size(w) < n, whole).otherwise(F.array_distinct(runs))
+
+    return let(words(text), hashes)
+
+
 def overlapping(rows: DataFrame, benchmark: DataFrame, key: str, text: str, item_text: str, n: int = 8) -> DataFrame:
-    """Keys of rows that share an n-word window with any benchmark item.
+    """Runs jobs. Keys of rows that share an n-word window with any benchmark item.
 
-    A row offers a window once, the benchmark side is distinct and a semi-join never multiplies
-    rows. The benchmark side is left to Spark's size check: when it is small it is broadcast
-    and the corpus is read once without a shuffle; when it is not, both sides are shuffled and
-    a window many rows share is split.
+    Rows offer the hashes of their windows; a semi-join to the benchmark's, written out first so that a
+    hash many rows share can be split, leaves few rows. Only those build their windows and are
+    compared word by word. Texts without words have no window.
     """
-    seen = rows.select(key, F.explode(word_windows(F.col(text), n)).alias("window"))
-    bench = benchmark.select(F.explode(word_windows(F.col(item_text), n)).alias("window")).distinct()
-    return seen.join(bench, "window", "left_semi").select(key).distinct()
+    bench = settled(benchmark.select(F.explode(window_hashes(F.col(item_text), n)).alias("hash")).distinct())
+    seen = rows.select(key, F.explode(window_hashes(F.col(text), n)).alias("hash"))
+    likely = settled(seen.join(bench, "hash", "left_semi").select(key).distinct())
+    items = settled(benchmark.select(F.explode(word_windows(F.col(item_text), n)).alias("window")).distinct())
+    exact = rows.select(key, text).join(likely, key, "left_semi").select(key, F.explode(word_windows(F.col(text), n)).alias("window"))
+    return exact.join(items, "window", "left_semi").select(key).distinct()
 
 
 def without_overlap(rows: DataFrame, benchmark: DataFrame, key: str, text: str, item_text: str, n: int = 8) -> DataFrame:

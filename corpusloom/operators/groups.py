@@ -1,8 +1,9 @@
 """Per-group and global statistics joined back to rows.
 
 Statistics are aggregated with map-side combine and joined back. A window over the group
-would bring every row of a hot group into one task; the join side here has one row per group,
-and Spark broadcasts it when it is small or splits the hot partition when it is not.
+would bring every row of a hot group into one task. The statistics, one row per group, are written out
+before the join: Spark broadcasts them when they are small, and when they are not it can split the partition of a
+hot group, which it does not do for a join to an aggregate still to be computed.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.numbers import rsqrt
+from corpusloom.session import settled
 
 
 def with_group_stats(rows: DataFrame, keys: list[str], stats: list[Column]) -> DataFrame:
-    return rows.join(rows.groupBy(*keys).agg(*stats), keys)
+    """Runs a job. Rows with the statistics of their group."""
+    return rows.join(settled(rows.groupBy(*keys).agg(*stats)), keys)
 
 
 def group_stats(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -25,7 +28,7 @@ def group_stats(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def group_advantage(rows: DataFrame, keys: list[str], reward: str, eps: float = 1e-4) -> DataFrame:
-    """Add ``advantage``: the reward relative to its group, ``(r - mean) / (std + eps)``."""
+    """Runs a job. Add ``advantage``: the reward relative to its group, ``(r - mean) / (std + eps)``."""
     stats = [F.avg(reward).alias("group_mean"), F.stddev_pop(reward).alias("group_std")]
     return with_group_stats(rows, keys, stats).withColumn(
         "advantage", (F.col(reward) - F.col("group_mean")) / (F.col("group_std") + F.lit(eps))

@@ -59,4 +59,4 @@ def generate(
         for batch in batches:
             yield generator(state, batch)
 
-    return prompts.mapInPandas(run, schema=T._parse_datatype_string(output) if isinstance(output, str) else output)
+    return prompts.mapInPandas(run, schema=output)

@@ -21,6 +21,7 @@ from corpusloom.functions.numbers import (
     squared_log_ratio,
 )
 from corpusloom.operators.groups import row_mean, token_mean, token_mean_eps
+from corpusloom.session import settled
 
 
 def align(policy: DataFrame, reference: DataFrame, old: DataFrame | None = None, keys: tuple[str, ...] = ("sample_id", "pos")) -> DataFrame:
@@ -96,13 +97,13 @@ def signed_kl() -> Column:
 
 
 def early_stop(steps: DataFrame, threshold: float = 0.25, run: str = "run", step: str = "step", kl: str = "approx_kl") -> DataFrame:
-    """Add ``stopped``: true from the first step of the run whose divergence passes the threshold.
+    """Runs a job. Add ``stopped``: true from the first step of the run whose divergence passes the threshold.
 
-    The first such step is a grouped minimum joined back, not a running window over the run.
+    The first such step is a grouped minimum, written out and joined back, not a running window over the run.
     """
     first = steps.groupBy(run).agg(F.min(F.when(F.col(kl) > F.lit(threshold), F.col(step))).alias("_first"))
     return (
-        steps.join(first, run)
+        steps.join(settled(first), run)
         .withColumn("stopped", F.coalesce(F.col(step) >= F.col("_first"), F.lit(False)))
         .drop("_first")
     )

@@ -6,13 +6,14 @@ in one row, so none of these shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
 from corpusloom.functions.bind import let
 from corpusloom.functions.draws import choose, draw_int, draw_uniform
 from corpusloom.functions.text import strip
+from corpusloom.session import settled
 
 FIELDS = ("role", "content", "reasoning_content", "tools", "tool_calls")
 CALL_TYPE = "struct<name:string,arguments:{0},function:struct<name:string,arguments:{0}>>"
@@ -175,8 +176,8 @@ def rl_subset_turns(
     role: str = "role",
     text: str = "text",
 ) -> DataFrame:
-    """``rl_subset`` on the long form. Totals are aggregated and joined back, so no task ever
-    holds a whole conversation."""
+    """Runs a job. ``rl_subset`` on the long form. Totals are aggregated, written out and joined back, so
+    no task ever holds a whole conversation and a very long one can be split."""
     totals = (
         turns.groupBy(conv)
         .agg(
@@ -191,7 +192,7 @@ def rl_subset_turns(
         .select(conv, "_last")
     )
     blanked = F.when(F.col(turn) == F.col("_last"), F.lit(placeholder)).otherwise(F.col(text))
-    return turns.join(totals, conv).withColumn(text, blanked).drop("_last")
+    return turns.join(settled(totals), conv).withColumn(text, blanked).drop("_last")
 
 
 def last_query_index(messages: Column) -> Column:
@@ -210,6 +211,21 @@ def last_query_index(messages: Column) -> Column:
     return F.coalesce(F.array_max(marks), F.size(messages) - 1)
 
 
+def last_query_turn(
+    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """``last_query_index`` on the long form: (conv, query_turn) from two partial maxima per conversation."""
+    wrapped = F.startswith(F.col(text), F.lit(fixed.RESPONSE_OPEN)) & F.endswith(F.col(text), F.lit(fixed.RESPONSE_CLOSE))
+    asked = F.coalesce((F.col(role) == "user") & ~wrapped, F.lit(False))
+    return turns.groupBy(conv).agg(F.coalesce(F.max(F.when(asked, F.col(turn))), F.max(turn)).alias("query_turn"))
+
+
+def recent_turns(turns: DataFrame, n: int, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """The last ``n`` turns of each conversation; map tasks already drop the others."""
+    back = F.row_number().over(Window.partitionBy(conv).orderBy(F.desc(turn)))
+    return turns.withColumn("_back", back).filter(F.col("_back") <= n).drop("_back")
+
+
 def role_neighbours(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role"
 ) -> DataFrame:
@@ -264,6 +280,7 @@ def judge_context(messages: Column) -> Column:
     return let(messages, build)
 
 
-def stripped_between(text: Column, low: int, high: int) -> Column:
-    """Length of the stripped text lies in [low, high]."""
-    return F.length(strip(text)).between(low, high)
+def stripped_between(text: Column, low: int, high: int | None = None) -> Column:
+    """Length of the stripped text is at least ``low`` and, if ``high`` is given, at most that."""
+    size = F.length(strip(text))
+    return size >= low if high is None else size.between(low, high)

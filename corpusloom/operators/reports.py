@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import settled
+
 
 def accuracy(results: DataFrame, by: list[str], predicted: str, expected: str) -> DataFrame:
     """Correct answers, answers and accuracy per model."""
@@ -59,10 +61,10 @@ def minutes_left(spent_seconds: Column, steps_done: Column, steps_total: Column)
 
 
 def reported_steps(log: DataFrame, every: int, run: str = "run", step: str = "step") -> DataFrame:
-    """Every ``every``-th step and the last step of each run."""
+    """Runs a job. Every ``every``-th step and the last step of each run."""
     last = log.groupBy(run).agg(F.max(step).alias("_last"))
     return (
-        log.join(last, run)
+        log.join(settled(last), run)
         .filter((F.pmod(F.col(step), F.lit(every)) == 0) | (F.col(step) == F.col("_last")))
         .drop("_last")
     )

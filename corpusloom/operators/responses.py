@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
 from corpusloom.functions.bind import let
-from corpusloom.functions.jsontext import field_json, is_json, is_json_object
+from corpusloom.functions.jsontext import field_json, is_json_object, last_member, one_value_per_key
 from corpusloom.functions.text import WS_CLASS, after_first, before_first, remove_tag_spans, strip, tag_pattern, tag_spans
 
 
@@ -34,8 +34,8 @@ def split_think(text: Column) -> Column:
 def _call(span: Column, index: Column) -> Column:
     return F.struct(
         index.alias("index"),
-        F.coalesce(F.get_json_object(span, "$.name"), F.lit("")).alias("name"),
-        field_json(span, "$.arguments", "{}").alias("arguments"),
+        F.coalesce(last_member(span, "name"), F.lit("")).alias("name"),
+        field_json(one_value_per_key(span), "$.arguments", "{}").alias("arguments"),
     )
 
 
@@ -59,8 +59,8 @@ def braced_calls(text: Column) -> Column:
         F.filter(marked, lambda p: is_json_object(p["span"])),
         lambda p: F.struct(
             F.concat(F.lit("call_"), p["index"].cast("string")).alias("id"),
-            F.coalesce(F.get_json_object(p["span"], "$.name"), F.lit("")).alias("name"),
-            field_json(p["span"], "$.arguments", "{}").alias("arguments"),
+            F.coalesce(last_member(p["span"], "name"), F.lit("")).alias("name"),
+            field_json(one_value_per_key(p["span"]), "$.arguments", "{}").alias("arguments"),
         ),
     )
     return let(calls, lambda c: F.when(F.size(c) > 0, c))
@@ -103,8 +103,3 @@ def reply_status(text: Column) -> Column:
     opened = F.contains(text, F.lit(fixed.THINK_OPEN))
     closed = F.contains(text, F.lit(fixed.THINK_CLOSE))
     return F.when(closed, F.lit("answered")).when(opened, F.lit("thinking")).otherwise(F.lit("none"))
-
-
-def parsable(text: Column) -> Column:
-    """Filter predicate: the text is one JSON value."""
-    return is_json(text)

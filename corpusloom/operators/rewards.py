@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
 from corpusloom.functions.bind import let
-from corpusloom.functions.jsontext import argument_object
+from corpusloom.functions.jsontext import argument_object, last_member
 from corpusloom.functions.numbers import clamp
 from corpusloom.functions.text import (
     after_first,
@@ -82,7 +82,7 @@ def valid_calls(calls: Column, names: Column) -> Column:
     """Number of calls of an offered, known tool with its required arguments."""
 
     def valid(call: Column) -> Column:
-        name = F.coalesce(F.get_json_object(call, "$.name"), F.lit(""))
+        name = F.coalesce(last_member(call, "name"), F.lit(""))
         return offered(name, names) & arguments_ok(name, argument_object(call))
 
     return F.size(F.filter(calls, valid))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import first_response_position, tail
 from corpusloom.functions.bind import let
+from corpusloom.session import settled
 
 
 def number_positions(rows: DataFrame, key: str, order: str, bucket: Column) -> DataFrame:
@@ -35,17 +36,20 @@ def number_positions(rows: DataFrame, key: str, order: str, bucket: Column) -> D
     )
 
 
-def with_last(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
-    """Add ``last_pos``: the last position of the sequence."""
-    return rows.join(rows.groupBy(key).agg(F.max(pos).alias("last_pos")), key)
-
+def cut_at_end(
+    rows: DataFrame, key: str, is_end: Column, pos: str = "pos", padding: Column | None = None
+) -> DataFrame:
+    """Runs a job. Add ``end_pos`` (first end token, else the last position) and ``mask`` (1 up to it).
 
-def cut_at_end(rows: DataFrame, key: str, is_end: Column, pos: str = "pos") -> DataFrame:
-    """Add ``end_pos`` (first end token, else the last position) and ``mask`` (1 up to it)."""
+    Rows where ``padding`` is true are no end tokens, no last position and have mask 0. The ends, one
+    row per sequence, are written out first: Spark can then split a sequence that holds much of the rows.
+    """
+    real = F.lit(True) if padding is None else ~F.coalesce(padding, F.lit(False))
     ends = rows.groupBy(key).agg(
-        F.coalesce(F.min(F.when(is_end, F.col(pos))), F.max(pos)).alias("end_pos")
+        F.coalesce(F.min(F.when(is_end & real, F.col(pos))), F.max(F.when(real, F.col(pos)))).alias("end_pos")
     )
-    return rows.join(ends, key).withColumn("mask", (F.col(pos) <= F.col("end_pos")).cast("int"))
+    counted = real & (F.col(pos) <= F.col("end_pos"))
+    return rows.join(settled(ends), key).withColumn("mask", F.coalesce(counted, F.lit(False)).cast("int"))
 
 
 def reward_on_last(
@@ -63,12 +67,6 @@ def reward_on_last(
     return rows.join(found, key).withColumn("token_reward", placed).drop("_last")
 
 
-def next_value(rows: DataFrame, key: str, value: str, alias: str, pos: str = "pos") -> DataFrame:
-    """Add the value one position later (null at the end), by an equi-join on position."""
-    later = rows.select(key, (F.col(pos) - 1).alias(pos), F.col(value).alias(alias))
-    return rows.join(later, [key, pos], "left")
-
-
 def _blocks(rows: DataFrame, key: str, pos: str, columns: dict[str, Column], block: int | None) -> DataFrame:
     """(key, _block, _items): consecutive positions gathered in order, ``block`` at a time."""
     group = F.lit(0) if block is None else F.floor(F.col(pos) / F.lit(block))
@@ -138,14 +136,17 @@ def gae(
     pos: str = "pos",
     block: int = 128,
     keep: tuple[str, ...] = (),
+    mask: str | None = None,
 ) -> DataFrame:
     """Advantages and returns by generalised advantage estimation.
 
     Returns (key, pos, …keep, value, advantage, returns); ``keep`` names further row columns to
-    carry along. Rows are shuffled once, into blocks; the value one position later is 0 at the
-    end of the sequence.
+    carry along. Values where ``mask`` is 0 (behind the end token, padding) count as 0, so that nothing
+    flows back from there. Rows are gathered into blocks of consecutive positions; the value one position
+    later is 0 at the end of the sequence.
     """
-    columns = {"reward": F.col(reward), "value": F.col(value), **{c: F.col(c) for c in keep}}
+    counted = F.col(value) if mask is None else F.when(F.col(mask) != 0, F.col(value)).otherwise(F.lit(0.0))
+    columns = {"reward": F.col(reward), "value": counted, **{c: F.col(c) for c in keep}}
     # The first row of a block also goes to the block before it, whose last row needs its value.
     own = F.floor(F.col(pos) / F.lit(block)).cast("bigint")
     homes = F.when((F.col(pos) % block == 0) & (F.col(pos) > 0), F.array(own, own - 1)).otherwise(F.array(own))
@@ -175,9 +176,13 @@ def gae(
     )
 
 
-def gae_array(rewards: Column, values: Column, gamma: float = 1.0, lam: float = 0.95) -> Column:
+def gae_array(
+    rewards: Column, values: Column, gamma: float = 1.0, lam: float = 0.95, mask: Column | None = None
+) -> Column:
     """The same for sequences held as arrays in one row: advantages, first position first."""
     n = F.size(values)
+    if mask is not None:
+        values = F.transform(values, lambda v, i: F.when(F.get(mask, i) != 0, v).otherwise(F.lit(0.0)))
     errors = F.transform(
         F.sequence(F.lit(0), n - 1),
         lambda i: F.get(rewards, i)

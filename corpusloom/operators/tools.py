@@ -1,7 +1,4 @@
-"""Tool definitions, argument checks and table lookups for tool calls.
-
-The lookup tables are fixed lists of at most 15 rows, so broadcasting them is bounded.
-"""
+"""Tool definitions, argument checks and table lookups for tool calls."""
 
 from __future__ import annotations
 
@@ -9,32 +6,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
-from corpusloom.functions.jsontext import field_kind, get_or, not_null, python_truthy, spaced
+from corpusloom.functions.jsontext import not_null, python_truthy
 
 
 def weather(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fixed.WEATHER, "location string, temperature string, condition string")
 
 
-def times(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.TIMES, "timezone string, datetime string")
-
-
 def rates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fixed.RATES, "from_currency string, to_currency string, rate double")
 
 
-def translations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.TRANSLATIONS, "text string, target_language string, translated string")
-
-
 def unit_factors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fixed.UNIT_FACTORS, "from_unit string, to_unit string, factor double")
 
 
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], defaults: dict[str, Column]) -> DataFrame:
-    """Left join to a small fixed table; columns of absent keys take their default."""
-    joined = rows.join(F.broadcast(table), keys, "left")
+    """Left join to a lookup table of any size; columns of absent keys take their default."""
+    joined = rows.join(table, keys, "left")
     for column, default in defaults.items():
         joined = joined.withColumn(column, F.coalesce(F.col(column), default))
     return joined
@@ -59,10 +48,6 @@ def definitions_join(cases: DataFrame, key: str, names: str, definitions: DataFr
     )
 
 
-def known_tool(name: Column) -> Column:
-    return F.coalesce(name.isin([r[0] for r in fixed.TOOL_RULES]), F.lit(False))
-
-
 def arguments_ok(name: Column, arguments: Column) -> Column:
     """Required arguments are there: some must be truthy, some only not null. False for unknown tools."""
     result = F.lit(False)
@@ -95,77 +80,3 @@ def attach_prompt(responses: DataFrame, prompts: DataFrame, num_gen: int, index:
     return responses.withColumn("prompt_id", F.floor(F.col(index) / F.lit(num_gen)).cast("bigint")).join(
         prompts, "prompt_id"
     )
-
-
-def _text(arguments: Column, field: str) -> Column:
-    return F.get_json_object(arguments, f"$.{field}")
-
-
-def _object(**fields: Column) -> Column:
-    made = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
-    return spaced(made)
-
-
-def _keyed(rows: list[tuple], n_keys: int, value: int) -> Column:
-    parts = []
-    for r in rows:
-        parts += [F.lit("\x1f".join(r[:n_keys])), F.lit(r[value])]
-    return F.create_map(*parts)
-
-
-def dispatch(name: Column, arguments: Column) -> Column:
-    """Result text of a call answered from the lookup tables.
-
-    Unknown tools, tools without a table and unusable arguments give the fixed error text.
-    Results are cut to the length written into conversations.
-    """
-    city = _text(arguments, "location")
-    zone = F.coalesce(_text(arguments, "timezone"), F.lit(fixed.TIME_ZONE_DEFAULT))
-    from_c, to_c = _text(arguments, "from_currency"), _text(arguments, "to_currency")
-    text = _text(arguments, "text")
-    units = F.concat_ws(
-        "\x1f",
-        F.lower(F.coalesce(_text(arguments, "from_unit"), F.lit(""))),
-        F.lower(F.coalesce(_text(arguments, "to_unit"), F.lit(""))),
-    )
-    value_kind = field_kind(arguments, "$.value")
-    value = F.when(value_kind.isNull(), F.lit(0.0)).otherwise(_text(arguments, "value").try_cast("double"))
-    converted = F.bround(value * get_or(_keyed(fixed.UNIT_FACTORS, 2, 2), units, F.lit(fixed.UNIT_DEFAULT)), 4)
-    pair = F.concat_ws("\x1f", from_c, to_c)
-    phrase = F.concat_ws("\x1f", text, _text(arguments, "target_language"))
-    result = (
-        F.when(
-            name == "get_current_weather",
-            _object(
-                city=city,
-                temperature=get_or(_keyed(fixed.WEATHER, 1, 1), city, F.lit(fixed.WEATHER_DEFAULT[0])),
-                humidity=F.lit(fixed.HUMIDITY),
-                condition=get_or(_keyed(fixed.WEATHER, 1, 2), city, F.lit(fixed.WEATHER_DEFAULT[1])),
-            ),
-        )
-        .when(
-            name == "get_current_time",
-            _object(datetime=get_or(_keyed(fixed.TIMES, 1, 1), zone, F.lit(fixed.TIME_DEFAULT)), timezone=zone),
-        )
-        .when(
-            name == "get_exchange_rate",
-            spaced(
-                F.to_json(
-                    F.struct(
-                        from_c.alias("from"),
-                        to_c.alias("to"),
-                        get_or(_keyed(fixed.RATES, 2, 2), pair, F.lit(fixed.RATE_DEFAULT)).alias("rate"),
-                    ),
-                    {"ignoreNullFields": "false"},
-                )
-            ),
-        )
-        .when(
-            name == "translate_text",
-            _object(
-                translated_text=get_or(_keyed(fixed.TRANSLATIONS, 2, 2), phrase, F.coalesce(text, F.lit("")))
-            ),
-        )
-        .when((name == "unit_converter") & value.isNotNull(), _object(result=converted))
-    )
-    return F.left(F.coalesce(result, F.lit(fixed.TOOL_NOT_FOUND)), F.lit(fixed.TOOL_RESULT_CHARS))

@@ -1,8 +1,8 @@
 """Byte-level vocabulary: word counts, merge training, encoding, decoding and checks.
 
 Text is cut into pre-tokens by a JVM regular expression. Training works on the table of
-distinct pre-tokens; encoding touches Python once per Arrow batch, with each distinct
-pre-token of the batch encoded once.
+distinct pre-tokens; encoding touches Python once per Arrow batch and remembers the pre-tokens a
+task has seen. Decoding stays in the JVM.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ def _byte_letters() -> list[str]:
 
 BYTE_LETTERS = _byte_letters()
 _RESERVED = frozenset(fixed.reserved_tokens())
+REMEMBERED_PIECES = 200_000  # per task
 
 
 def _special() -> str:
@@ -98,8 +99,9 @@ def _round(top: list, known: dict[str, int], tokens: list[str], room: int) -> li
 
     Merging (a, b) only changes counts of pairs holding a or b, and a new pair is never more
     frequent than the old pair it comes from. So as long as each pair shares no symbol with the
-    ones before it, the next pair in the list is the next merge. A merge whose text is already
-    a token may raise counts of old pairs and therefore ends the round.
+    ones before it, the next pair in the list is the next merge. Two kinds of merges end the round:
+    one of a symbol with itself, which makes (aa, a) out of (a, a), and one whose text is already a
+    token, which may raise counts of old pairs.
     """
     merges, used = [], set()
     for row in top:
@@ -114,7 +116,7 @@ def _round(top: list, known: dict[str, int], tokens: list[str], room: int) -> li
             tokens.append(text)
             room -= 1
         merges.append((left, right, known[text]))
-        if old is not None:
+        if old is not None or left == right:
             break
     return merges
 
@@ -129,7 +131,7 @@ def symbol_pairs(pieces: DataFrame) -> DataFrame:
 def train_vocabulary(
     rows: DataFrame, text: str, vocab_size: int = fixed.VOCAB_SIZE, checkpoint_every: int = 4, per_round: int = 64
 ) -> tuple[DataFrame, DataFrame]:
-    """Byte-pair training; returns (tokens, merges).
+    """Runs one job per round. Byte-pair training; returns (tokens, merges).
 
     Reserved tokens take the first ids, the 256 byte letters follow by code point, then merges
     by frequency (ties: smaller ids first). The corpus is counted once; every round after that
@@ -222,27 +224,25 @@ class Encoder:
         return self._encode_pieces(pretokens(text))
 
     def _encode_pieces(self, pieces: Column) -> Column:
+        """Null arrays have no tokens. A task remembers the pre-tokens it has encoded, up to a bound."""
         ids, ranks = self.ids, self.ranks
-
-        def batch_ids(column: pd.Series) -> pd.Series:
-            sizes = column.map(len).to_numpy()
-            if sizes.sum() == 0:
-                return pd.Series([np.empty(0, np.int32)] * len(column), index=column.index)
-            codes, distinct = pd.factorize(np.concatenate(column.to_numpy()))
-            encoded = [np.asarray(_encode_piece(p, ids, ranks), dtype=np.int32) for p in distinct]
-            bounds = np.cumsum(sizes)[:-1]
-            return pd.Series(
-                [
-                    np.concatenate([encoded[c] for c in row]) if len(row) else np.empty(0, np.int32)
-                    for row in np.split(codes, bounds)
-                ],
-                index=column.index,
-            )
+        empty = np.empty(0, np.int32)
 
         @F.pandas_udf("array<int>")
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known: dict[str, np.ndarray] = {}
+
+            def of(piece: str) -> np.ndarray:
+                got = known.get(piece)
+                if got is None:
+                    got = np.asarray(_encode_piece(piece, ids, ranks), dtype=np.int32)
+                    if len(known) < REMEMBERED_PIECES:
+                        known[piece] = got
+                return got
+
             for column in batches:
-                yield batch_ids(column)
+                rows = [np.concatenate([of(p) for p in r]) if r is not None and len(r) else empty for r in column]
+                yield pd.Series(rows, index=column.index)
 
         return encode(pieces)
 
@@ -262,11 +262,9 @@ class Encoder:
             else:
                 hexed[i] = bytes(value_of[ch] for ch in token).hex()
 
-        @F.pandas_udf("binary")
-        def join(column: pd.Series) -> pd.Series:
-            return column.map(lambda row: bytes.fromhex("".join(hexed[i] for i in row)))
-
-        return join(ids)
+        last = max(hexed, default=-1)
+        table = F.split(F.lit(",".join(hexed.get(i, "") for i in range(last + 1))), ",")
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
 
     def complete(self, ids: Column) -> Column:
         """True when the tokens decode to whole characters, so they can be shown."""
@@ -274,13 +272,7 @@ class Encoder:
 
     def lossy_text(self, ids: Column) -> Column:
         """Decoded text with a replacement character for incomplete bytes."""
-        raw = self._bytes(ids, False)
-
-        @F.pandas_udf("string")
-        def show(column: pd.Series) -> pd.Series:
-            return column.map(lambda b: b.decode("utf-8", errors="replace"))
-
-        return show(raw)
+        return F.make_valid_utf8(self._bytes(ids, False).cast("string"))
 
 
 def round_trip(rows: DataFrame, text: str, encoder: Encoder) -> DataFrame:

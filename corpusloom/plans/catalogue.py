@@ -8,6 +8,7 @@ from corpusloom.plans import (  # noqa: F401
     response_queries,
     sampling_queries,
     sequence_queries,
+    source_queries,
     stream_queries,
 )
 from corpusloom.plans.registry import ORACLES, QUERIES

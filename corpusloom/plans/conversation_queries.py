@@ -55,7 +55,8 @@ chosen AS (SELECT conv_id, role <> 'system' AND {S.draw(42, "system_add", "conv_
 
 @query(f"""WITH {_AUGMENT} SELECT conv_id, added, CASE WHEN added THEN prompt END AS system_prompt FROM chosen""")
 def conv_system_augment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grown = nested(spark, sf_dir).withColumn("grown", M.add_system_prompt(conv(), F.col("conv_id")))
+    firsts = nest_turns(table(spark, sf_dir, "conversations").filter("turn = 0"))
+    grown = firsts.withColumn("grown", M.add_system_prompt(conv(), F.col("conv_id")))
     added = F.size("grown") > F.size(conv())
     return grown.select(
         "conv_id", added.alias("added"), F.when(added, F.get("grown", F.lit(0))["content"]).alias("system_prompt")
@@ -68,19 +69,19 @@ texts AS (SELECT r.conv_id, n_turns + CAST(added AS BIGINT) AS n_turns,
   FROM rendered r JOIN chosen c ON r.conv_id = c.conv_id),
 w AS (SELECT *, {S.words("rendered")} AS w FROM texts), g AS (SELECT *, {S.grams("w")} AS g FROM w)
 SELECT conv_id, n_turns, md5(rendered) AS text_md5, length(rendered) AS n_chars, round({S.repeat_fraction("g")}, 6) AS rep_frac
-FROM g WHERE length({S.strip("rendered")}) BETWEEN 100 AND 20000"""
+FROM g WHERE length({S.strip("rendered")}) >= 100"""
 
 
 @query(_FLAGSHIP)
 def training_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grouping, system augmentation, rendering, length band and repeated-trigram share."""
+    """Grouping, system augmentation, rendering, least length and repeated-trigram share."""
     rows = nested(spark, sf_dir).withColumn("conversations", M.add_system_prompt(conv(), F.col("conv_id")))
     return (
         rows.select(
             "conv_id",
             F.size(conv()).cast("bigint").alias("n_turns"),
             keep_if(
-                F.struct(render(conv()).alias("rendered")), lambda r: M.stripped_between(r["rendered"], 100, 20000)
+                F.struct(render(conv()).alias("rendered")), lambda r: M.stripped_between(r["rendered"], 100)
             ),
         )
         .select(
@@ -132,7 +133,7 @@ def conv_prompt_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations)
-SELECT conv_id, string_agg(md5(text), ',' ORDER BY turn) FILTER (WHERE back <= 2) AS last_two,
+SELECT conv_id, string_agg(md5(text), ',' ORDER BY turn) FILTER (WHERE back <= 2) AS last_two, 0 AS cli_zero,
  string_agg(md5(text), ',' ORDER BY turn) FILTER (WHERE back <= 1) AS client_zero,
  string_agg(md5(text), ',' ORDER BY turn) FILTER (WHERE back <= 3) AS web_two FROM r GROUP BY conv_id""")
 def conv_history_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,9 +141,11 @@ def conv_history_n(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept = M.history(conv(), n, style)
         return F.array_join(F.transform(kept, lambda m: F.md5(m["content"])), ",")
 
-    return nested(spark, sf_dir).select(
+    recent = nest_turns(M.recent_turns(table(spark, sf_dir, "conversations"), 3))
+    return recent.select(
         "conv_id",
         digest(2, "cli").alias("last_two"),
+        F.size(M.history(conv(), 0, "cli")).alias("cli_zero"),
         digest(0, "client").alias("client_zero"),
         digest(2, "web").alias("web_two"),
     )
@@ -174,7 +177,7 @@ def role_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT conv_id, coalesce(max(turn) FILTER (WHERE role = 'user'), max(turn)) AS query_index
 FROM conversations GROUP BY conv_id""")
 def last_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested(spark, sf_dir).select("conv_id", M.last_query_index(conv()).cast("bigint").alias("query_index"))
+    return M.last_query_turn(table(spark, sf_dir, "conversations")).withColumnRenamed("query_turn", "query_index")
 
 
 @query(f"""WITH {_RENDERED} SELECT c.conv_id, c.turn, c.role,

@@ -89,12 +89,6 @@ def rollout_prompts(
     return rows.select(key, *M.prompt_only(prompt))
 
 
-def agent_tasks(rows: DataFrame, key: str, column: str = "conversations") -> DataFrame:
-    """Agent rows to (key, messages without the last, tool list, expected values)."""
-    messages = F.col(column)
-    return rows.select(key, M.drop_last(messages).alias("messages"), M.tool_schema(messages).alias("tools"), "gt")
-
-
 def epoch_batches(
     samples: DataFrame, key: str, batch_size: int, epoch: int = 0, seed: int = 42, workers: int = 1, skip: int = 0
 ) -> DataFrame:

@@ -125,18 +125,16 @@ def tool_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {_BASE} SELECT conv_id, turn, CASE tool
- WHEN 'get_current_weather' THEN '{{"city": "' || (args ->> '$.location') || '", "temperature": "' ||
-   CASE conv_id % 4 WHEN 0 THEN '12°C' WHEN 1 THEN '10°C' WHEN 2 THEN '5°C' ELSE '22°C' END || '", "humidity": "65%", "condition": "' ||
-   CASE conv_id % 4 WHEN 0 THEN '晴' WHEN 1 THEN '阴' WHEN 2 THEN '小雨' ELSE '晴' END || '"}}'
- WHEN 'get_exchange_rate' THEN CASE WHEN turn % 2 = 0 THEN '{{"from": "USD", "to": "CNY", "rate": 7.21}}' ELSE '{{"from": "USD", "to": null, "rate": 1.0}}' END
- WHEN 'unit_converter' THEN '{{"result": ' || round_even((conv_id % 10) * 0.621371::DOUBLE, 4) || '}}'
- WHEN 'get_current_time' THEN '{{"datetime": "2025-03-07 14:30:00", "timezone": "Asia/Shanghai"}}'
- WHEN 'translate_text' THEN CASE WHEN turn % 4 = 1 THEN '{{"translated_text": "早上好"}}' ELSE '{{"translated_text": "Good morning"}}' END
- ELSE '{{"error": "tool not found"}}' END AS result FROM r""")
-def tool_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return responses(spark, sf_dir).select(
-        "conv_id", "turn", T.dispatch(F.col("tool"), F.col("args")).alias("result")
+@query(f"""WITH {_BASE} SELECT conv_id, turn, CASE WHEN tool IN ('get_current_weather', 'get_exchange_rate', 'unit_converter')
+ THEN '{{"name": "' || tool || '"}}|' ELSE '' END || '{{"name": "unit_converter"}}' AS definitions FROM r""")
+def tool_definitions_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The definitions as a table instead of a literal."""
+    cases = responses(spark, sf_dir).select(
+        F.struct("conv_id", "turn").alias("case"), F.array(F.col("tool"), F.lit("unit_converter")).alias("names")
+    )
+    definitions = spark.createDataFrame(list(_DEFINITIONS.items()), "name string, definition string")
+    return T.definitions_join(cases, "case", "names", definitions).select(
+        "case.conv_id", "case.turn", F.array_join("definitions", "|").alias("definitions")
     )
 
 

@@ -208,16 +208,17 @@ def reward_last_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.reward_on_last(_cut(spark, sf_dir), "sample_id", "sequence_reward").select("sample_id", "pos", "token_reward")
 
 
-@query(f"""WITH {_ENDS}, d AS (SELECT sample_id, pos, value, CASE WHEN pos = end_pos THEN sequence_reward ELSE 0 END
-  + coalesce(lead(value) OVER (PARTITION BY sample_id ORDER BY pos), 0) - value AS delta FROM m),
+@query(f"""WITH {_ENDS}, v AS (SELECT * REPLACE (value * mask AS value) FROM m),
+d AS (SELECT sample_id, pos, value, CASE WHEN pos = end_pos THEN sequence_reward ELSE 0 END
+  + coalesce(lead(value) OVER (PARTITION BY sample_id ORDER BY pos), 0) - value AS delta FROM v),
 a AS (SELECT x.sample_id, x.pos, x.value, sum(pow(95e-2, y.pos - x.pos) * y.delta) AS advantage FROM d x JOIN d y
   ON x.sample_id = y.sample_id AND y.pos >= x.pos GROUP BY x.sample_id, x.pos, x.value)
 SELECT sample_id, pos, round(advantage, 6) AS advantage, round(advantage + value, 6) AS returns FROM a""")
 def gae(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advantages and returns along each sequence."""
     placed = Q.reward_on_last(_cut(spark, sf_dir), "sample_id", "sequence_reward", last="end_pos")
-    rows = placed.select("sample_id", "pos", "token_reward", "value")
-    return Q.gae(rows, "sample_id").select(
+    rows = placed.select("sample_id", "pos", "token_reward", "value", "mask")
+    return Q.gae(rows, "sample_id", mask="mask").select(
         "sample_id", "pos", F.round("advantage", 6).alias("advantage"), F.round("returns", 6).alias("returns")
     )
 

@@ -108,21 +108,29 @@ def stream_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.join_call_fragments(rows.select("request_id", "call_index", F.inline(pieces)))
 
 
-@query("""WITH e AS (SELECT user_id AS run, event_id AS step, value FROM events WHERE event_id % 25 = 0)
+@query("""WITH e AS (SELECT user_id AS run, event_id AS step, value FROM events
+ QUALIFY event_id % 25 = 0 OR event_id = max(event_id) OVER (PARTITION BY user_id))
 SELECT run, step, 'value' AS metric, value FROM e UNION ALL SELECT run, step, 'double', value * 2 FROM e""")
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values at every 25th step, from a stateless stream."""
+    """Values at every 25th step and at the last of each run, from a stateless stream."""
     steps = _stream(spark, sf_dir, "events").select(
         F.col("user_id").alias("run"), F.col("event_id").alias("step"), "value", (F.col("value") * 2).alias("double")
     )
-    return _drain(to_metric_log(every_kth(steps, 25), ["value", "double"]))
+    lasts = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("run")).agg(F.max("event_id").alias("last_step"))
+    return _drain(to_metric_log(every_kth(steps, 25, lasts), ["value", "double"]))
 
 
-@query("""SELECT conv_id, turn, left(text, list_max(list_filter(range(0, least(10 + turn * 3, length(text)) + 1),
- lambda n: octet_length(encode(left(text, n))) <= 10 + turn * 3))::INT) AS shown FROM conversations""")
+@query("""WITH t AS (SELECT *, 10 + turn * 3 AS size, octet_length(encode(text)) AS n FROM conversations),
+c AS (SELECT *, unnest(range(1, n // size + 2)) AS cut FROM t),
+s AS (SELECT conv_id, turn, cut, list_max(list_filter(range(0, length(text) + 1), lambda k: octet_length(encode(left(text, k))) <= cut * size)) AS shown FROM c)
+SELECT conv_id, turn, cut, CAST(shown AS INT) AS shown FROM s""")
 def hold_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Byte strings cut anywhere: what can be shown, whole characters only."""
-    cut = F.substring(F.encode("text", "UTF-8"), F.lit(1), (F.col("turn") * 3 + 10).cast("int"))
-    return table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.decode(K.showable_prefix(cut), "UTF-8").alias("shown")
+    """Whole texts that arrive as chunks of bytes cut anywhere: how many characters can be shown after each."""
+    size = F.col("turn") * 3 + 10
+    raw = F.encode("text", "UTF-8")
+    cuts = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", size.alias("size"), raw.alias("raw"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.floor(F.length(raw) / size) + 1)).alias("cut"),
     )
+    so_far = F.substring("raw", F.lit(1), (F.col("cut") * F.col("size")).cast("int"))
+    return cuts.select("conv_id", "turn", "cut", F.length(F.decode(K.showable_prefix(so_far), "UTF-8")).alias("shown"))

@@ -80,3 +80,17 @@ def settled(rows: DataFrame) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate folder through Spark's file system layer; nothing may read it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def checked_in(rows: DataFrame, folder: str) -> DataFrame:
+    """Runs a job. ``rows``, which read ``folder``, as a checkpoint of their own; the folder is removed."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    kept = rows.checkpoint()
+    remove_folder(rows.sparkSession, folder)
+    return kept

@@ -29,6 +29,9 @@ SCHEMAS = {
 }
 
 
+_ASIDE = "\U000f7a31\U000f7a32"  # private characters
+
+
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """JSONL with the schema taken from the data (one extra pass over the files)."""
     return spark.read.json(path)
@@ -64,9 +67,10 @@ def read_tolerant(
             .limit(first_lines)
         )
     value = F.col("value")
-    clean = F.when(F.is_valid_utf8(value), value).otherwise(
-        F.replace(F.make_valid_utf8(value), F.lit("\ufffd"), F.lit(""))
-    )
+    # A replacement character that was in the file steps aside while bad bytes become that character.
+    guarded = F.replace(value, F.lit("\ufffd"), F.lit(_ASIDE))
+    repaired = F.replace(F.make_valid_utf8(guarded), F.lit("\ufffd"), F.lit(""))
+    clean = F.when(F.is_valid_utf8(value), value).otherwise(F.replace(repaired, F.lit(_ASIDE), F.lit("\ufffd")))
     schema = T.StructType(list(SCHEMAS[kind].fields) + [T.StructField("_bad", T.StringType())])
     row = F.from_json(clean, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
 
@@ -114,13 +118,15 @@ def nest_turns(
     )
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores before heavy per-row work.
+SCAN_PARTITIONS = "spark.corpusloom.scanPartitions"
+
+
+def spread(scan: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Spread a scan over ``partitions`` tasks before heavy per-row work; nothing happens without that number.
 
-    One file with one row group is one task, whatever its text costs to process. A large
-    input has far more splits than cores and passes through untouched, without a shuffle. Use
-    on plain scans only, after picking the columns. With ``keys`` the rows are spread by them,
-    so that grouping by the same keys needs no further shuffle.
+    One file with one row group is one task, whatever its text costs to process. The caller knows whether its
+    input is like that, and says so here or in the session setting ``SCAN_PARTITIONS``. With ``keys`` the rows are
+    spread by them.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+    partitions = partitions or int(scan.sparkSession.conf.get(SCAN_PARTITIONS, "0"))
+    return scan.repartition(partitions, *keys) if partitions else scan

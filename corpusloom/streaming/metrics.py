@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def every_kth(steps: DataFrame, every: int, total: int | None = None, step: str = "step") -> DataFrame:
-    """Values at every ``every``-th step, and at the last one when the length of a run is known.
+def every_kth(
+    steps: DataFrame, every: int, lasts: DataFrame, run: str = "run", step: str = "step", last: str = "last_step"
+) -> DataFrame:
+    """Values at every ``every``-th step and at the last one of each run.
 
-    Stateless, so it runs on a stream in append mode.
+    ``lasts`` is a table of (run, last step), known before the runs begin. Joined to it the stream stays
+    stateless and runs in append mode. Runs that the table doesn't name have no last step yet.
     """
-    keep = F.pmod(F.col(step), F.lit(every)) == 0
-    if total is not None:
-        keep = keep | (F.col(step) == total)
-    return steps.filter(keep)
+    known = steps.join(lasts.select(run, last), run, "left")
+    return known.filter((F.pmod(F.col(step), F.lit(every)) == 0) | (F.col(step) == F.col(last))).drop(last)
 
 
 def to_metric_log(steps: DataFrame, metrics: list[str]) -> DataFrame:

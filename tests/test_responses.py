@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,17 +149,14 @@ def test_string_arguments_are_read_as_json(spark):
     assert one(spark, '{"name": "f", "arguments": "nope"}', J.argument_object) == "{}"
 
 
-def test_dispatch(spark):
-    def run(name, args):
-        df = spark.createDataFrame([(name, args)], "n string, a string")
-        return df.select(T.dispatch(F.col("n"), F.col("a")).alias("r")).first()["r"]
-
-    assert run("get_current_weather", '{"location": "Tokyo"}') == '{"city": "Tokyo", "temperature": "12°C", "humidity": "65%", "condition": "晴"}'
-    assert run("get_current_time", '{"timezone": "Nowhere"}') == '{"datetime": "2025-03-07 14:30:00", "timezone": "Nowhere"}'
-    assert run("unit_converter", '{"value": "10", "from_unit": "KM", "to_unit": "Miles"}') == '{"result": 6.2137}'
-    assert run("unit_converter", '{"value": "ten"}') == '{"error": "tool not found"}'
-    assert run("translate_text", '{"text": "I love programming", "target_language": "chinese"}') == '{"translated_text": "我喜欢编程"}'
-    assert run("fly", "{}") == '{"error": "tool not found"}'
+def test_repeated_keys_take_their_last_value(spark):
+    call = '{"name": "f", "arguments": {"x": 1, "y": {"b": 1, "a": 2}, "x": "2"}, "name": "g"}'
+    assert one(spark, call, lambda t: J.last_member(t, "name")) == "g"
+    assert json.loads(one(spark, call, J.argument_object)) == {"x": "2", "y": {"b": 1, "a": 2}}
+    row = spark.createDataFrame([(f"<tool_call>{call}</tool_call>",)], "t string").select(R.call_spans(F.col("t")).alias("c")).first()["c"][0]
+    assert row["name"] == "g" and json.loads(row["arguments"]) == {"x": "2", "y": {"b": 1, "a": 2}}
+    plain = '{"name": "f", "arguments": {"z": 1, "a": "2"}}'
+    assert one(spark, plain, J.argument_object) == '{"z":1,"a":"2"}'
 
 
 def test_hooks(spark):

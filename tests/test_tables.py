@@ -273,3 +273,95 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     from corpusloom.session import ensure_checkpoint_dir
 
     assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_equal_symbols_merge_in_the_trainers_order(spark):
+    words = spark.createDataFrame([("aaa",)] * 100 + [("cd",)] * 60, "t string")
+    size = len(V.base_vocabulary(spark)[0].collect()) + 3
+    merges = V.train_vocabulary(words, "t", size)[1].orderBy("rank").collect()
+    assert [(m["left"], m["right"]) for m in merges] == [("a", "a"), ("aa", "a"), ("c", "d")]
+
+
+def test_encoder_takes_nulls_and_empty_texts(spark):
+    encoder = V.Encoder(*V.base_vocabulary(spark))
+    df = spark.createDataFrame([("aé",), (None,), ("",)], "t string").coalesce(1)
+    rows = df.select("t", encoder.encode(F.col("t")).alias("ids")).select(
+        "t", "ids", encoder.decode(F.col("ids")).alias("back"), encoder.lossy_text(F.slice("ids", 1, 2)).alias("cut")
+    )
+    got = {r["t"]: (len(r["ids"]), r["back"], r["cut"]) for r in rows.collect()}
+    assert got == {"aé": (3, "aé", "a\ufffd"), None: (0, "", ""), "": (0, "", "")}
+
+
+def test_values_behind_the_end_token_do_not_count(spark):
+    rows = [(1, i, 0.5, float(i), int(i < 3)) for i in range(6)]
+    df = spark.createDataFrame(rows, "k int, pos bigint, token_reward double, value double, mask int")
+    cut = [(1, i, 0.5, float(i) * m, m) for _, i, _, _, m in rows]
+    plain = spark.createDataFrame(cut, df.schema)
+    got = {r["pos"]: (r["advantage"], r["returns"]) for r in Q.gae(df, "k", gamma=0.9, block=4, mask="mask").collect()}
+    assert got == {r["pos"]: (r["advantage"], r["returns"]) for r in Q.gae(plain, "k", gamma=0.9, block=4).collect()}
+    arrays = df.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("pos", "token_reward", "value", "mask"))).alias("s"))
+    made = arrays.select(Q.gae_array(F.col("s.token_reward"), F.col("s.value"), 0.9, mask=F.col("s.mask")).alias("a")).first()["a"]
+    assert all(abs(made[i] - got[i][0]) < 1e-12 for i in range(6))
+
+
+def test_padding_is_no_end_and_no_last_position(spark):
+    rows = [(1, 0, "x", False), (1, 1, "end", True), (1, 2, "x", False), (1, 3, "x", True), (2, 0, "end", True)]
+    df = spark.createDataFrame(rows, "k int, pos bigint, t string, pad boolean")
+    cut = Q.cut_at_end(df, "k", F.col("t") == "end", padding=F.col("pad")).orderBy("k", "pos").collect()
+    assert [(r["end_pos"], r["mask"]) for r in cut] == [(2, 1), (2, 0), (2, 1), (2, 0), (None, 0)]
+
+
+def test_valid_replacement_characters_stay(spark, tmp_path_factory):
+    path = folder(tmp_path_factory) / "r.jsonl"
+    path.write_bytes(json.dumps({"text": "a\ufffdb"}, ensure_ascii=False).encode() [:-2] + b'\xff"}\n')
+    rows, _ = readers.read_tolerant(spark, str(path), "text")
+    assert [r["text"] for r in rows.collect()] == ["a\ufffdb"]
+
+
+def test_blank_benchmark_items_match_nothing(spark):
+    docs = spark.createDataFrame([(1, ""), (2, "a b c"), (3, None)], "id int, text string")
+    bench = spark.createDataFrame([("  ",), ("",), ("a b c",)], "text string")
+    assert [r["id"] for r in C.overlapping(docs, bench, "id", "text", "text").collect()] == [2]
+
+
+def test_hot_keys_are_split(spark):
+    """With broadcasting off and low thresholds the final plan has a skewed join for each of these."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        n = 60_000
+        hot = spark.range(0, n, 1, 8).select(
+            "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), F.rand(1).alias("value")
+        )
+        found = [
+            G.group_advantage(hot, ["k"], "value"),
+            Q.cut_at_end(hot.withColumnRenamed("id", "pos"), "k", F.col("value") > 0.9),
+        ]
+        for df in found:
+            assert df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_last_query_in_rows_and_arrays(spark):
+    from corpusloom.functions import fixed
+    from corpusloom.operators import messages as M
+    from corpusloom.sources.readers import nest_turns
+
+    wrapped = f"{fixed.RESPONSE_OPEN}x{fixed.RESPONSE_CLOSE}"
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", wrapped), (2, 0, "assistant", "a"), (2, 1, "system", None), (3, 0, "user", None)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    long = {r["conv_id"]: r["query_turn"] for r in M.last_query_turn(turns).collect()}
+    nested = nest_turns(turns).select("conv_id", M.last_query_index(F.col("conversations")).alias("i")).collect()
+    assert long == {r["conv_id"]: r["i"] for r in nested}
+    assert sorted((r["conv_id"], r["turn"]) for r in M.recent_turns(turns, 2).collect()) == [(1, 1), (1, 2), (2, 0), (2, 1), (3, 0)]
