@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.scratch import draw, fresh
+from corpusloom.llm.scratch import draw, fresh, keep, new_folder
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -39,13 +39,24 @@ IDENTITY_TERMS = (
 )
 
 
-def traits(word: str) -> list[str]:
-    """Features of one word: itself and its beginnings."""
-    return [f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)]
+def traits(word: str) -> list[int]:
+    """Features of one word, as 32-bit codes: itself and its beginnings."""
+    own = [f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)]
+    return [zlib.crc32(t.encode("utf-8", "replace")) for t in own]
 
 
-def features(text: str | None) -> set[str]:
-    return {t for w in set(WORD.findall((text or "").lower())) for t in traits(w)}
+def coded(text: str | None, memory: dict[str, list[int]] | None = None) -> np.ndarray:
+    """The different features of a text, sorted."""
+    memory = {} if memory is None else memory
+    found: set[int] = set()
+    for w in set(WORD.findall((text or "").lower())):
+        known = memory.get(w)
+        if known is None:
+            known = traits(w)
+            if len(memory) < CACHED_WORDS:
+                memory[w] = known
+        found.update(known)
+    return np.sort(np.fromiter(found, np.uint32, len(found)))
 
 
 def swapped(text: str, terms: tuple[tuple[str, ...], ...]) -> list[str]:
@@ -72,19 +83,19 @@ def swapped(text: str, terms: tuple[tuple[str, ...], ...]) -> list[str]:
 
 @dataclass
 class Classifier:
-    """Weights by feature, at most ``max_features`` of them, and what the fit left behind."""
+    """Weights by feature code, at most ``max_features`` of them, and what the fit left behind."""
 
     bias: float = 0.0
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[int, float] = field(default_factory=dict)
     examples: int = 0
     counterfactuals: int = 0
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Probability of label 1 for each text; null and empty texts have the bias alone."""
-        memory: dict[str, tuple[str, ...]] = {}
+        memory: dict[str, tuple[int, ...]] = {}
         weights, out = self.weights, np.empty(len(texts))
         for n, text in enumerate(texts):
-            hit: set[str] = set()
+            hit: set[int] = set()
             for w in set(WORD.findall((text or "").lower())):
                 known = memory.get(w)
                 if known is None:
@@ -97,16 +108,30 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def _design(rows: list[tuple[int, set[str]]], place: dict[str, int]) -> np.ndarray:
-    out = np.zeros((len(rows), len(place)), np.float32)
-    for n, (_, found) in enumerate(rows):
-        out[n, [place[t] for t in found if t in place]] = 1
+@dataclass
+class Example:
+    label: int
+    codes: np.ndarray
+    swaps: list[np.ndarray]
+
+
+def example(text: str | None, label: int, terms: tuple[tuple[str, ...], ...], memory: dict | None = None) -> Example:
+    return Example(int(label), coded(text, memory), [coded(t, memory) for t in swapped(text or "", terms)])
+
+
+def _design(rows: list[np.ndarray], named: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(rows), len(named)), np.float32)
+    for n, codes in enumerate(rows):
+        out[n] = np.isin(named, codes, assume_unique=True)
     return out
 
 
+def _counts(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate([np.empty(0, np.uint32), *rows]), return_counts=True)
+
+
 def train(
-    texts: list[tuple[str | None, int]],
-    terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
+    examples: list[Example],
     penalty: float = 4.0,
     ridge: float = 2e-4,
     max_features: int = 1000,
@@ -115,34 +140,27 @@ def train(
     """Fit on labelled texts: logistic loss + ridge + ``penalty`` x mean squared score change under swaps.
 
     Features in under 5 texts are left out and the ``max_features`` that tell the labels apart best (by
-    log odds times the rarer count) are kept. One class only gives the base rate for every text.
+    log odds times the root of how common they are) are kept. One class only gives the base rate for every text.
     """
-    rows = [(int(y), features(t)) for t, y in texts]
-    positive = sum(y for y, _ in rows)
-    total = len(rows)
+    y = np.array([e.label for e in examples], np.float32)
+    positive, total = int(y.sum()), len(examples)
     rate = (positive + 0.5) / (total + 1)
     if not 0 < positive < total:
         return Classifier(bias=float(np.log(rate / (1 - rate))), examples=total)
-    seen = (Counter(), Counter())
-    for y, found in rows:
-        seen[y].update(found)
-    rank = []
-    for t in seen[0].keys() | seen[1].keys():
-        a, b = seen[1][t], seen[0][t]
-        if a + b >= 5:
-            odds = np.log((a + 0.5) / (positive + 1)) - np.log((b + 0.5) / (total - positive + 1))
-            rank.append((-abs(odds) * np.sqrt(a / positive + b / (total - positive)), t))
-    named = sorted(t for _, t in sorted(rank)[:max_features])
-    place = {t: k for k, t in enumerate(named)}
-    x, y = _design(rows, place), np.array([v for v, _ in rows], np.float32)
-    moved = []
-    for n, (t, _) in enumerate(texts):
-        for other in swapped(t or "", terms):
-            moved.append(_design([(0, features(other))], place)[0] - x[n])
-    delta = np.stack(moved) if moved else np.zeros((0, len(place)), np.float32)
+    every, both = _counts([e.codes for e in examples])
+    ones, some = _counts([e.codes for e in examples if e.label])
+    a = np.zeros(len(every))
+    a[np.searchsorted(every, ones)] = some
+    b = both - a
+    odds = np.log((a + 0.5) / (positive + 1)) - np.log((b + 0.5) / (total - positive + 1))
+    worth = np.where(both >= 5, np.abs(odds) * np.sqrt(a / positive + b / (total - positive)), -1)
+    named = np.sort(every[np.argsort(-worth, kind="stable")[:max_features]][: int((worth >= 0).sum())])
+    x = _design([e.codes for e in examples], named)
+    moved = [_design(e.swaps, named) - x[n] for n, e in enumerate(examples) if e.swaps]
+    delta = np.concatenate([np.zeros((0, len(named)), np.float32), *moved])
     balance = np.where(y == 1, total / (2 * positive), total / (2 * (total - positive))).astype(np.float32)
-    w, bias = np.zeros(len(place), np.float32), 0.0
-    m, v, step = np.zeros(len(place) + 1), np.zeros(len(place) + 1), 0.05
+    w, bias = np.zeros(len(named), np.float32), 0.0
+    m, v, step = np.zeros(len(named) + 1), np.zeros(len(named) + 1), 0.05
     for k in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30)))
         error = (p - y) * balance / total
@@ -152,31 +170,47 @@ def train(
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = step * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
         w, bias = (w - move[:-1]).astype(np.float32), bias - move[-1]
-    weights = {t: float(w[k]) for t, k in place.items()}
-    return Classifier(float(bias), weights, total, len(moved))
+    weights = {int(t): float(w[k]) for k, t in enumerate(named)}
+    return Classifier(float(bias), weights, total, len(delta))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, training: Column, max_examples: int = 6000,
-    max_chars: int = 200_000_000, **options,
+    max_codes: int = 30_000_000, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, **options,
 ) -> Classifier:
-    """Runs a job. A classifier from at most ``max_examples`` labelled rows.
+    """Runs jobs. A classifier from at most ``max_examples`` labelled rows.
 
-    ``training`` says which rows may be learnt from. More labelled rows than the bound: those with the smallest md5
-    draw of their key are taken, the same ones every time. The bound, and ``max_chars`` for all texts together,
-    hold for the fit alone; scoring covers every row. Rows without a label or key are not learnt from; of
-    several labels of a key the largest counts.
+    ``training`` says which rows may be learnt from. More labelled keys than the bound: those with the smallest md5
+    draw are taken, the same ones every time. Texts become feature codes in the tasks; the driver gets at most ``max_codes`` of
+    them. These bounds hold for the fit alone; scoring covers every row. Rows without a label or key are not learnt
+    from; of several labels of a key the largest counts.
     """
     marked = labels.filter(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_y"))
-    known = docs.filter(training).join(marked, F.col(key) == F.col("_key"))
-    picked = known.select(F.col(text).cast("string").alias("t"), "_y", draw(F.col("_key")).alias("_d"), "_key")
-    sample, held = [], 0
-    for row in picked.orderBy("_d", "_key").limit(max_examples).toLocalIterator():
-        held += len(row["t"] or "")
-        if held > max_chars:
+    known = docs.filter(training).select(F.col(key).alias("_key")).distinct().join(marked, "_key")
+    drawn = known.withColumn("_d", draw(F.col("_key"))).orderBy("_d", "_key").limit(max_examples).select("_key", "_y")
+    drawn = keep(drawn, new_folder(docs.sparkSession, "examples"))  # at most ``max_examples`` rows
+    rows = docs.filter(training).join(F.broadcast(drawn), F.col(key) == F.col("_key")).select(F.col(text).cast("string").alias("t"), "_y", "_key")
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory: dict[str, list[int]] = {}
+        codes = pa.list_(pa.int64())
+        for batch in batches:
+            texts, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            made = [example(t, y, terms, memory) for t, y in zip(texts, ys, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(2), pa.array(ys, pa.int32()), pa.array([e.codes for e in made], codes), pa.array([e.swaps for e in made], pa.list_(codes))],
+                names=["key", "y", "codes", "swaps"],
+            )
+
+    kind = docs.schema[key].dataType.simpleString()
+    made = keep(rows.mapInArrow(code, f"key {kind}, y int, codes array<bigint>, swaps array<array<bigint>>"), new_folder(docs.sparkSession, "examples"))
+    examples, held = [], 0
+    for row in made.toLocalIterator():
+        held += len(row["codes"]) + sum(map(len, row["swaps"]))
+        if held > max_codes or len(examples) == max_examples:
             break
-        sample.append((row["t"], row["_y"]))
-    return train(sample, **options)
+        examples.append(Example(row["y"], np.array(row["codes"], np.uint32), [np.array(s, np.uint32) for s in row["swaps"]]))
+    return train(examples, **options)
 
 
 def scored(docs: DataFrame, text: str, model: Classifier, score: str = "score") -> DataFrame:
