@@ -364,9 +364,9 @@ def test_blocks_of_a_crowded_cell_find_the_same_groups(spark):
 
 def plain_matches(text):
     found = []
-    for kind, pattern in enumerate((r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "AKIA[A-Z0-9]+", "[0-9a-f]+")):
+    for kind, pattern in enumerate((r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "AKIA[A-Z0-9]+", "[0-9a-f]+")):
         for m in re.finditer(pattern, text):
-            if (len(m.group(1)) >= 6, len(m.group()) >= 20, len(m.group()) >= 24)[kind]:
+            if len(m.group(1) if kind == 0 else m.group()) >= (6, 20, 24)[kind]:
                 found.append((m.start(), m.end(), kind))
     return sorted(found)
 
