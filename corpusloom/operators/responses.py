@@ -35,7 +35,7 @@ def _call(span: Column, index: Column) -> Column:
     return F.struct(
         index.alias("index"),
         F.coalesce(last_member(span, "name"), F.lit("")).alias("name"),
-        field_json(one_value_per_key(span), "$.arguments", "{}").alias("arguments"),
+        let(one_value_per_key(span), lambda t: field_json(t, "$.arguments", "{}")).alias("arguments"),
     )
 
 
@@ -60,7 +60,7 @@ def braced_calls(text: Column) -> Column:
         lambda p: F.struct(
             F.concat(F.lit("call_"), p["index"].cast("string")).alias("id"),
             F.coalesce(last_member(p["span"], "name"), F.lit("")).alias("name"),
-            field_json(one_value_per_key(p["span"]), "$.arguments", "{}").alias("arguments"),
+            let(one_value_per_key(p["span"]), lambda t: field_json(t, "$.arguments", "{}")).alias("arguments"),
         ),
     )
     return let(calls, lambda c: F.when(F.size(c) > 0, c))

@@ -79,13 +79,19 @@ def _held_tail(text: str) -> int:
     return next((n for n in range(min(len(text), len(close) - 1), 0, -1) if close.startswith(text[-n:])), 0)
 
 
-def stream_deltas(chunks: DataFrame, thinking: bool = True) -> DataFrame:
+FINISHED = -1  # in place of the next sequence number
+
+
+def stream_deltas(chunks: DataFrame, thinking: bool = True, at: str | None = None, idle_ms: int = 600_000) -> DataFrame:
     """Deltas of each response as soon as they are certain: (request_id, part, kind, text, calls,
     finish_reason), ``kind`` being reasoning, content or finish.
 
     Streaming only. Chunks are taken in sequence order; one that arrives early waits in the
     state until the gap closes. A null chunk ends the response: what is held back is given out,
-    a finish row tells the tool calls and the reason, and the state is dropped. While thinking, a tail that may be the start of the close tag is
+    and a finish row tells the tool calls and the reason. A chunk that comes again, or after the end, changes
+    nothing. Of a finished request a mark stays, so that late chunks don't open it anew. With ``at``, the event
+    time column that has the watermark of ``chunks``, the mark goes when the watermark is ``idle_ms`` past the request's last
+    chunk, and a request left open that long is ended the same way. While thinking, a tail that may be the start of the close tag is
     held back, so a tag cut across chunks is never shown as reasoning. The state per request
     is that tail, early chunks and the text from the first call tag on, not the response.
     """
@@ -94,9 +100,26 @@ def stream_deltas(chunks: DataFrame, thinking: bool = True) -> DataFrame:
         next_seq, done, held, parts, trimming, waiting, calls = (
             state.get if state.exists else (0, not thinking, "", 0, False, "{}", "")
         )
+
+        def expire() -> None:
+            if at is not None:
+                state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), *seen_ms, 0) + idle_ms)
+
+        seen_ms: list[int] = []
+
+        if next_seq == FINISHED:
+            if state.hasTimedOut:
+                state.remove()
+            return
         early = {int(k): v for k, v in json.loads(waiting).items()}
-        for frame in frames:
-            early.update(zip(frame["seq"].astype(int), frame["chunk"].where(frame["chunk"].notna(), None)))
+        if state.hasTimedOut:  # what is missing won't come: the chunks behind the gap are let go
+            early = {next_seq: None}
+        else:
+            for frame in frames:
+                seen_ms += [int(frame[at].max().timestamp() * 1000)] if at else []
+                for seq, chunk in zip(frame["seq"].astype(int), frame["chunk"].where(frame["chunk"].notna(), None)):
+                    if seq >= next_seq:
+                        early[seq] = chunk
         deltas = {"reasoning": "", "content": ""}
         ended = False
         while next_seq in early and not ended:
@@ -122,21 +145,27 @@ def stream_deltas(chunks: DataFrame, thinking: bool = True) -> DataFrame:
         rows = [(kind, text) for kind, text in deltas.items() if text]
         # Keep the text from the first call tag on, or a tail that may be the start of one. Calls
         # inside closed thinking do not count, so the close tag starts over.
-        at = calls.find(fixed.CALL_OPEN)
-        calls = calls[at:] if at >= 0 else calls[-(len(fixed.CALL_OPEN) - 1) :]
+        opened = calls.find(fixed.CALL_OPEN)
+        calls = calls[opened:] if opened >= 0 else calls[-(len(fixed.CALL_OPEN) - 1) :]
         if ended:
             rows.append(("finish", calls))
-            state.remove()
+            if state.hasTimedOut:
+                state.remove()
+            else:
+                state.update((FINISHED, True, "", 0, False, "{}", ""))
+                expire()
         else:
             state.update((next_seq, done, held, parts + len(rows), trimming, json.dumps(early), calls))
+            expire()
         if rows:
             yield pd.DataFrame(
                 [(key[0], parts + i, kind, text) for i, (kind, text) in enumerate(rows)],
                 columns=["request_id", "part", "kind", "text"],
             )
 
+    limit = GroupStateTimeout.NoTimeout if at is None else GroupStateTimeout.EventTimeTimeout
     deltas = chunks.groupBy("request_id").applyInPandasWithState(
-        update, DELTA_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        update, DELTA_SCHEMA, STATE_SCHEMA, "append", limit
     )
     ending = F.col("kind") == "finish"
     calls = let(call_spans(F.col("text")), lambda c: F.when(F.size(c) > 0, c))

@@ -1,6 +1,7 @@
 """Sampling, sequences, groups, sources, vocabulary and streams on small fixtures."""
 
 import json
+import os
 import random
 
 import pytest
@@ -257,6 +258,23 @@ def test_stream_out_of_order_with_a_cut_tag(spark, tmp_path_factory):
         text[d["request_id"], d["kind"]] = text.get((d["request_id"], d["kind"]), "") + d["text"]
     assert text == {(1, "reasoning"): "why so", (1, "content"): "answer", (2, "reasoning"): "never </th"}
 
+    # Repeats and chunks behind the end change nothing; a request that stays silent is ended.
+    late = folder(tmp_path_factory)
+    source = late / "in"
+    source.mkdir()
+    again = [(1, 0, "a</think>b"), (1, 0, "a</think>b"), (1, 1, None), (1, 0, "again"), (1, 2, "late"), (2, 0, "open"), (2, 2, "gap")]
+    again += [(3, 0, "x"), (3, 1, None), (4, 0, "y")]
+    for i, (r, s, c) in enumerate(again):
+        at = f"2024-01-0{1 if r < 3 else r} 00:00:{i:02d}"
+        (source / f"{i}.json").write_text(json.dumps({"request_id": r, "seq": s, "chunk": c, "at": at}))
+        os.utime(source / f"{i}.json", (1.7e9 + i, 1.7e9 + i))  # the order in which files are taken
+    timed = spark.readStream.schema(schema + ", at timestamp").option("maxFilesPerTrigger", 1).json(str(source))
+    rows = drain(spark, K.stream_deltas(timed.withWatermark("at", "1 second"), at="at", idle_ms=60_000), late).collect()
+    assert sorted((r["request_id"], r["kind"], r["text"] or "") for r in rows) == [
+        (1, "content", "b"), (1, "finish", ""), (1, "reasoning", "a"), (2, "finish", ""), (2, "reasoning", "open"),
+        (3, "finish", ""), (3, "reasoning", "x"), (4, "reasoning", "y"),
+    ]
+
     other = folder(tmp_path_factory)
     grouped = drain(spark, K.split_responses(stream).select("request_id", "reasoning", "content"), other, "complete")
     assert sorted(map(tuple, grouped.collect())) == [(1, "why so", "answer"), (2, "never </th", "")]
