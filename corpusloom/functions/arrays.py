@@ -130,23 +130,23 @@ def reply_mask(ids: Column, open_ids: list[int], close_ids: list[int]) -> Column
     """
     n_open, n_close = len(open_ids), len(close_ids)
 
-    def spans(arr: Column, closers: Column) -> Column:
-        def span(opener: Column) -> Column:
-            first = opener + F.lit(n_open)
-            closer = F.array_min(F.filter(closers, lambda c: c >= first))
-            last = F.coalesce(closer + F.lit(n_close - 1), F.size(arr))
-            return F.struct(first.alias("first"), last.alias("last"))
-
-        return F.transform(_matches(arr, open_ids), span)
-
-    def paint(arr: Column, found: Column) -> Column:
-        return F.transform(
-            arr,
-            lambda _, i: F.exists(found, lambda s: (i + 1 >= s["first"]) & (i + 1 <= s["last"])).cast("int"),
-        )
+    def switch(pos: Column, on: int) -> Column:
+        return F.struct(pos.cast("int").alias("pos"), _int(on).alias("on"))
+
+    def paint(arr: Column, switches: Column) -> Column:
+        """Each switch paints up to the next one, so the work is one step per token and per marker."""
+        end = F.size(arr) + 1
+
+        def stretch(s: Column, i: Column) -> Column:
+            until = F.least(F.coalesce(F.get(switches, i + 1)["pos"], end), end)
+            return F.array_repeat(s["on"], F.greatest(until - s["pos"], _int(0)))
+
+        return F.flatten(F.transform(switches, stretch))
 
     def build(arr: Column) -> Column:
-        return let(let(_matches(arr, close_ids), lambda c: spans(arr, c)), lambda found: paint(arr, found))
+        on = F.transform(_matches(arr, open_ids), lambda o: switch(o + F.lit(n_open), 1))
+        off = F.transform(_matches(arr, close_ids), lambda c: switch(c + F.lit(n_close), 0))
+        return let(F.array_sort(F.concat(F.array(switch(_int(1), 0)), on, off)), lambda s: paint(arr, s))
 
     return let(ids, lambda arr: F.when(F.size(arr) == 0, F.array().cast("array<int>")).otherwise(build(arr)))
 

@@ -95,6 +95,24 @@ def test_reply_mask(spark):
     assert got == [want, []]
 
 
+def test_reply_mask_against_a_loop(spark):
+    rng = random.Random(3)
+    pieces = [[1, 10, 11], [2, 11], [1, 9], [5], [11], [1, 10], [2]]
+    rows, want = [], []
+    for _ in range(150):
+        ids = [t for _ in range(rng.randint(0, 12)) for t in rng.choice(pieces)]
+        mask = [0] * len(ids)
+        for o in range(len(ids)):
+            if ids[o : o + 3] == [1, 10, 11]:
+                closer = next((c for c in range(o + 3, len(ids)) if ids[c : c + 2] == [2, 11]), None)
+                for i in range(o + 3, len(ids) if closer is None else closer + 2):
+                    mask[i] = 1
+        rows.append((ids,))
+        want.append(mask)
+    df = spark.createDataFrame(rows, "ids array<int>").coalesce(1)
+    assert [r["m"] for r in df.select(A.reply_mask(F.col("ids"), [1, 10, 11], [2, 11]).alias("m")).collect()] == want
+
+
 def test_padding_and_cutting(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([],), (list(range(1, 8)),)], "ids array<int>")
     c = F.col("ids")
