@@ -97,7 +97,7 @@ def argument_object(text: Column) -> Column:
     Repeated keys take their last value. Anything unusable becomes ``{}``.
     """
     raw = last_member(text, "arguments")
-    return let(raw, lambda r: F.when(is_json_object(r), without_repeats(r)).otherwise(F.lit("{}")))
+    return let(raw, lambda r: F.when(~is_json_object(r), F.lit("{}")).when(F.try_parse_json(r).isNull(), without_repeats(r)).otherwise(r))
 
 
 def python_truthy(json_text: Column, path: str) -> Column:

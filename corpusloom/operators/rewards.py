@@ -82,8 +82,8 @@ def valid_calls(calls: Column, names: Column) -> Column:
     """Number of calls of an offered, known tool with its required arguments."""
 
     def valid(call: Column) -> Column:
-        name = F.coalesce(last_member(call, "name"), F.lit(""))
-        return offered(name, names) & arguments_ok(name, argument_object(call))
+        named = F.coalesce(last_member(call, "name"), F.lit(""))
+        return let(named, lambda n: let(argument_object(call), lambda a: offered(n, names) & arguments_ok(n, a)))
 
     return F.size(F.filter(calls, valid))
 
