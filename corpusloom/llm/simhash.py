@@ -144,15 +144,26 @@ WORDS_WIDE = 4  # 64-bit words of a wide fingerprint
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # fixed odd multipliers of a 64-bit mixer
 
 
-def wide_fingerprint(text: str | None, words: int = 5) -> bytes:
-    """SimHash of 256 bits over the set of word shingles (lower-cased, white space as above); 32 bytes."""
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of the different word shingles (lower-cased, white space as above)."""
     tokens = (text or "").lower().split()
     if not tokens:
-        return bytes(8 * WORDS_WIDE)
+        return np.empty(0, np.uint64)
     joined = [t.encode("utf-8", "replace") for t in tokens]
     parts = {b" ".join(joined[i : i + words]) for i in range(max(1, len(joined) - words + 1))}
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(p) for p in parts), dtype=np.uint64, count=len(parts))
+    return np.unique(np.fromiter((digest(p) for p in parts), dtype=np.uint64, count=len(parts)))
+
+
+def set_name(hashes: np.ndarray) -> int:
+    """A signed 64-bit number that stands for a shingle set."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes(), 7)).astype(np.int64))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """SimHash of 256 bits over a shingle set; 32 bytes."""
+    if not len(hashes):
+        return bytes(8 * WORDS_WIDE)
     counts = np.zeros(BITS * WORDS_WIDE, np.int64)
     for low in range(0, len(hashes), 32768):
         piece = hashes[low : low + 32768, None] + np.arange(1, WORDS_WIDE + 1, dtype=np.uint64) * np.uint64(MIX[0])
@@ -192,15 +203,18 @@ def _forest(bits: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return edges
 
 
-def near_links(nodes: DataFrame, distance: int, cells: int = 64, width: int = 18, block: int = 2048) -> DataFrame:
+def near_links(
+    nodes: DataFrame, distance: int, cells: int = 128, width: int = 18, block: int = 2048, label: str | None = None
+) -> DataFrame:
     """Runs a job. (a, b): links that connect all fingerprints found within ``distance`` bits of each other.
 
     ``nodes`` has wide fingerprints ``fp`` and a number ``low`` each. Segments are single bits here: with
     distances this wide, counts of longer segments are too coarse a bound (see README). A cell is the
     counts of ``width`` sampled segments; of ``cells`` kinds of cells, two texts of Jaccard similarity 0.8
-    share one with probability about 0.97, at 0.9 nearly always. Within a cell the Manhattan distance of
+    share one with probability about 0.99, at 0.9 nearly always. Within a cell the Manhattan distance of
     all segments decides, and only a spanning forest of the near pairs goes out, so a cell of n near copies
-    gives n - 1 rows. A cell of over ``block`` members is cut into blocks that meet in pairs.
+    gives n - 1 rows. With ``label`` (a number column) every near pair of different labels goes out instead.
+    A cell of over ``block`` members is cut into blocks that meet in pairs.
     """
     spark = nodes.sparkSession
     chosen = _samples(cells, width)
@@ -215,11 +229,13 @@ def near_links(nodes: DataFrame, distance: int, cells: int = 64, width: int = 18
                 keys = (bits[:, chosen].astype(np.int64) @ weights) + (np.arange(cells, dtype=np.int64) << (width + 1))
                 again = np.repeat(np.arange(len(part)), cells)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), part.column(0).take(pa.array(again)), part.column(1).take(pa.array(again))],
-                    names=["cell", "low", "fp"],
+                    [pa.array(keys.ravel()), *(part.column(k).take(pa.array(again)) for k in (0, 1, 2))],
+                    names=["cell", "low", "fp", "label"],
                 )
 
-    placed = nodes.select("low", "fp").mapInArrow(place, "cell bigint, low bigint, fp binary")
+    named = F.col(label) if label else F.lit(0)
+    placed = nodes.select("low", "fp", named.cast("bigint").alias("label"))
+    placed = placed.mapInArrow(place, "cell bigint, low bigint, fp binary, label bigint")
     crowded = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     blocks = crowded.select("cell", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks"))
     blocks = keep(blocks, new_folder(spark, "simhash"))
@@ -230,7 +246,7 @@ def near_links(nodes: DataFrame, distance: int, cells: int = 64, width: int = 18
     spread = (
         placed.join(blocks, "cell", "left")
         .withColumn("mine", mine)
-        .select("cell", F.explode(F.coalesce(meets, F.array(F.lit(0)))).alias("meeting"), "low", "fp")
+        .select("cell", F.explode(F.coalesce(meets, F.array(F.lit(0)))).alias("meeting"), "low", "fp", "label")
     )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +254,7 @@ def near_links(nodes: DataFrame, distance: int, cells: int = 64, width: int = 18
 
         def solve(table: pa.Table) -> pa.RecordBatch:
             cell, meeting = (table.column(k).to_numpy() for k in (0, 1))
-            low = table.column(2).to_numpy()
+            low, tag = table.column(2).to_numpy(), table.column(4).to_numpy()
             bits = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint64).reshape(-1, WORDS_WIDE)
             new = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (meeting[1:] != meeting[:-1])])
             size = np.diff(np.r_[new, len(cell)])
@@ -247,11 +263,19 @@ def near_links(nodes: DataFrame, distance: int, cells: int = 64, width: int = 18
             group = np.repeat(np.where(small, np.arange(len(size)), -1 - np.arange(len(size))), size)
             for step in range(1, int(size[small].max(initial=1))):
                 i = np.flatnonzero((group[step:] == group[:-step]) & (group[step:] >= 0))
+                i = i[tag[i] != tag[i + step]] if label else i
                 near = i[np.bitwise_count(bits[i] ^ bits[i + step]).sum(axis=1, dtype=np.int64) <= distance]
                 out_a.append(low[near])
                 out_b.append(low[near + step])
             for g in np.flatnonzero(size > 24):
                 rows = slice(new[g], new[g] + size[g])
+                if label:
+                    for at in range(new[g], new[g] + size[g] - 1):
+                        i = np.flatnonzero(tag[at + 1 : rows.stop] != tag[at]) + at + 1
+                        near = i[np.bitwise_count(bits[i] ^ bits[at]).sum(axis=1, dtype=np.int64) <= distance]
+                        out_a.append(np.full(len(near), low[at]))
+                        out_b.append(low[near])
+                    continue
                 pairs = np.array(_forest(bits[rows], distance), dtype=np.int64).reshape(-1, 2)
                 out_a.append(low[rows][pairs[:, 0]])
                 out_b.append(low[rows][pairs[:, 1]])
@@ -279,30 +303,80 @@ def near_links(nodes: DataFrame, distance: int, cells: int = 64, width: int = 18
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    met = spread.repartition("cell", "meeting").sortWithinPartitions("cell", "meeting")
+    met = spread.repartition("cell", "meeting").sortWithinPartitions("cell", "meeting", "low")
     found = met.mapInArrow(link, "a bigint, b bigint").filter("a < b").distinct()
     return keep(found, new_folder(spark, "simhash"))
 
 
-def near_copies(docs: DataFrame, key: str, text: str, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, same): every pair of ``pairs`` and whether the Jaccard similarity of its two sets is ``similarity`` or more.
+
+    ``sets`` is (c, hashes), one row per set. Two empty sets do not meet here: they have one name.
+    """
+    one = sets.select(F.col("c").alias("a"), F.col("hashes").alias("ha"))
+    two = sets.select(F.col("c").alias("b"), F.col("hashes").alias("hb"))
+    na, nb, common = F.size("ha"), F.size("hb"), F.size(F.array_intersect("ha", "hb"))
+    may = F.least(na, nb) >= similarity * F.greatest(na, nb)
+    same = F.when(may, common >= similarity * (na + nb - common)).otherwise(F.lit(False))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", same.alias("same"))
+
+
+def near_copies(
+    docs: DataFrame, key: str, text: str, words: int = 5, similarity: float = 0.8, slack: float = 3.0
+) -> DataFrame:
     """Runs jobs. (key, component): the group of every row with a key, named by its smallest key.
 
-    Texts are linked when their 256-bit SimHash over ``words``-word shingles is as near as that of two sets
-    of Jaccard similarity ``similarity`` may be. Null and empty texts are copies of each other. Rows with
+    Texts are linked when the Jaccard similarity of their ``words``-word shingle sets is ``similarity`` or more. 256-bit
+    fingerprints only propose the pairs, at the distance of that similarity plus ``slack`` deviations. First a spanning
+    forest of the proposals is verified; where one of its links fails, all proposals within that tree are
+    verified that join texts not yet linked. Null and empty texts are copies of each other. Rows with
     a null key take no part; rows that share a key are one document, whatever their texts.
     """
     spark = docs.sparkSession
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = pa.array([wide_fingerprint(t.as_py(), words) for t in batch.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["key", "fp"])
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            names = pa.array([set_name(s) for s in sets], pa.int64())
+            fps = pa.array([wide_fingerprint(s) for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), names, fps], names=["key", "c", "fp"])
+
+    def reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            mine = [n for n, s in enumerate(sets) if set_name(s) == batch.column(0)[n].as_py()]
+            hashes = pa.array([sets[n].view(np.int64) for n in mine], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(mine, pa.int64())), hashes], names=["c", "hashes"])
 
     rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
-    signed = keep(rows.mapInArrow(sign, "key bigint, fp binary"), new_folder(spark, "simhash"))
-    nodes = keep(signed.groupBy("fp").agg(F.min("key").alias("low")), new_folder(spark, "simhash"))
-    pairs = near_links(nodes, distance_for(similarity))
-    copies = signed.join(nodes, "fp").filter("key <> low").select(F.col("key").alias("a"), F.col("low").alias("b"))
+    signed = keep(rows.mapInArrow(sign, "key bigint, c bigint, fp binary"), new_folder(spark, "simhash"))
+    nodes = keep(signed.groupBy("c").agg(F.min("key").alias("key"), F.first("fp").alias("fp")), new_folder(spark, "simhash"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("c")).unionAll(pairs.select("b")).distinct()
+        wanted = keep(ends.join(nodes, "c").select("c", "key"), new_folder(spark, "simhash"))
+        sets = rows.join(wanted, "key").select("c", "text").mapInArrow(reread, "c bigint, hashes array<bigint>")
+        sets = keep(sets.dropDuplicates(["c"]), new_folder(spark, "simhash"))
+        return keep(verified(pairs, sets, similarity), new_folder(spark, "simhash"))
+
+    named = nodes.select(F.col("c").alias("low"), "fp")
+    far = distance_for(similarity, slack)
+    first = checked(near_links(named, far))
+    good = first.filter("same").select("a", "b")
+    failed = first.filter("NOT same").select("a", "b")
+    if not failed.isEmpty():
+        trees = keep(components(first), new_folder(spark, "simhash"))
+        open_trees = failed.select(F.col("a").alias("node")).join(trees, "node").select("root").distinct()
+        within = trees.join(open_trees, "root").select(F.col("node").alias("low"))
+        linked = components(good).select(F.col("node").alias("low"), F.col("root").alias("label"))
+        again = named.join(within, "low").join(linked, "low", "left").withColumn("label", F.coalesce("label", "low"))
+        more = near_links(keep(again, new_folder(spark, "simhash")), far, label="label").join(failed, ["a", "b"], "left_anti")
+        second = checked(keep(more, new_folder(spark, "simhash")))
+        good = good.unionAll(second.filter("same").select("a", "b"))
+    lows = nodes.select("c", F.col("key").alias("low"))
+    pairs = good.join(lows.select(F.col("c").alias("a"), F.col("low").alias("x")), "a")
+    pairs = pairs.join(lows.select(F.col("c").alias("b"), F.col("low").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    copies = signed.join(lows, "c").filter("key <> low").select(F.col("key").alias("a"), F.col("low").alias("b"))
     member = components(pairs.unionAll(copies))
     return signed.select("key").distinct().join(member, F.col("key") == F.col("node"), "left").select(
         "key", F.coalesce("root", "key").alias("component")

@@ -345,6 +345,26 @@ def test_near_copies_keep_the_first_of_each_group(spark):
     assert simhash.first_of_each(docs.limit(0), "doc_id", "text").count() == 0
 
 
+def test_near_copies_are_verified_by_exact_similarity(spark):
+    dice = random.Random(31)
+    texts = []
+    for _ in range(12):  # around each base: texts below and above similarity 0.8, all within a few bits of each other
+        base = sentence(dice, 240).split()
+        texts.append(" ".join(base))
+        for blocks in (2, 4, 5, 6, 7, 8, 9, 10):
+            words = list(base)
+            for at in dice.sample(range(0, 48), blocks):
+                words[5 * at] = "x" + str(dice.random())
+            texts.append(" ".join(words))
+    sets = [set(zip(*[t.split()[i:] for i in range(5)])) for t in texts]
+    close = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    below = [(a, b) for a in range(len(texts)) for b in range(a) if 0.65 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.8]
+    got = {r.key: r.component for r in simhash.near_copies(documents(spark, texts), "doc_id", "text").collect()}
+    want = grouped(close, range(len(texts)))
+    assert all(want[i] == want[c] for i, c in got.items())  # nobody is merged by a likeness below 0.8
+    assert sum(got[a] == got[b] for a, b in close) >= 0.97 * len(close) and len(close) > 20 and len(below) > 20
+
+
 def test_blocks_of_a_crowded_cell_find_the_same_groups(spark):
     dice = np.random.Generator(np.random.PCG64(1))
     centre = dice.integers(0, 2, 256)
