@@ -18,6 +18,7 @@ WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 PREFIXES = (3, 4, 5, 6)
 CACHED_WORDS = 200_000
+LEAST_TEXTS = 5  # a feature in fewer texts is left out
 
 # Words that name groups of people, interchangeable within a line. A parameter everywhere.
 IDENTITY_TERMS = (
@@ -153,7 +154,7 @@ def train(
     a[np.searchsorted(every, ones)] = some
     b = both - a
     odds = np.log((a + 0.5) / (positive + 1)) - np.log((b + 0.5) / (total - positive + 1))
-    worth = np.where(both >= 5, np.abs(odds) * np.sqrt(a / positive + b / (total - positive)), -1)
+    worth = np.where(both >= LEAST_TEXTS, np.abs(odds) * np.sqrt(a / positive + b / (total - positive)), -1)
     named = np.sort(every[np.argsort(-worth, kind="stable")[:max_features]][: int((worth >= 0).sum())])
     x = _design([e.codes for e in examples], named)
     moved = [_design(e.swaps, named) - x[n] for n, e in enumerate(examples) if e.swaps]
@@ -174,43 +175,69 @@ def train(
     return Classifier(float(bias), weights, total, len(delta))
 
 
+def _telling(made: DataFrame, positive: int, total: int, max_features: int) -> np.ndarray:
+    """Runs a job. The features ``train`` keeps, counted in the tasks."""
+    each = made.select("y", F.explode("codes").alias("code")).groupBy("code")
+    counted = each.agg(F.sum(F.when(F.col("y") != 0, 1.0).otherwise(0.0)).alias("a"), F.count(F.lit(1)).cast("double").alias("n"))
+    a, b = F.col("a"), F.col("n") - F.col("a")
+    odds = F.log((a + 0.5) / (positive + 1)) - F.log((b + 0.5) / (total - positive + 1))
+    worth = F.abs(odds) * F.sqrt(a / positive + b / (total - positive))
+    best = counted.filter(F.col("n") >= LEAST_TEXTS).orderBy(worth.desc(), "code").limit(max_features)
+    return np.sort(np.array([r["code"] for r in best.select("code").collect()], np.uint32))
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, training: Column, max_examples: int = 6000,
-    max_codes: int = 30_000_000, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, **options,
+    max_features: int = 1000, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, **options,
 ) -> Classifier:
-    """Runs jobs. A classifier from at most ``max_examples`` labelled rows.
+    """Runs jobs. A classifier from at most ``max_examples`` labelled keys.
 
     ``training`` says which rows may be learnt from. More labelled keys than the bound: those with the smallest md5
-    draw are taken, the same ones every time. Texts become feature codes in the tasks; the driver gets at most ``max_codes`` of
-    them. These bounds hold for the fit alone; scoring covers every row. Rows without a label or key are not learnt
-    from; of several labels of a key the largest counts.
+    draw are taken, the same ones every time. A key is one example: of several texts of a key the smallest counts, of several
+    labels the largest. Texts become feature codes in the tasks and the features are chosen there; the driver gets, in the
+    order of the draws, only the codes of the ``max_features`` chosen, however long the texts are. These bounds hold for the fit
+    alone; scoring covers every row. Rows without a label or key are not learnt from.
     """
     marked = labels.filter(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_y"))
     known = docs.filter(training).select(F.col(key).alias("_key")).distinct().join(marked, "_key")
-    drawn = known.withColumn("_d", draw(F.col("_key"))).orderBy("_d", "_key").limit(max_examples).select("_key", "_y")
+    drawn = known.withColumn("_d", draw(F.col("_key"))).orderBy("_d", "_key").limit(max_examples).select("_key", "_y", "_d")
     drawn = keep(drawn, new_folder(docs.sparkSession, "examples"))  # at most ``max_examples`` rows
-    rows = docs.filter(training).join(F.broadcast(drawn), F.col(key) == F.col("_key")).select(F.col(text).cast("string").alias("t"), "_y", "_key")
+    rows = docs.filter(training).join(F.broadcast(drawn), F.col(key) == F.col("_key"))
+    rows = rows.groupBy("_key", "_y", "_d").agg(F.min(F.col(text).cast("string")).alias("t")).select("t", "_y", "_d", "_key")
+    codes = pa.list_(pa.int64())
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, list[int]] = {}
-        codes = pa.list_(pa.int64())
         for batch in batches:
             texts, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             made = [example(t, y, terms, memory) for t, y in zip(texts, ys, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array(ys, pa.int32()), pa.array([e.codes for e in made], codes), pa.array([e.swaps for e in made], pa.list_(codes))],
-                names=["key", "y", "codes", "swaps"],
+                [batch.column(3), batch.column(2), pa.array(ys, pa.int32()), pa.array([e.codes for e in made], codes), pa.array([e.swaps for e in made], pa.list_(codes))],
+                names=["key", "d", "y", "codes", "swaps"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    made = keep(rows.mapInArrow(code, f"key {kind}, y int, codes array<bigint>, swaps array<array<bigint>>"), new_folder(docs.sparkSession, "examples"))
-    examples, held = [], 0
-    for row in made.toLocalIterator():
-        held += len(row["codes"]) + sum(map(len, row["swaps"]))
-        if held > max_codes or len(examples) == max_examples:
-            break
-        examples.append(Example(row["y"], np.array(row["codes"], np.uint32), [np.array(s, np.uint32) for s in row["swaps"]]))
-    return train(examples, **options)
+    shape = f"key {kind}, d double, y int, codes array<bigint>, swaps array<array<bigint>>"
+    made = keep(rows.mapInArrow(code, shape), new_folder(docs.sparkSession, "examples"))
+    total, positive = made.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    named = _telling(made, positive, total, max_features) if 0 < positive < total else np.empty(0, np.uint32)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chosen(values: list[int]) -> list[int]:
+            values = np.array(values, np.int64)
+            return values[np.isin(values, named)].tolist()
+
+        for batch in batches:
+            own = pa.array([chosen(c) for c in batch.column(3).to_pylist()], codes)
+            swaps = pa.array([[chosen(c) for c in s] for s in batch.column(4).to_pylist()], pa.list_(codes))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], own, swaps], names=batch.schema.names)
+
+    read = made.mapInArrow(narrow, shape).orderBy("d", "key")
+    examples = [
+        Example(row["y"], np.array(row["codes"], np.uint32), [np.array(s, np.uint32) for s in row["swaps"]])
+        for row in read.toLocalIterator()
+    ]
+    return train(examples, max_features=max_features, **options)
 
 
 def scored(docs: DataFrame, text: str, model: Classifier, score: str = "score") -> DataFrame:

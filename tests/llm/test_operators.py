@@ -571,3 +571,17 @@ def test_toxicity_with_odd_rows(spark):
         assert sorted(out.columns) == sorted(docs.columns)
         assert all(0 <= r.score <= 1 for r in out.collect())
     assert toxicity.scored(docs.limit(0), "text", none).count() == 0
+
+
+def test_long_texts_and_repeated_keys_do_not_narrow_the_fit(spark):
+    dice = random.Random(5)
+    texts = [f"{sentence(dice, 300)} {'scum' if n % 2 else 'fine'}" for n in range(60)]
+    docs = documents(spark, texts + ["scum"] * 200, [*range(60), *[1] * 200])
+    labels = spark.createDataFrame([(n, n % 2) for n in range(60)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, "doc_id", "text", "toxic", F.lit(True), max_examples=40, max_features=50)
+    assert model.examples == 40 and 0 < len(model.weights) <= 50
+    assert model.scores(["x scum y"])[0] > 0.5 > model.scores(["x fine y"])[0]
+    kept = [f"{sentence(dice, 5)} {'scum' if n % 2 else 'fine'}" for n in range(60)]
+    whole = toxicity.train([toxicity.example(t, n % 2, toxicity.IDENTITY_TERMS) for n, t in enumerate(kept)], max_features=10)
+    again = toxicity.fit(documents(spark, kept), labels, "doc_id", "text", "toxic", F.lit(True), max_features=10)
+    assert set(whole.weights) == set(again.weights)
