@@ -19,6 +19,7 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 PREFIXES = (3, 4, 5, 6)
 CACHED_WORDS = 200_000
 LEAST_TEXTS = 5  # a feature in fewer texts is left out
+UNKNOWN = 0.25  # score of every text where no label was given
 
 # Words that name groups of people, interchangeable within a line. A parameter everywhere.
 IDENTITY_TERMS = (
@@ -141,13 +142,15 @@ def train(
     """Fit on labelled texts: logistic loss + ridge + ``penalty`` x mean squared score change under swaps.
 
     Features in under 5 texts are left out and the ``max_features`` that tell the labels apart best (by
-    log odds times the root of how common they are) are kept. One class only gives the base rate for every text.
+    log odds times the root of how common they are) are kept. One class only, or no feature left, gives the base rate for
+    every text, and no example at all ``UNKNOWN``.
     """
     y = np.array([e.label for e in examples], np.float32)
     positive, total = int(y.sum()), len(examples)
-    rate = (positive + 0.5) / (total + 1)
+    rate = (positive + 0.5) / (total + 1) if total else UNKNOWN
+    base = Classifier(bias=float(np.log(rate / (1 - rate))), examples=total)
     if not 0 < positive < total:
-        return Classifier(bias=float(np.log(rate / (1 - rate))), examples=total)
+        return base
     every, both = _counts([e.codes for e in examples])
     ones, some = _counts([e.codes for e in examples if e.label])
     a = np.zeros(len(every))
@@ -156,6 +159,8 @@ def train(
     odds = np.log((a + 0.5) / (positive + 1)) - np.log((b + 0.5) / (total - positive + 1))
     worth = np.where(both >= LEAST_TEXTS, np.abs(odds) * np.sqrt(a / positive + b / (total - positive)), -1)
     named = np.sort(every[np.argsort(-worth, kind="stable")[:max_features]][: int((worth >= 0).sum())])
+    if not len(named):
+        return base
     x = _design([e.codes for e in examples], named)
     moved = [_design(e.swaps, named) - x[n] for n, e in enumerate(examples) if e.swaps]
     delta = np.concatenate([np.zeros((0, len(named)), np.float32), *moved])

@@ -585,3 +585,15 @@ def test_long_texts_and_repeated_keys_do_not_narrow_the_fit(spark):
     whole = toxicity.train([toxicity.example(t, n % 2, toxicity.IDENTITY_TERMS) for n, t in enumerate(kept)], max_features=10)
     again = toxicity.fit(documents(spark, kept), labels, "doc_id", "text", "toxic", F.lit(True), max_features=10)
     assert set(whole.weights) == set(again.weights)
+
+
+def test_nothing_learnt_drops_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = documents(spark, ["one text", "another", None])
+    for n, rows in enumerate(([], [(0, None)], [(99, 1)])):
+        folder = str(tmp_path / str(n))
+        spark.createDataFrame(rows, "doc_id bigint, toxic int").write.parquet(f"{folder}/labels.parquet")
+        assert corpus_pipeline.without_toxic(spark, docs, folder).count() == 3
+    few = [toxicity.example(t, y, toxicity.IDENTITY_TERMS) for t, y in (("a b", 1), ("c d", 0), ("e f", 0), ("g h", 0))]
+    assert toxicity.train(few).scores(["any"])[0] < 0.5
