@@ -24,11 +24,15 @@ def plain(text: str | None) -> str:
 
 
 def pieces(text: str, window: int, stride: int) -> list[str]:
-    """Patterns of one normalised item: itself, or windows of a longer one that overlap and reach its end."""
-    if len(text) <= window + stride:
+    """Patterns of one normalised item: itself, and of one longer than a window the windows, which reach its end.
+
+    An item over one and a half windows is not a pattern as a whole.
+    """
+    if len(text) <= window:
         return [text] if text else []
     starts = [*range(0, len(text) - window, stride), len(text) - window]
-    return [text[s : s + window] for s in starts]
+    whole = [text] if 2 * len(text) <= 3 * window else []
+    return whole + [text[s : s + window] for s in starts]
 
 
 def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
@@ -181,13 +185,14 @@ class Index:
 
 def tag_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    q: int = 10, rate: float = 0.08, window: int = 120, stride: int = 60, block: int = 20_000,
+    q: int = 10, rate: float = 0.08, window: int = 120, stride: int = 9, block: int = 20_000,
     to: str = "leaked_items",
 ) -> DataFrame:
     """Runs jobs over the benchmark. ``docs`` with an array of the benchmark items found in each text.
 
-    Both sides are normalised (case, punctuation and symbols do not count). An item is searched whole, or
-    if it is longer than ``window + stride`` characters as overlapping windows of ``window`` characters. A pattern
+    Both sides are normalised (case, punctuation and symbols do not count). An item is searched whole up to one
+    and a half times ``window`` characters, and if it is longer than ``window`` also as windows of that length every ``stride``
+    characters. With a stride within a window's edit budget any ``window`` consecutive characters of an item are found. A pattern
     of n characters is found where a stretch of the text is within floor(``rate`` x n) edits of it. Patterns shorter
     than ``q`` must stand there exactly, between word borders. Items without letters or digits, null items and
     null texts match nothing; items with a null id are searched under the id null is not part of, so they are skipped.

@@ -200,6 +200,19 @@ def test_leaks_in_disguise_in_blocks_and_odd_rows(spark):
     assert decontaminate.decontaminated(docs.limit(0), bench).count() == 0
 
 
+def test_any_passage_of_window_length_is_found(spark):
+    dice = random.Random(14)
+    items = [decontaminate.plain(sentence(dice, 70))[:300], decontaminate.plain(sentence(dice, 50))[:180]]
+    texts, want = [], []
+    for n, item in enumerate(items):
+        for start in range(0, len(item) - 119, 5):
+            texts.append(f"{sentence(dice, 30)} {item[start : start + 120].strip()} {sentence(dice, 30)}")
+            want.append([n])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {r.doc_id: r.leaked_items for r in decontaminate.tag_leaks(documents(spark, texts), bench).collect()}
+    assert [got[n] for n in range(len(texts))] == want
+
+
 # 4 -------------------------------------------------------------------------------------------------
 
 
