@@ -69,10 +69,10 @@ def jsonl_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT md5(text) AS text_md5 FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 100)""")
 def jsonl_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first hundred lines of a file."""
+    """The first hundred lines of sorted files, which are read in the order of their paths."""
     folder = _folder(spark)
     ordered = table(spark, sf_dir, "documents").orderBy("doc_id").select(F.to_json(F.struct("text")).alias("value"))
-    ordered.coalesce(1).write.text(folder)
+    ordered.write.text(folder)
     good, _ = readers.read_tolerant(spark, folder, "text", first_lines=100)
     return checked_in(good.select(F.md5("text").alias("text_md5")), folder)
 
