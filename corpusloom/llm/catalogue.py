@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import ann, decontaminate, lines, mixing, secrets, sharding, simhash, toxicity, urls, warc
+from corpusloom.llm import ann, bytebpe, decontaminate, infill, lines, mixing, secrets, sharding, simhash, spelling, toxicity, urls, warc
 from corpusloom.llm.scratch import keep, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,92 @@ def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every document, its number of lines and those that repeat an earlier or nearly equal line."""
     found = lines.fuzzy_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select(F.col("key").alias("doc_id"), "lines", F.size("dropped").alias("n_dropped"), F.array_join("dropped", ",").alias("dropped"))
+
+
+@query()
+def op11_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document under a public byte-level vocabulary, and the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = bytebpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = bytebpe.encoded(table(spark, sf_dir, "documents"), "doc_id", "text", ranks, public_tokenizers.PATTERN)
+    back = bytebpe.decoded(coded, "ids", bytebpe.token_bytes(spark, ranks))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return back.select(
+        F.col("key").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def _crc_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a text of code points below 256; a byte is taken in and then shifted out bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: unicode(c))"
+    octets = f"flatten(list_transform({codes}, lambda c: CASE WHEN c < 128 THEN [c::BIGINT] ELSE [(192 | (c >> 6))::BIGINT, (128 | (c & 63))::BIGINT] END))"
+    steps = f"flatten(list_transform({octets}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)"
+        " ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT)"
+    )
+
+
+@query(
+    f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), '{spelling.UPPER}', '{spelling.LOWER}') AS run
+  FROM documents),
+counted AS (SELECT k, run, count(*) AS c FROM runs WHERE length(run) >= 7 GROUP BY k, run),
+hashed AS (SELECT run, c, {_crc_sql("k || ':' || run")} AS h FROM counted),
+observed AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM observed WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+cuts AS MATERIALIZED (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT x.word AS a, y.word AS b FROM cuts x JOIN cuts y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+    UNION ALL SELECT c.word, w.word FROM cuts c JOIN words w ON c.rest = w.word
+    UNION ALL SELECT w.word, c.word FROM cuts c JOIN words w ON c.rest = w.word)),
+best AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS form, max(w.n) AS form_n FROM pairs JOIN words w ON w.word = b GROUP BY a),
+forms AS MATERIALIZED (
+  SELECT w.word, CASE WHEN form_n >= 10 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+way AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT y.word, f.form FROM way y JOIN forms f ON f.word = y.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, y.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN way y ON y.word = f.word JOIN forms e ON e.word = y.at WHERE e.form IS NULL
+"""
+)
+def op12_composed_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents, the frequent word it is one edit from, and where that leads."""
+    return spelling.variants(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query(
+    """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST(concat('0x', substr(hex, 1, 8)) AS BIGINT) AS h1, CAST(concat('0x', substr(hex, 9, 8)) AS BIGINT) AS h2,
+    CAST(concat('0x', substr(hex, 17, 8)) AS BIGINT) AS h3, CAST(concat('0x', substr(hex, 25, 8)) AS BIGINT) AS h4 FROM units),
+formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:n], ''), '') AS s FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+)
+def op13_seekable_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rewritten for infilling, and rebuilt from the result."""
+    made = infill.transformed(infill.stored(table(spark, sf_dir, "documents"), "doc_id", "text"), seed=7)
+    return made.select(
+        F.col("key").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        infill.digest("output").alias("output_sha256"), infill.digest(infill.restored("output", "form")).alias("restored_sha256"),
+    )
