@@ -1,18 +1,19 @@
 """Byte-level BPE with a given table of ranks: every distinct pre-token of the corpus is encoded once.
 
-Texts are cut into blocks. A block holds its distinct pre-tokens and, by place in it, the position of each in the
-texts. The pre-tokens go through one global shuffle, meet their ids, return to their block and are laid out
-by position. Decoding looks every id up in the table of token bytes.
+Texts are cut into blocks. A block holds its distinct pre-tokens and, position by position, the place of its texts' pre-tokens
+among them. The distinct pre-tokens go through one global shuffle by groups of their hash, meet their ids, return to their block and are
+laid out by position. Decoding looks every id up in the table of token bytes.
 """
 
 from __future__ import annotations
 
 import base64
+import uuid
+import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import zstandard
@@ -23,8 +24,10 @@ from pyspark.sql import types as T
 from corpusloom.functions.bytepairs import merge_pairs
 from corpusloom.llm.scratch import fresh, keep, new_folder
 
-BLOCK_CHARS = 1 << 22  # a block ends with the text that reaches this many characters
+BLOCK_CHARS = 1 << 24  # a block ends with the text that reaches this many characters
 MAX_TOKENS = 1_000_000  # of a table of ranks; above that it isn't sent to the tasks
+MOST_GROUPS = 4096  # of words; each is encoded by one task
+ROWS_OUT = 1024
 LONG_TEXT = 1 << 23  # a text from this length on is matched piece by piece
 
 
@@ -50,24 +53,59 @@ def word_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-def blocks_of(rows: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
-    """(block, keys, counts, words, places): the texts of a block by key and number of pre-tokens, its distinct pre-tokens,
-    and the packed place of each pre-token of its texts among them, in order."""
+def _pack(numbers: np.ndarray) -> bytes:
+    """Compressed 32-bit numbers, all first bytes before all second bytes and so on."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _pack_lists(parts: list[bytes]) -> bytes:
+    """Byte strings as their lengths and then themselves."""
+    lengths = np.fromiter(map(len, parts), "<u4", len(parts))
+    return zstandard.compress(len(parts).to_bytes(8, "little") + lengths.tobytes() + b"".join(parts), 3)
+
+
+def _unpack_lists(packed: bytes) -> tuple[np.ndarray, bytes]:
+    """(lengths, all bytes)."""
+    raw = zstandard.decompress(packed)
+    n = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(raw, "<u4", n, 8).astype(np.int64), raw[8 + 4 * n :]
+
+
+def _split(lengths: np.ndarray, raw: bytes) -> list[bytes]:
+    ends = np.cumsum(lengths).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def blocks_of(rows: DataFrame, key: str, text: str, pattern: str, groups: int) -> DataFrame:
+    """(block, keys, counts, words, places): the texts of a block by key and number of pre-tokens, its distinct pre-tokens
+    packed by group (CRC-32 modulo ``groups``) and sorted within, and packed the place of each pre-token of its texts among them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, pack = regex.compile(pattern), zstandard.ZstdCompressor(3).compress
+        pieces = regex.compile(pattern)
         keys: list = []
         counts: list[int] = []
-        place: dict[str, int] = {}
+        first: dict[str, int] = {}
         order, size = array("I"), 0
         shape = None
 
         def block() -> pa.RecordBatch:
-            packed = pack(np.frombuffer(order, np.uint32).astype(np.uint16 if len(place) <= 1 << 16 else np.uint32).tobytes())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([keys], pa.list_(shape)), pa.array([counts], pa.list_(pa.int32())), pa.array([list(place)], pa.list_(pa.string())), pa.array([packed], pa.binary())],
-                names=["keys", "counts", "words", "places"],
-            )
+            raw = [word.encode("utf-8") for word in first]
+            group = np.fromiter((zlib.crc32(w) % groups for w in raw), np.int64, len(raw))
+            ranked = sorted(range(len(raw)), key=lambda i: (group[i], raw[i]))
+            place = np.empty(len(raw), np.uint32)
+            place[ranked] = np.arange(len(raw), dtype=np.uint32)
+            packed, ends = [], np.cumsum(np.bincount(group, minlength=groups)).tolist()
+            for a, b in zip([0, *ends], ends):
+                packed.append(_pack_lists([raw[i] for i in ranked[a:b]]) if a < b else None)
+            places = _pack(place[np.frombuffer(order, np.uint32)] if order else np.empty(0, np.uint32))
+            columns = [pa.array([keys], pa.list_(shape)), pa.array([counts], pa.list_(pa.int32())), pa.array([packed], pa.list_(pa.binary())), pa.array([places], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["keys", "counts", "words", "places"])
 
         for batch in batches:
             shape = batch.schema.field(0).type
@@ -75,68 +113,88 @@ def blocks_of(rows: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
                 value = value.as_py() or ""
                 found = pieces.findall(value) if len(value) < LONG_TEXT else (m.group() for m in pieces.finditer(value))
                 before = len(order)
-                order.extend([place.setdefault(word, len(place)) for word in found] if len(value) < LONG_TEXT else (place.setdefault(word, len(place)) for word in found))
+                order.extend([first.setdefault(word, len(first)) for word in found] if len(value) < LONG_TEXT else (first.setdefault(word, len(first)) for word in found))
                 keys.append(name.as_py())
                 counts.append(len(order) - before)
                 size += len(value)
-                if size >= BLOCK_CHARS or len(keys) >= 1 << 16:
+                if size >= BLOCK_CHARS:
                     yield block()
-                    keys, counts, place, order, size = [], [], {}, array("I"), 0
+                    keys, counts, first, order, size = [], [], {}, array("I"), 0
         if keys:
             yield block()
 
     kind = rows.schema[key].dataType.simpleString()
     parts = rows.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    made = parts.mapInArrow(cut, f"keys array<{kind}>, counts array<int>, words array<string>, places binary")
+    made = parts.mapInArrow(cut, f"keys array<{kind}>, counts array<int>, words array<binary>, places binary")
     return made.select(F.monotonically_increasing_id().alias("block"), "*")
 
 
+def _bucketed(rows: DataFrame, folder: str, by: str, buckets: int) -> DataFrame:
+    """Runs a job. ``rows`` written to ``folder`` in buckets, so that a join on ``by`` finds them dealt out already.
+
+    Spark takes buckets through a table name only; the name goes again at once, the files stay.
+    """
+    spark, name = rows.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    rows.write.format("parquet").option("compression", "zstd").option("path", folder).bucketBy(buckets, by).saveAsTable(name)
+    kept = spark.table(name)
+    assert kept.columns == rows.columns  # resolves the table while it has a name
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with the ids of their words, to one row per text: the words' ids by position."""
-    unpack = zstandard.ZstdDecompressor().decompress
+    """Blocks with the packed ids of their words, to one row per text: the words' ids by position."""
     for batch in batches:
-        for keys, counts, places, at, ids in zip(*batch.columns):
-            counts = counts.values.to_numpy(zero_copy_only=False)
-            n_words = len(at.values) if at.is_valid else 0
-            raw = unpack(places.as_py())
-            order = np.frombuffer(raw, np.uint16 if n_words <= 1 << 16 else np.uint32)
-            if n_words:
-                lists = ids.values
-                starts = lists.offsets.to_numpy()[:-1].astype(np.int64)
-                lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-                flat = lists.values.to_numpy(zero_copy_only=False)
-                row = np.empty(n_words, np.int64)
-                row[at.values.to_numpy(zero_copy_only=False)] = np.arange(n_words)
-                row = row[order]
-                ends = np.concatenate([[0], np.cumsum(lengths[row])])
-                values = flat[np.repeat(starts[row] - ends[:-1], lengths[row]) + np.arange(ends[-1])]
-            else:
-                ends, values = np.zeros(1, np.int64), np.empty(0, np.int32)
-            cuts = ends[np.concatenate([[0], np.cumsum(counts)])]
-            out = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays([keys.values, out], names=["key", "ids"])
+        for keys, counts, places, packed in zip(*batch.columns):
+            order = _unpack(places.as_py())
+            lists = [_unpack_lists(p) for p in packed.as_py() or ()]
+            lengths = np.concatenate([n for n, _ in lists] or [np.empty(0, np.int64)]) // 4
+            flat = np.frombuffer(b"".join(raw for _, raw in lists), "<i4")
+            starts = np.cumsum(lengths) - lengths
+            ends = np.concatenate([[0], np.cumsum(lengths[order])])
+            values = flat[np.repeat(starts[order] - ends[:-1], lengths[order]) + np.arange(ends[-1])]
+            cuts = ends[np.concatenate([[0], np.cumsum(counts.values.to_numpy(zero_copy_only=False))])]
+            for a in range(0, len(cuts) - 1, ROWS_OUT):
+                b = min(a + ROWS_OUT, len(cuts) - 1)
+                out = pa.ListArray.from_arrays(pa.array(cuts[a : b + 1] - cuts[a], pa.int32()), pa.array(values[cuts[a] : cuts[b]], pa.int32()))
+                yield pa.RecordBatch.from_arrays([keys.values.slice(a, b - a), out], names=["key", "ids"])
 
 
 def encoded(rows: DataFrame, key: str, text: str, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """Runs a job. (key, ids): the token ids of every whole text, each match of ``pattern`` encoded by itself.
 
     One row per row: null and empty texts have no ids, null and repeated keys come back as given, and other columns play
-    no part. Blocks are written to the checkpoint folder. A word is shuffled once per block that
-    holds it, however often it stands there, so a word in every text has no more rows than there are blocks. The only
-    rows gathered are the words of one block, which is as large as its texts: ``BLOCK_CHARS`` or one longer text.
+    no part. Blocks are written to the checkpoint folder, dealt out by block. A word is shuffled once per block that
+    holds it, however often it stands there, in a list with the other words of its group; a group is in one task, which encodes each
+    of its words once. The only things gathered are the words of one block, no larger than its texts: ``BLOCK_CHARS`` or one longer text.
     """
     spark = rows.sparkSession
-    blocks = keep(blocks_of(rows, key, text, pattern), new_folder(spark, "blocks"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = min(4 * buckets, MOST_GROUPS)
+    blocks = _bucketed(blocks_of(rows, key, text, pattern, groups), new_folder(spark, "blocks"), "block", buckets)
     sent = spark.sparkContext.broadcast(ranks)
 
-    @F.pandas_udf("array<int>")
-    def ids_of(words: pd.Series) -> pd.Series:
-        return pd.Series([np.asarray(word_ids(w.encode("utf-8"), sent.value), np.int32) for w in words])
-
-    words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    known = words.select("word").distinct().select("word", ids_of("word").alias("ids"))
-    back = words.join(known, "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("w"))
-    whole = blocks.drop("words").join(back, "block", "left").select("keys", "counts", "places", F.col("w.at").alias("at"), F.col("w.ids").alias("ids"))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, bytes] = {}
+        at = None
+        for batch in batches:
+            packed = []
+            for group, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if group != at:
+                    known, at = {}, group
+                ids = []
+                for word in _split(*_unpack_lists(words)):
+                    got = known.get(word)
+                    if got is None:
+                        got = known[word] = np.asarray(word_ids(word, sent.value), "<i4").tobytes()
+                    ids.append(got)
+                packed.append(_pack_lists(ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["block", "group", "ids"])
+
+    words = blocks.select("block", F.posexplode("words").alias("group", "words")).filter(F.col("words").isNotNull())
+    known = words.repartition("group").sortWithinPartitions("group").mapInArrow(encode, "block bigint, group int, ids binary")
+    back = known.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("group", "ids"))).alias("w"))
+    whole = blocks.drop("words").join(back, "block", "left").select("keys", "counts", "places", F.col("w.ids").alias("ids"))
     return whole.mapInArrow(_laid_out, f"key {rows.schema[key].dataType.simpleString()}, ids array<int>")
 
 
