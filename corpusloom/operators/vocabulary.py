@@ -1,7 +1,7 @@
 """Byte-level vocabulary: word counts, merge training, encoding, decoding and checks.
 
 Text is cut into pre-tokens by a JVM regular expression. Training works on the table of
-distinct pre-tokens; encoding touches Python once per Arrow batch and remembers the pre-tokens a
+distinct pre-tokens (see ``merges``); encoding touches Python once per Arrow batch and remembers the pre-tokens a
 task has seen. Decoding stays in the JVM.
 """
 
@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
+from corpusloom.functions.bytepairs import merge_pairs
 from corpusloom.functions.text import WORD_PATTERN, WS_CLASS, words
-from corpusloom.session import ensure_checkpoint_dir
+from corpusloom.operators.merges import SAMPLE_PIECES, train_merges
 
 
 def _byte_letters() -> list[str]:
@@ -53,21 +54,11 @@ def pretokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(pretoken_pattern()), F.lit(0))
 
 
-# Training writes a pre-token as a string with one private character per symbol, so that a merge
-# is a plain string replacement in the JVM. Symbol ids are shifted past the last ordinary plane
-# that needs surrogates, where there is room for a million of them.
-_SHIFT = 0x10000
-
-
-def _char(token_id: int) -> str:
-    return chr(_SHIFT + token_id)
-
-
-def _symbol_string(piece: Column, byte_ids: list[int]) -> Column:
-    """A pre-token as symbol characters: its UTF-8 bytes in hex, looked up one by one."""
-    table = F.array(*[F.lit(_char(i)) for i in byte_ids])
+def _symbols(piece: Column, byte_ids: list[int]) -> Column:
+    """A pre-token as symbol ids: its UTF-8 bytes in hex, looked up one by one."""
+    table = F.array(*[F.lit(i) for i in byte_ids])
     pairs = F.regexp_extract_all(F.hex(F.encode(piece, "UTF-8")), F.lit("(..)"), F.lit(1))
-    return F.array_join(F.transform(pairs, lambda h: F.get(table, F.conv(h, 16, 10).cast("int"))), "")
+    return F.transform(pairs, lambda h: F.get(table, F.conv(h, 16, 10).cast("int")))
 
 
 def word_counts(rows: DataFrame, text: str) -> DataFrame:
@@ -94,76 +85,24 @@ def pair_counts(pieces: DataFrame, symbols: str = "symbols", freq: str = "freq")
     )
 
 
-def _round(top: list, known: dict[str, int], tokens: list[str], room: int) -> list[tuple[int, int, int]]:
-    """Merges of one round: the longest run of best pairs that sequential training would also do.
-
-    Merging (a, b) only changes counts of pairs holding a or b, and a new pair is never more
-    frequent than the old pair it comes from. So as long as each pair shares no symbol with the
-    ones before it, the next pair in the list is the next merge. Two kinds of merges end the round:
-    one of a symbol with itself, which makes (aa, a) out of (a, a), and one whose text is already a
-    token, which may raise counts of old pairs.
-    """
-    merges, used = [], set()
-    for row in top:
-        left, right = (ord(ch) - _SHIFT for ch in row["pair"])
-        if room <= 0 or left in used or right in used:
-            break
-        used |= {left, right}
-        text = tokens[left] + tokens[right]
-        old = known.get(text)
-        if old is None:
-            known[text] = len(tokens)
-            tokens.append(text)
-            room -= 1
-        merges.append((left, right, known[text]))
-        if old is not None or left == right:
-            break
-    return merges
-
-
-def symbol_pairs(pieces: DataFrame) -> DataFrame:
-    """Frequency of adjacent symbols over (symbols, freq), symbols being one character each."""
-    s = F.col("symbols")
-    pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, F.lit(2)))
-    return pieces.select(F.explode(pairs).alias("pair"), "freq").groupBy("pair").agg(F.sum("freq").alias("freq"))
-
-
 def train_vocabulary(
-    rows: DataFrame, text: str, vocab_size: int = fixed.VOCAB_SIZE, checkpoint_every: int = 4, per_round: int = 64
+    rows: DataFrame, text: str, vocab_size: int = fixed.VOCAB_SIZE, sample_pieces: int = SAMPLE_PIECES
 ) -> tuple[DataFrame, DataFrame]:
     """Runs one job per round. Byte-pair training; returns (tokens, merges).
 
     Reserved tokens take the first ids, the 256 byte letters follow by code point, then merges
     by frequency (ties: smaller ids first). The corpus is counted once; every round after that
-    reads only the distinct pre-token table, merges by string replacement and brings the
-    ``per_round`` best pairs to the driver. The table is written to the checkpoint folder every
-    few rounds, which also cuts the lineage.
+    reads only the distinct pre-token table and makes as many merges as ``merges.train_merges`` can prove.
     """
     spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
     tokens = fixed.reserved_tokens() + sorted(BYTE_LETTERS)
     known = {t: i for i, t in enumerate(tokens)}
-    reserved = fixed.reserved_tokens()
-    counts = pretoken_counts(rows, text).filter(~F.col("piece").isin(reserved))
-    symbols = _symbol_string(F.col("piece"), [known[letter] for letter in BYTE_LETTERS])
-    pieces = counts.select(symbols.alias("symbols"), "freq").filter(F.length("symbols") > 1)
+    counts = pretoken_counts(rows, text).filter(~F.col("piece").isin(fixed.reserved_tokens()))
+    symbols = _symbols(F.col("piece"), [known[letter] for letter in BYTE_LETTERS])
+    pieces = counts.select(symbols.alias("symbols"), "freq").filter(F.size("symbols") > 1)
     # The table is small for its work, so spread it over all cores instead of by size.
-    pieces = pieces.repartition(2 * spark.sparkContext.defaultParallelism).checkpoint()
-    merges: list[tuple[int, int, int]] = []
-    rounds = 0
-    while len(tokens) < vocab_size:
-        top = symbol_pairs(pieces).orderBy(F.desc("freq"), "pair").limit(per_round).collect()
-        done = _round(top, known, tokens, vocab_size - len(tokens))
-        if not done:
-            break
-        merges += done
-        merged = F.col("symbols")
-        for left, right, new in done:
-            merged = F.replace(merged, F.lit(_char(left) + _char(right)), F.lit(_char(new)))
-        pieces = pieces.select(merged.alias("symbols"), "freq").filter(F.length("symbols") > 1)
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            pieces = pieces.checkpoint()
+    pieces = pieces.repartition(2 * spark.sparkContext.defaultParallelism)
+    tokens, merges, _ = train_merges(pieces, tokens, vocab_size, sample_pieces)
     return _vocabulary_tables(spark, tokens, merges)
 
 
@@ -185,13 +124,8 @@ def _encode_piece(piece: str, ids: dict[str, int], ranks: dict[tuple[str, str],
     """Token ids of one pre-token: the best-ranked adjacent pair is joined until none is left."""
     if piece in _RESERVED:
         return [ids[piece]]
-    parts = [BYTE_LETTERS[b] for b in piece.encode("utf-8")]
-    while len(parts) > 1:
-        rank, at = min((ranks.get(pair, len(ranks)), i) for i, pair in enumerate(zip(parts, parts[1:])))
-        if rank == len(ranks):
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return [ids[p] for p in parts]
+    letters = [BYTE_LETTERS[b] for b in piece.encode("utf-8")]
+    return [ids[p] for p in merge_pairs(letters, lambda a, b: ranks.get((a, b)))]
 
 
 class Encoder:

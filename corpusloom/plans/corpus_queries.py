@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import words
 from corpusloom.operators import corpus as C
+from corpusloom.operators import neardup as N
 from corpusloom.operators import vocabulary as V
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.registry import query, table
@@ -55,6 +56,24 @@ def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.groupBy("lang").agg(F.count(F.lit(1)).alias("n_clean"))
 
 
+_W5 = _W8.replace(", w[i+5], w[i+6], w[i+7]", "")
+
+
+@query(f"""WITH RECURSIVE w AS (SELECT doc_id, {S.words("text")} AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+ ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: {_W5})) END AS g FROM w),
+u AS MATERIALIZED (SELECT list_sort(g) AS g, min(doc_id) AS k FROM s WHERE len(g) > 0 GROUP BY 1),
+e AS (SELECT k, len(g) AS n, unnest(g) AS x FROM u),
+l AS MATERIALIZED (SELECT a.k AS a, b.k AS b FROM e a JOIN e b ON a.x = b.x AND a.k <> b.k AND b.n BETWEEN 0.8 * a.n AND a.n / 0.8
+ GROUP BY a.k, b.k HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*))),
+r(k, reached) AS (SELECT k, k FROM u UNION SELECT r.k, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT k, min(reached) AS class_id FROM r GROUP BY k)
+SELECT s.doc_id, coalesce(c.class_id, s.doc_id) AS class_id FROM s LEFT JOIN u ON list_sort(s.g) = u.g LEFT JOIN c ON c.k = u.k""")
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document under a Jaccard similarity of 0.8 of its 5-word windows."""
+    return N.near_duplicates(_texts(spark, sf_dir), "doc_id", "text").select(F.col("key").alias("doc_id"), "class_id")
+
+
 @query("""SELECT lang, count(*) AS n_rows, round(avg(length(text)), 6) AS mean_chars,
  CAST(quantile_disc(length(text), 0.5) AS BIGINT) AS p50, CAST(quantile_disc(length(text), 0.9) AS BIGINT) AS p90, max(length(text)) AS max_chars,
  round(avg(CASE WHEN length(text) > 1000 THEN 1e0 ELSE 0e0 END), 6) AS share_truncated, round(avg(CASE WHEN length(text) < 1000 THEN 1e0 ELSE 0e0 END), 6) AS share_padded
@@ -135,23 +154,42 @@ def pretoken_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.pretoken_counts(_texts(spark, sf_dir), "text")
 
 
-def _trained(spark: SparkSession, sf_dir: str, size: int = 320) -> tuple[DataFrame, DataFrame]:
-    return V.train_vocabulary(_texts(spark, sf_dir), "text", size)
+_VOCABULARIES: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The vocabulary of all documents at full size; trained once per application and folder."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _VOCABULARIES:
+        _VOCABULARIES[place] = V.train_vocabulary(_texts(spark, sf_dir), "text")
+    return _VOCABULARIES[place]
 
 
 @query()
 def vocab_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merges of a small vocabulary trained on all documents."""
-    return _trained(spark, sf_dir)[1]
+    """Merges of the full vocabulary trained on all documents."""
+    return trained(spark, sf_dir)[1]
 
 
 @query("SELECT count(*) AS n_rows, count(*) AS n_same FROM documents")
 def token_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that encode and decode to themselves under a trained vocabulary."""
-    encoder = V.Encoder(*_trained(spark, sf_dir))
+    """Documents that encode and decode to themselves under the trained vocabulary."""
+    encoder = V.Encoder(*trained(spark, sf_dir))
     return V.round_trip(_texts(spark, sf_dir), "text", encoder).select("n_rows", "n_same")
 
 
+def ids_digest(ids: Column) -> Column:
+    return F.md5(F.array_join(ids.cast("array<string>"), ",").cast("binary"))
+
+
+@query()
+def encoded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document under the trained vocabulary, as a digest."""
+    encoder = V.Encoder(*trained(spark, sf_dir))
+    made = _texts(spark, sf_dir).select("doc_id", encoder.encode(F.col("text")).alias("ids"))
+    return made.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest(F.col("ids")).alias("ids_md5"))
+
+
 @query(f"""SELECT lang, round(exp(avg(length(text) * 1e-3)), 6) AS perplexity,
  round(sum(length(text) * 7e-1) / (ln(2) * sum(octet_length(encode(text)))), 6) AS bits_per_byte FROM documents GROUP BY lang""")
 def bits_per_byte(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The end-to-end jobs on the given tables, with a vocabulary of single bytes."""
+"""The end-to-end jobs on the given tables: counts under a vocabulary of single bytes, digests under the trained one."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from corpusloom.operators.vocabulary import Encoder, base_vocabulary
 from corpusloom.plans import jobs
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.conversation_queries import _AUGMENT, _EMPTY, _PIECE, _RENDERED, conv, nested
+from corpusloom.plans.corpus_queries import ids_digest, trained
 from corpusloom.plans.derived import responses
 from corpusloom.plans.registry import query, table
 from corpusloom.plans.response_queries import _AGENT, _THINK_TERMS, _verified
@@ -70,6 +71,34 @@ def preference_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", F.size("x_chosen").alias("n_x"), F.size("y_rejected").alias("n_y"), both.alias("shifted"))
 
 
+@query()
+def pretrain_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text samples of 512 tokens under the trained vocabulary: digests of ids and labels."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = jobs.pretrain_samples(docs, Encoder(*trained(spark, sf_dir)), "doc_id")
+    return made.select("doc_id", _real("input_ids").alias("n_real"), *[ids_digest(F.col(c)).alias(f"{c}_md5") for c in ("input_ids", "labels")])
+
+
+@query()
+def chat_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat samples of 1,024 tokens under the trained vocabulary: digests of ids and labels."""
+    made = jobs.chat_samples(nested(spark, sf_dir), Encoder(*trained(spark, sf_dir)), "conv_id")
+    return made.select("conv_id", _real("input_ids").alias("n_real"), *[ids_digest(F.col(c)).alias(f"{c}_md5") for c in ("input_ids", "labels")])
+
+
+def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversation as chosen; with a refusal in place of its last message as rejected."""
+    refusal = F.array(M.message("assistant", F.lit("no")))
+    return nested(spark, sf_dir).select("conv_id", conv().alias("chosen"), F.concat(M.drop_last(conv()), refusal).alias("rejected"))
+
+
+@query()
+def preference_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference samples of 512 tokens under the trained vocabulary: digests of all six arrays."""
+    made = jobs.preference_samples(preference_pairs(spark, sf_dir), Encoder(*trained(spark, sf_dir)), "conv_id", 512)
+    return made.select("conv_id", *[ids_digest(F.col(c)).alias(f"{c}_md5") for c in made.columns if c != "conv_id"])
+
+
 @query(f"""WITH {_AUGMENT}, l AS (SELECT conv_id, max(turn) AS lt FROM conversations GROUP BY conv_id),
 p AS (SELECT c.conv_id, string_agg({_PIECE}, '' ORDER BY turn) FILTER (WHERE turn < lt) AS body FROM conversations c JOIN l ON c.conv_id = l.conv_id GROUP BY c.conv_id)
 SELECT p.conv_id, md5(CASE WHEN added THEN '<|im_start|>system' || chr(10) || prompt || '<|im_end|>' || chr(10) ELSE '' END || coalesce(body, '')

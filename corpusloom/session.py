@@ -69,6 +69,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def written(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Runs a job. The table as written to a new place in the checkpoint folder, and that place."""
+    spark = rows.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder), folder
+
+
 def settled(rows: DataFrame) -> DataFrame:
     """Write a table to the checkpoint folder and read it back.
 
@@ -76,10 +84,7 @@ def settled(rows: DataFrame) -> DataFrame:
     it for key sets that decide how a much larger table is joined: a small one is then broadcast
     before anything of the larger table is shuffled. Runs a job when called.
     """
-    spark = rows.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
-    rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+    return written(rows)[0]
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
