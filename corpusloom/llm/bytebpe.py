@@ -27,7 +27,7 @@ from corpusloom.llm.scratch import fresh, keep, new_folder
 BLOCK_CHARS = 1 << 24  # a block ends with the text that reaches this many characters
 MAX_TOKENS = 1_000_000  # of a table of ranks; above that it isn't sent to the tasks
 MOST_GROUPS = 4096  # of words; each is encoded by one task
-ROWS_OUT = 1024
+ROWS_OUT = 256
 LONG_TEXT = 1 << 23  # a text from this length on is matched piece by piece
 
 
@@ -151,12 +151,13 @@ def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lengths = np.concatenate([n for n, _ in lists] or [np.empty(0, np.int64)]) // 4
             flat = np.frombuffer(b"".join(raw for _, raw in lists), "<i4")
             starts = np.cumsum(lengths) - lengths
-            ends = np.concatenate([[0], np.cumsum(lengths[order])])
-            values = flat[np.repeat(starts[order] - ends[:-1], lengths[order]) + np.arange(ends[-1])]
-            cuts = ends[np.concatenate([[0], np.cumsum(counts.values.to_numpy(zero_copy_only=False))])]
-            for a in range(0, len(cuts) - 1, ROWS_OUT):
-                b = min(a + ROWS_OUT, len(cuts) - 1)
-                out = pa.ListArray.from_arrays(pa.array(cuts[a : b + 1] - cuts[a], pa.int32()), pa.array(values[cuts[a] : cuts[b]], pa.int32()))
+            stops = np.concatenate([[0], np.cumsum(counts.values.to_numpy(zero_copy_only=False))])
+            for a in range(0, len(stops) - 1, ROWS_OUT):
+                b = min(a + ROWS_OUT, len(stops) - 1)
+                part = order[stops[a] : stops[b]]
+                ends = np.concatenate([[0], np.cumsum(lengths[part])])
+                values = flat[np.repeat(starts[part] - ends[:-1], lengths[part]) + np.arange(ends[-1])]
+                out = pa.ListArray.from_arrays(pa.array(ends[stops[a : b + 1] - stops[a]], pa.int32()), pa.array(values, pa.int32()))
                 yield pa.RecordBatch.from_arrays([keys.values.slice(a, b - a), out], names=["key", "ids"])
 
 
