@@ -184,6 +184,13 @@ class Encoder:
         """Token ids back to text: token letters joined, turned into bytes, read as UTF-8."""
         return F.decode(self._bytes(ids, skip_special), "UTF-8")
 
+    def byte_lengths(self) -> np.ndarray:
+        """By token id, how many bytes of text the token stands for."""
+        sizes = np.zeros(max(self.tokens, default=-1) + 1, np.int32)
+        for i, token in self.tokens.items():
+            sizes[i] = len(token.encode("utf-8")) if token in _RESERVED else len(token)
+        return sizes
+
     def _bytes(self, ids: Column, skip_special: bool) -> Column:
         reserved = set(fixed.reserved_tokens())
         value_of = {letter: b for b, letter in enumerate(BYTE_LETTERS)}

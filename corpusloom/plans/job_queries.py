@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import arrays as A
 from corpusloom.functions.times import epoch_seconds, time_text
 from corpusloom.operators import messages as M
+from corpusloom.operators.spans import spans_to_mask, text_spans, token_ends
 from corpusloom.operators.vocabulary import Encoder, base_vocabulary
 from corpusloom.plans import jobs
 from corpusloom.plans import sqltext as S
@@ -71,6 +72,30 @@ def preference_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", F.size("x_chosen").alias("n_x"), F.size("y_rejected").alias("n_y"), both.alias("shifted"))
 
 
+@query(f"""WITH {_RENDERED}, {_AUGMENT},
+x AS (SELECT r.conv_id, CASE WHEN added THEN '<|im_start|>system' || chr(10) || prompt || '<|im_end|>' || chr(10) ELSE '' END || rendered AS t
+  FROM rendered r JOIN chosen c ON r.conv_id = c.conv_id),
+s AS (SELECT conv_id, CASE WHEN {S.draw(42, "empty_think", "conv_id")} > 0.2 THEN replace(t, {_EMPTY}, '') ELSE t END AS t FROM x),
+a AS (SELECT conv_id, unnest(string_split(t, '<|im_start|>assistant' || chr(10))[2:]) AS reply FROM s),
+n AS (SELECT conv_id, sum({_tokens_sql("left(reply, instr(reply, '<|im_end|>') + 10)")}) AS n FROM a GROUP BY conv_id)
+SELECT s.conv_id, {_tokens_sql("t")} AS n_tokens, CAST(coalesce(n, 0) AS BIGINT) AS n_labelled, true AS same,
+ CASE WHEN n IS NULL THEN NULL ELSE {_tokens_sql("left(t, instr(t, '<|im_start|>assistant' || chr(10)) + 21)")} END AS first_labelled
+FROM s LEFT JOIN n ON s.conv_id = n.conv_id""")
+def text_span_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply spans found in the text and carried over to tokens; the same as the spans found among the tokens."""
+    encoder = _encoder(spark)
+    texts = nested(spark, sf_dir).select("conv_id", jobs.chat_text(F.col("conversations"), F.col("conv_id")).alias("text"))
+    coded = texts.select("conv_id", text_spans(F.col("text")).alias("spans"), encoder.encode(F.col("text")).alias("ids"))
+    masks = coded.select(
+        "conv_id", spans_to_mask(token_ends(F.col("ids"), encoder), F.col("spans")).alias("mask"), A.reply_mask(F.col("ids"), *encoder.reply_marks()).alias("by_tokens")
+    )
+    first = F.array_position("mask", 1)
+    return masks.select(
+        "conv_id", F.size("mask").cast("bigint").alias("n_tokens"), F.size(F.filter("mask", lambda m: m == 1)).cast("bigint").alias("n_labelled"),
+        (F.col("mask") == F.col("by_tokens")).alias("same"), F.when(first > 0, first - 1).alias("first_labelled"),
+    )
+
+
 @query()
 def pretrain_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text samples of 512 tokens under the trained vocabulary: digests of ids and labels."""

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.plans import sqltext as S
-from corpusloom.plans.derived import RESPONSE, RESPONSES_SQL, responses
+from corpusloom.plans.derived import RESPONSE, RESPONSES_SQL, TOOL_ARGS, TOOL_NAME, responses
 from corpusloom.plans.registry import query, table
 from corpusloom.session import ensure_checkpoint_dir
+from corpusloom.sources.writers import metric_sink, read_metrics
 from corpusloom.streaming import chunks as K
-from corpusloom.streaming.metrics import every_kth, to_metric_log
+from corpusloom.streaming.metrics import every_kth_and_last, to_metric_log
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,32 +93,54 @@ def stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH r AS ({RESPONSES_SQL}) SELECT {_REQUEST} AS request_id, CAST(turn % 2 AS BIGINT) AS call_index, 'call_' || turn AS id, tool AS name, args AS arguments FROM r""")
 def stream_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tool calls put together from fragments: id and name come first, arguments in pieces."""
-    rows = responses(spark, sf_dir).selectExpr(
-        f"{_REQUEST} AS request_id", "CAST(turn % 2 AS BIGINT) AS call_index", "turn", "tool", "args"
+    """Tool calls put together from fragments: id and name come first, arguments in pieces; a fragment of nulls ends a request."""
+    rows = _stream(spark, sf_dir, "conversations").filter("role = 'assistant'").selectExpr(
+        f"{_REQUEST} AS request_id", "CAST(turn % 2 AS BIGINT) AS call_index", "turn", f"{TOOL_NAME} AS tool", f"{TOOL_ARGS} AS args"
     )
+    last = F.floor(F.length("args") / 4).cast("int")
     pieces = F.transform(
-        F.sequence(F.lit(0), F.floor(F.length("args") / 4).cast("int")),
+        F.sequence(F.lit(0), last + 1),
         lambda i: F.struct(
             i.cast("bigint").alias("seq"),
+            F.when(i <= last, F.col("call_index")).alias("call_index"),
             F.when(i == 0, F.concat(F.lit("call_"), F.col("turn"))).alias("id"),
             F.when(i == 0, F.col("tool")).alias("name"),
-            F.substring("args", i * 4 + 1, F.lit(4)).alias("arguments"),
+            F.when(i <= last, F.substring("args", i * 4 + 1, F.lit(4))).alias("arguments"),
         ),
     )
-    return K.join_call_fragments(rows.select("request_id", "call_index", F.inline(pieces)))
+    return _drain(K.stream_call_fragments(rows.select("request_id", F.inline(pieces))))
 
 
 @query("""WITH e AS (SELECT user_id AS run, event_id AS step, value FROM events
  QUALIFY event_id % 25 = 0 OR event_id = max(event_id) OVER (PARTITION BY user_id))
 SELECT run, step, 'value' AS metric, value FROM e UNION ALL SELECT run, step, 'double', value * 2 FROM e""")
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values at every 25th step and at the last of each run, from a stateless stream."""
-    steps = _stream(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run"), F.col("event_id").alias("step"), "value", (F.col("value") * 2).alias("double")
+    """Values at every 25th step and at the last of each run, found when the watermark passes the run."""
+    shape = [F.col("user_id").alias("run"), F.col("event_id").alias("step"), "value", (F.col("value") * 2).alias("double"), F.col("ts").cast("timestamp").alias("at")]
+    steps = _stream(spark, sf_dir, "events").select(*shape)
+    # A later source that has no steps moves the watermark on, as the next day's runs would.
+    later = _stream(spark, sf_dir, "region").select(
+        F.lit(-1).cast("bigint").alias("run"), F.lit(None).cast("bigint").alias("step"), F.lit(0.0).alias("value"), F.lit(0.0).alias("double"),
+        F.lit("2100-01-01").cast("timestamp").alias("at"),
     )
-    lasts = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("run")).agg(F.max("event_id").alias("last_step"))
-    return _drain(to_metric_log(every_kth(steps, 25, lasts), ["value", "double"]))
+    timed = steps.unionByName(later).withWatermark("at", "1 hour")
+    return _drain(to_metric_log(every_kth_and_last(timed, 25, ["value", "double"], "at"), ["value", "double"]))
+
+
+@query("""SELECT user_id AS run, event_id AS step, 'value' AS metric, value FROM events WHERE event_id % 10 = 0 AND value IS NOT NULL""")
+def metric_log_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth value through the sink that takes each batch once; every batch is offered twice."""
+    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    steps = _stream(spark, sf_dir, "events").filter("event_id % 10 = 0").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), "value")
+    sink = metric_sink(f"{folder}/log", "values")
+
+    def twice(rows: DataFrame, batch: int) -> None:
+        sink(rows, batch)
+        sink(rows, batch)
+
+    running = to_metric_log(steps, ["value"]).writeStream.foreachBatch(twice).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return read_metrics(spark, f"{folder}/log").select("run", "step", "metric", "value")
 
 
 @query("""WITH t AS (SELECT *, 10 + turn * 3 AS size, octet_length(encode(text)) AS n FROM conversations),
@@ -125,12 +148,15 @@ c AS (SELECT *, unnest(range(1, n // size + 2)) AS cut FROM t),
 s AS (SELECT conv_id, turn, cut, list_max(list_filter(range(0, length(text) + 1), lambda k: octet_length(encode(left(text, k))) <= cut * size)) AS shown FROM c)
 SELECT conv_id, turn, cut, CAST(shown AS INT) AS shown FROM s""")
 def hold_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts that arrive as chunks of bytes cut anywhere: how many characters can be shown after each."""
+    """Texts that arrive as a stream of byte chunks cut anywhere: how many characters can be shown after each."""
     size = F.col("turn") * 3 + 10
     raw = F.encode("text", "UTF-8")
-    cuts = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", size.alias("size"), raw.alias("raw"),
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.floor(F.length(raw) / size) + 1)).alias("cut"),
+    texts = _stream(spark, sf_dir, "conversations").selectExpr(f"{_REQUEST} AS request_id", "turn", "text")
+    pieces = texts.select(
+        "request_id", size.alias("size"), raw.alias("raw"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.length(raw) / size))).alias("seq")
+    )
+    cut = F.substring("raw", (F.col("seq") * F.col("size") + 1).cast("int"), F.col("size").cast("int"))
+    shown = _drain(K.stream_characters(pieces.select("request_id", "seq", cut.alias("piece"))))
+    return shown.select(
+        F.floor(F.col("request_id") / 1000).alias("conv_id"), (F.col("request_id") % 1000).alias("turn"), (F.col("seq") + 1).alias("cut"), F.col("shown").cast("int").alias("shown")
     )
-    so_far = F.substring("raw", F.lit(1), (F.col("cut") * F.col("size")).cast("int"))
-    return cuts.select("conv_id", "turn", "cut", F.length(F.decode(K.showable_prefix(so_far), "UTF-8")).alias("shown"))

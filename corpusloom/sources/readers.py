@@ -47,15 +47,29 @@ def read_strict(spark: SparkSession, path: str, kind: str = "agent") -> DataFram
     return spark.read.schema(SCHEMAS[kind]).option("mode", "FAILFAST").json(path)
 
 
+def leading_files(spark: SparkSession, path: str, lines: int) -> list[str]:
+    """Runs jobs. The first files of ``path`` (in order of their names) that hold ``lines`` lines, or all if there are fewer.
+
+    Files are counted in groups of 1, 2, 4, … under a limit, which ends every task after as many lines as are still wanted: nothing behind
+    the group with the last line is opened, and of that group little more than is needed.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    taken, group = 0, 1
+    while taken < len(files) and lines > 0:
+        lines -= spark.read.text(files[taken : taken + group]).limit(lines).count()
+        taken, group = taken + group, 2 * group
+    return files[: max(taken, 1)]
+
+
 def read_tolerant(
     spark: SparkSession, path: str, kind: str = "conversation", first_lines: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """JSONL with bad bytes ignored and bad lines set aside.
 
-    Returns (good rows, bad lines). ``first_lines`` stops after that many lines of one file
-    in file order, bad ones included.
+    Returns (good rows, bad lines). ``first_lines`` stops after that many lines in file order, bad ones included; files
+    behind them are not opened (see ``leading_files``, which runs jobs).
     """
-    lines = spark.read.text(path)
+    lines = spark.read.text(path if first_lines is None else leading_files(spark, path, first_lines))
     if first_lines is not None:
         # Splits are not scheduled in file order, so a bare limit could take other lines. Sorting
         # on the position keeps only ``first_lines`` rows per task (a top-n, not a full sort).

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,6 +34,35 @@ def append_metrics(rows: DataFrame, path: str) -> None:
     rows.select("run", "step", "metric", "value").write.mode("append").parquet(path)
 
 
+def metric_sink(path: str, query: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink for (run, step, metric, value) that takes each batch of a query once.
+
+    A batch has a folder of its own, which a repeated try overwrites, and then an entry in the table of commits, by query and batch. A batch that is
+    committed already adds nothing. ``read_metrics`` reads committed batches only, so a batch that broke off is never seen.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        place = f"query={query}/batch={batch}"
+        if _exists(rows.sparkSession, f"{path}/commits/{place}/_SUCCESS"):
+            return
+        rows.select("run", "step", "metric", "value").write.mode("overwrite").parquet(f"{path}/rows/{place}")
+        rows.sparkSession.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(f"{path}/commits/{place}")
+
+    return write
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(run, step, metric, value, query, batch) of the committed batches under ``path``."""
+    rows = spark.read.parquet(f"{path}/rows")
+    commits = spark.read.parquet(f"{path}/commits").select("query", "batch").distinct()
+    return rows.join(commits, ["query", "batch"], "left_semi").select("run", "step", "metric", "value", "query", "batch")
+
+
+def _exists(spark: SparkSession, file: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def response_json(
     request_id: Column, created: Column, model: Column, content: Column, reasoning: Column, calls: Column
 ) -> Column:

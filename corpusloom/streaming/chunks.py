@@ -3,8 +3,9 @@ incomplete characters. The functions take a batch or a streaming DataFrame alike
 
 from __future__ import annotations
 
+import codecs
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -188,3 +189,103 @@ def showable_prefix(pieces: Column) -> Column:
     candidates = F.array(*[F.substring(pieces, F.lit(1), n - k) for k in range(4)])
     valid = F.filter(candidates, lambda c: F.is_valid_utf8(c.cast("string")))
     return F.coalesce(F.get(valid, F.lit(0)), F.substring(pieces, 1, 0))
+
+
+ORDERED_STATE = "next_seq bigint, waiting string, memo string"
+
+
+def in_order(
+    chunks: DataFrame, key: str, fields: list[str], schema: str, take: Callable[[dict, int, list | None], list[tuple]], at: str | None = None, idle_ms: int = 600_000
+) -> DataFrame:
+    """Rows (``key``, …``schema``) that ``take`` makes of each request's chunks (``key``, seq, …``fields``), one by one in sequence order.
+
+    Streaming only. ``take(memo, seq, item)`` gets the request's memory (a dict of JSON values that it may change), and the fields as a list, binary
+    ones as bytes; None when the request ends, which a chunk whose fields are all null says. A chunk that comes early waits in the state, one that
+    comes again or after the end changes nothing. With ``at``, the event time column under the watermark of ``chunks``, a request that is silent until the
+    watermark is ``idle_ms`` past its last chunk is ended without what is missing, and the mark of an ended one goes.
+    """
+    names = [key, *[f.split()[0] for f in schema.split(",")]]
+
+    def pack(item: list) -> list:
+        return [{"b": bytes(v).hex()} if isinstance(v, (bytes, bytearray)) else v for v in item]
+
+    def unpack(item: list) -> list:
+        return [bytes.fromhex(v["b"]) if isinstance(v, dict) else v for v in item]
+
+    def plain(value):
+        """A pandas value as a Python one."""
+        if value is None or (not isinstance(value, (bytes, bytearray, str)) and pd.isna(value)):
+            return None
+        return value.item() if hasattr(value, "item") else value
+
+    def update(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        next_seq, waiting, memo = state.get if state.exists else (0, "{}", "{}")
+        if next_seq == FINISHED:
+            if state.hasTimedOut:
+                state.remove()
+            return
+        early, memo, seen_ms, rows, ended = json.loads(waiting), json.loads(memo), [], [], state.hasTimedOut
+        for frame in () if ended else frames:
+            seen_ms += [int(frame[at].max().timestamp() * 1000)] if at else []
+            for seq, *item in zip(frame["seq"].astype(int), *[frame[f] for f in fields]):
+                if seq >= next_seq:
+                    early.setdefault(str(seq), pack([plain(v) for v in item]))
+        while not ended and str(next_seq) in early:
+            item = unpack(early.pop(str(next_seq)))
+            ended = all(v is None for v in item)
+            if not ended:
+                rows += take(memo, next_seq, item)
+                next_seq += 1
+        if ended:
+            rows += take(memo, next_seq, None)
+        if state.hasTimedOut:
+            state.remove()
+        else:
+            state.update((FINISHED, "{}", "{}") if ended else (next_seq, json.dumps(early), json.dumps(memo)))
+            if at is not None:
+                state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), *seen_ms, 0) + idle_ms)
+        if rows:
+            yield pd.DataFrame([(*group, *r) for r in rows], columns=names)
+
+    limit = GroupStateTimeout.NoTimeout if at is None else GroupStateTimeout.EventTimeTimeout
+    kind = chunks.schema[key].dataType.simpleString()
+    return chunks.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, {schema}", ORDERED_STATE, "append", limit)
+
+
+def stream_call_fragments(fragments: DataFrame, at: str | None = None, idle_ms: int = 600_000) -> DataFrame:
+    """``join_call_fragments`` on a stream of fragments (request_id, seq, call_index, id, name, arguments), ``seq`` counting through the request.
+
+    The calls of a request come out when it ends; see ``in_order`` for ends, repeats and late fragments. A fragment
+    without call index begins a new call. The state is the calls so far.
+    """
+
+    def take(memo: dict, seq: int, item: list | None) -> list[tuple]:
+        calls = memo.setdefault("calls", {})
+        if item is None:
+            return [(int(i), *parts) for i, parts in sorted(calls.items(), key=lambda c: int(c[0]))]
+        index, *parts = item
+        index = max(map(int, calls), default=-1) + 1 if index is None else int(index)
+        call = calls.setdefault(str(index), ["", "", ""])
+        calls[str(index)] = [old + (new or "") for old, new in zip(call, parts)]
+        return []
+
+    schema = "call_index bigint, id string, name string, arguments string"
+    return in_order(fragments, "request_id", ["call_index", "id", "name", "arguments"], schema, take, at, idle_ms)
+
+
+def stream_characters(pieces: DataFrame, at: str | None = None, idle_ms: int = 600_000) -> DataFrame:
+    """(request_id, seq, text, shown) from byte pieces (request_id, seq, piece): the whole characters each piece completes, and how many
+    the request has so far.
+
+    Every byte is read once; the state holds the bytes of a character begun, three at most. Bytes that can't be part of a character become replacement
+    characters, and so does a character cut off by the request's end.
+    """
+
+    def take(memo: dict, seq: int, item: list | None) -> list[tuple]:
+        decoder = codecs.getincrementaldecoder("utf-8")("replace")
+        decoder.setstate((bytes.fromhex(memo.get("held", "")), 0))
+        text = decoder.decode(b"" if item is None else item[0], item is None)
+        memo["held"], memo["shown"] = decoder.getstate()[0].hex(), memo.get("shown", 0) + len(text)
+        return [(seq, text, memo["shown"])] if item is not None or text else []
+
+    return in_order(pieces, "request_id", ["piece"], "seq bigint, text string, shown bigint", take, at, idle_ms)
