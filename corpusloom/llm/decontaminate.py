@@ -23,16 +23,9 @@ def plain(text: str | None) -> str:
     return GAP.sub(" ", (text or "").lower()).strip()
 
 
-def pieces(text: str, window: int, stride: int) -> list[str]:
-    """Patterns of one normalised item: itself, and of one longer than a window the windows, which reach its end.
-
-    An item over one and a half windows is not a pattern as a whole.
-    """
-    if len(text) <= window:
-        return [text] if text else []
-    starts = [*range(0, len(text) - window, stride), len(text) - window]
-    whole = [text] if 2 * len(text) <= 3 * window else []
-    return whole + [text[s : s + window] for s in starts]
+def pieces(text: str, passage: int, size: int) -> list[str]:
+    """One normalised item in pieces of at most ``size`` characters; every ``passage`` consecutive characters stand in one of them."""
+    return [text[s : s + size] for s in range(0, max(len(text) - passage, 0) + 1, size - passage + 1)] if text else []
 
 
 def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
@@ -78,11 +71,13 @@ def alignment(pattern: np.ndarray, region: np.ndarray, first: int, width: int, b
 
 @dataclass
 class Index:
-    """Q-grams of a block of patterns: sorted hashes, and for each the patterns and places it stands at."""
+    """Q-grams of a block of item pieces: sorted hashes, and for each the pieces and places it stands at."""
 
     items: np.ndarray
     patterns: list[np.ndarray]
     strings: list[str]
+    sizes: np.ndarray  # of each piece
+    lengths: np.ndarray  # of a passage of each piece
     budgets: np.ndarray
     needed: np.ndarray
     q: int
@@ -94,13 +89,14 @@ class Index:
     short: list[tuple[int, str]]
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]], q: int, rate: float) -> Index:
-        short = [(i, p) for i, p in rows if len(p) < q]
-        rows = [(i, p) for i, p in rows if len(p) >= q]
+    def of(cls, rows: list[tuple[int, str]], q: int, rate: float, passage: int) -> Index:
+        short = [(i, p) for i, p in rows if len(p) < 2 * q]
+        rows = [(i, p) for i, p in rows if len(p) >= 2 * q]
         codes = [_codes(p) for _, p in rows]
-        # The lemma: e edits leave at least n - q + 1 - q * e of the q-grams; the budget keeps that above 0.
-        budgets = [min(int(rate * len(p)), (len(p) - q) // q) for _, p in rows]
-        needed = [len(p) - q + 1 - q * e for (_, p), e in zip(rows, budgets, strict=True)]
+        # The lemma: e edits leave at least n - q + 1 - q * e of a passage's q-grams; the budget keeps that above 0.
+        lengths = [min(len(p), passage) for _, p in rows]
+        budgets = [min(int(rate * n), (n - q) // q) for n in lengths]
+        needed = [n - q + 1 - q * e for n, e in zip(lengths, budgets, strict=True)]
         grams = [gram_hashes(c, q) for c in codes]
         flat = np.concatenate([np.empty(0, np.uint64), *grams])
         where = np.repeat(np.arange(len(rows)), [len(g) for g in grams]).astype(np.int32)
@@ -110,7 +106,7 @@ class Index:
         sieve = np.zeros(1 << 22, bool)
         sieve[(hashes >> np.uint64(42)).astype(np.int64)] = True
         return cls(
-            np.array([i for i, _ in rows], np.int64), codes, [p for _, p in rows], np.array(budgets, np.int64),
+            np.array([i for i, _ in rows], np.int64), codes, [p for _, p in rows], np.array([len(p) for _, p in rows], np.int64), np.array(lengths, np.int64), np.array(budgets, np.int64),
             np.array(needed, np.int64), q, hashes, np.r_[starts, len(flat)], where[order], place[order], sieve, short,
         )
 
@@ -130,7 +126,7 @@ class Index:
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))  # type: ignore[return-value]
 
     def leaks(self, texts: list[str | None]) -> list[list[int]]:
-        """For each text, the sorted items of which a pattern is in it within its edit budget."""
+        """For each text, the sorted items of which a passage is in it within its edit budget."""
         out: list[set[int]] = [set() for _ in texts]
         clean = [plain(t) for t in texts]
         for i, p in self.short:
@@ -155,50 +151,83 @@ class Index:
         at, pattern, place = self.hits(joined)
         if not len(at):
             return
-        half = self.budgets[pattern] + 1
-        band = (at - place + len(joined)) // half  # bands are two steps wide and begin at every step
+        step = self.budgets[pattern] + 1
+        band = (at - place + len(joined)) // step  # bands are two steps wide and begin at every step
         wide = 2 * len(joined) + 4
         keys = np.concatenate([pattern * wide + band, pattern * wide + band - 1])
-        bands, count = np.unique(keys, return_counts=True)
-        for key in bands[count >= self.needed[bands // wide]].tolist():
+        at, place = np.concatenate([at, at]), np.concatenate([place, place]).astype(np.int64)
+        order = np.lexsort((at, keys))
+        keys, at, place = keys[order], at[order], place[order]
+        # A passage begins with some hit of its band and has as many as it needs within its length and budget.
+        owner = keys // wide
+        last = np.arange(len(keys)) + self.needed[owner] - 1
+        inside = np.minimum(last, len(keys) - 1)
+        near = (last < len(keys)) & (keys[inside] == keys) & (at[inside] - at <= self.lengths[owner] + self.budgets[owner] - self.q)
+        first = np.flatnonzero(near)
+        if not len(first):
+            return
+        # The hits that a passage needs reach at most this far behind its first one, so it begins no earlier.
+        reach = self.budgets[owner[first]] * (self.q + 1) + 1
+        origin = np.repeat(first, reach)
+        s = place[origin] - (np.arange(reach.sum()) - np.repeat(np.cumsum(reach) - reach, reach))
+        fits = (s >= 0) & (s <= self.sizes[owner[origin]] - self.lengths[owner[origin]])
+        size = int(self.sizes.max()) + 1
+        windows, index = np.unique((keys[origin] * size + s)[fits], return_index=True)
+        origin = origin[fits][index]
+        likely = np.unique(keys[first])
+        held = likely[np.minimum(np.searchsorted(likely, keys), len(likely) - 1)] == keys
+        missed = self._uncovered(windows, owner[origin], np.unique(keys[held] * size + place[held]))
+        possible = missed <= self.budgets[owner[origin]]
+        windows, origin, missed = windows[possible], origin[possible], missed[possible]
+        docs = np.searchsorted(begin, at[origin], side="right") - 1
+        for w in np.lexsort((missed, owner[origin], docs)).tolist():
+            n, key = int(docs[w]), int(windows[w]) // size
             p, k = divmod(key, wide)
-            step = int(self.budgets[p]) + 1
-            first = k * step - len(joined)
-            doc = int(np.searchsorted(begin, first + len(self.patterns[p]) // 2, side="right")) - 1
-            for n in {max(0, doc - 1), doc, min(doc + 1, high - low - 1)} & set(range(high - low)):
-                item = int(self.items[p])
-                if item in out[low + n]:
-                    continue
-                start = first - int(begin[n])
-                stop = start + 2 * step + len(self.patterns[p]) + step
-                cut = max(0, start - step)
-                region = clean[low + n][cut : max(0, stop)]
-                if len(region) < len(self.patterns[p]) - step:
-                    continue
-                if self.strings[p] in region or (
-                    self.budgets[p] > 0
-                    and alignment(self.patterns[p], _codes(region), start - step - cut, 4 * step, int(self.budgets[p]))
-                    is not None
-                ):
-                    out[low + n].add(item)
+            item = int(self.items[p])
+            if item not in out[low + n] and self._stands(p, int(windows[w]) % size, k * (int(self.budgets[p]) + 1) - len(joined) - int(begin[n]), clean[low + n]):
+                out[low + n].add(item)
+
+    def _uncovered(self, windows: np.ndarray, owner: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """How many edits it takes to spoil the q-grams of each passage that aren't among the hits of its band: one spoils q in a row at most."""
+        grams = self.lengths[owner] - self.q + 1
+        edits, covered = np.zeros(len(windows), np.int64), np.zeros(len(windows), np.int64)
+        for c in range(int(grams.max(initial=0))):
+            slot = np.minimum(np.searchsorted(hits, windows + c), len(hits) - 1)
+            spoiled = (hits[slot] != windows + c) & (c < grams) & (c >= covered)
+            edits += spoiled
+            covered[spoiled] = c + self.q
+        return edits
+
+    def _stands(self, p: int, s: int, diagonal: int, text: str) -> bool:
+        """The passage of piece ``p`` from ``s`` on stands in the text within its budget, near a diagonal (text minus piece position)."""
+        length, budget = int(self.lengths[p]), int(self.budgets[p])
+        step, start = budget + 1, diagonal + s
+        cut = max(0, start - step)
+        region = text[cut : max(0, start + length + 3 * step)]
+        if len(region) < length - budget:
+            return False
+        if self.strings[p][s : s + length] in region:
+            return True
+        return budget > 0 and alignment(self.patterns[p][s : s + length], _codes(region), start - step - cut, 4 * step, budget) is not None
 
 
 def tag_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    q: int = 10, rate: float = 0.08, window: int = 120, stride: int = 9, block: int = 20_000,
+    q: int = 8, rate: float = 0.08, passage: int = 50, piece: int = 2000, block: int = 2_000_000,
     to: str = "leaked_items",
 ) -> DataFrame:
     """Runs jobs over the benchmark. ``docs`` with an array of the benchmark items found in each text.
 
-    Both sides are normalised (case, punctuation and symbols do not count). An item is searched whole up to one
-    and a half times ``window`` characters, and if it is longer than ``window`` also as windows of that length every ``stride``
-    characters. With a stride within a window's edit budget any ``window`` consecutive characters of an item are found. A pattern
-    of n characters is found where a stretch of the text is within floor(``rate`` x n) edits of it. Patterns shorter
-    than ``q`` must stand there exactly, between word borders. Items without letters or digits, null items and
+    Both sides are normalised (case, punctuation and symbols do not count). An item is found where any ``passage`` consecutive characters of it
+    (about eight words; the whole of a shorter item) are within floor(``rate`` x their number) edits of a stretch of the text. Items shorter
+    than 2 ``q`` must stand there exactly, between word borders. Items without letters or digits, null items and
     null texts match nothing; items with a null id are searched under the id null is not part of, so they are skipped.
 
-    Documents are read once and never shuffled. The patterns are written to the checkpoint folder in blocks of
-    about ``block`` and sent out block by block, so what is broadcast is bounded however large the benchmark is;
+    The items' q-grams are indexed once, in pieces of ``piece`` characters. The grams a text shares with a piece are counted in diagonal bands over
+    stretches as long as a passage; where there are as many as the edit budget must leave, the passages there are aligned within the band.
+
+    Documents are read once and never shuffled. The pieces are written to the checkpoint folder in blocks of
+    about ``block`` characters and sent out block by block, so what is broadcast is bounded however large the benchmark is;
     each further block is one more step over the same rows. A column named ``to`` is replaced.
     """
     spark = docs.sparkSession
@@ -207,7 +236,7 @@ def tag_leaks(
         for batch in batches:
             ids, parts = [], []
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for p in pieces(plain(t), window, stride):
+                for p in pieces(plain(t), passage, piece):
                     ids.append(i)
                     parts.append(p)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.string())], names=["i", "p"])
@@ -216,7 +245,7 @@ def tag_leaks(
         F.col(item).cast("bigint").alias("i"), F.col(item_text).cast("string").alias("p")
     )
     patterns = keep(items.mapInArrow(cut, "i bigint, p string").distinct(), new_folder(spark, "patterns"))
-    blocks = max(1, -(-patterns.count() // block))
+    blocks = max(1, -(-(patterns.agg(F.sum(F.length("p"))).first()[0] or 0) // block))
     rest = [c for c in docs.columns if c.lower() != to.lower()]
     named = fresh(rest, "text_to_search")
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(text).cast("string").alias(named))
@@ -224,7 +253,7 @@ def tag_leaks(
     rows = rows.withColumn(to, F.array().cast("array<bigint>"))
     for number in range(blocks):
         mine = patterns.filter(F.pmod(F.xxhash64("p"), F.lit(blocks)) == number)
-        index = spark.sparkContext.broadcast(Index.of(sorted((r.i, r.p) for r in mine.collect()), q, rate))
+        index = spark.sparkContext.broadcast(Index.of(sorted((r.i, r.p) for r in mine.collect()), q, rate, passage))
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
