@@ -65,16 +65,74 @@ def last_member(text: Column, name: str) -> Column:
     return F.try_element_at(F.filter(members, lambda m: m["key"] == name), F.lit(-1))["value"]
 
 
-def without_repeats(text: Column) -> Column:
-    """A JSON object in which every repeated key has its last value, at its first place; others stay as written."""
+_JSON_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s{}\[\],:"]+'
+_OPEN = "struct<kind:string,names:array<string>,keys:array<string>,values:array<string>,key:string>"
+
 
-    def rewrite(members: Column) -> Column:
-        keys = F.array_distinct(F.transform(members, lambda m: m["key"]))
-        last = F.transform(keys, lambda k: F.try_element_at(F.filter(members, lambda m: m["key"] == k), F.lit(-1))["value"])
-        made = F.to_json(F.map_from_arrays(keys, last))
-        return F.coalesce(F.when(F.size(keys) < F.size(members), spaced(made)), text)
+def last_values(text: Column) -> Column:
+    """Valid JSON in which every repeated key has its last value, at its first place, at any depth.
 
-    return let(F.map_entries(F.from_json(text, "map<string,variant>")), rewrite)
+    A fold over the tokens. The state is a stack of the objects and arrays open at a token, with the members they have so far;
+    one that closes is written out and becomes a value of the one around it.
+    """
+    texts = F.array().cast("array<string>")
+
+    def opened(kind: Column, names: Column, keys: Column, values: Column, key: Column) -> Column:
+        parts = [kind.alias("kind"), names.alias("names"), keys.alias("keys"), values.alias("values"), key.cast("string").alias("key")]
+        return F.struct(*parts).cast(_OPEN)
+
+    def with_key(o: Column, key: Column) -> Column:
+        return opened(o["kind"], o["names"], o["keys"], o["values"], key)
+
+    def name_of(key: Column) -> Column:
+        """The key without quotes and escapes."""
+        return F.get(F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>"), F.lit(0))
+
+    def with_value(o: Column, value: Column) -> Column:
+        def put(name: Column) -> Column:
+            place = F.array_position(o["names"], name)
+            new = place.isNull() | (place == 0)
+            replaced = F.transform(o["values"], lambda v, i: F.when(i + 1 == place, value).otherwise(v))
+            return F.when(
+                new, opened(o["kind"], F.concat(o["names"], F.array(name)), F.concat(o["keys"], F.array(o["key"])), F.concat(o["values"], F.array(value)), F.lit(None))
+            ).otherwise(opened(o["kind"], o["names"], o["keys"], replaced, F.lit(None)))
+
+        listed = opened(o["kind"], texts, texts, F.concat(o["values"], F.array(value)), F.lit(None))
+        return F.when(o["kind"] == "{", let(name_of(o["key"]), put)).otherwise(listed)
+
+    def closed(o: Column) -> Column:
+        members = F.zip_with(o["keys"], o["values"], lambda k, v: F.concat(k, F.lit(": "), v))
+        whole = F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+        return F.when(o["kind"] == "{", whole).otherwise(F.concat(F.lit("["), F.array_join(o["values"], ", "), F.lit("]")))
+
+    def inner(stack: Column) -> Column:
+        return F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0)))
+
+    def with_top(stack: Column, o: Column) -> Column:
+        return F.concat(inner(stack), F.array(o))
+
+    def step(stack: Column, token: Column) -> Column:
+        """The bottom of the stack is an array that takes the whole text as its one value."""
+        top = F.element_at(stack, -1)
+        awaits_key = (top["kind"] == "{") & top["key"].isNull()
+        below = inner(stack)
+        return (
+            F.when(token.isin("{", "["), F.concat(stack, F.array(opened(token, texts, texts, texts, F.lit(None)))))
+            .when(token.isin("}", "]"), with_top(below, with_value(F.element_at(below, -1), closed(top))))
+            .when(token.isin(",", ":"), stack)
+            .when(awaits_key, with_top(stack, with_key(top, token)))
+            .otherwise(with_top(stack, with_value(top, token)))
+        )
+
+    bottom = F.array(opened(F.lit("["), texts, texts, texts, F.lit(None)))
+    tokens = F.regexp_extract_all(text, F.lit(_JSON_TOKEN), F.lit(0))
+    return F.aggregate(tokens, bottom, step, lambda stack: F.get(F.element_at(stack, 1)["values"], F.lit(0)))
+
+
+def without_repeats(text: Column) -> Column:
+    """``last_values`` of a JSON object in which some key repeats at some depth; others stay as written."""
+    repeats = is_json_object(text) & F.try_parse_json(text).isNull()
+    return F.when(repeats, last_values(F.when(repeats, text))).otherwise(text)
 
 
 def one_value_per_key(call: Column) -> Column:

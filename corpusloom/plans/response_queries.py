@@ -71,29 +71,21 @@ def tool_arg_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_CITIES = "(VALUES ('Tokyo', '12°C', '晴'), ('London', '5°C', '小雨'), ('Paris', '10°C', '阴')) w(location, temperature, condition)"
-
-
-@query(f"""WITH {_BASE}, a AS (SELECT conv_id, turn, args ->> '$.location' AS location,
-  args ->> '$.from_currency' AS from_currency, args ->> '$.to_currency' AS to_currency FROM r)
-SELECT conv_id, turn, a.location, coalesce(temperature, '22°C') AS temperature, coalesce(condition, '晴') AS condition,
- CASE WHEN from_currency = 'USD' AND to_currency = 'CNY' THEN 7.21::DOUBLE ELSE 1.0::DOUBLE END AS rate
-FROM a LEFT JOIN {_CITIES} ON a.location = w.location""")
+@query("""SELECT c_custkey, coalesce(n_name, 'unknown') AS nation, coalesce(w.workers, 0) AS workers, coalesce(s.balance, 0.0::DOUBLE) AS balance
+FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON c_nationkey = n_nationkey
+LEFT JOIN (SELECT s_nationkey, count(*) AS workers FROM supplier GROUP BY s_nationkey) w ON c_nationkey = w.s_nationkey
+LEFT JOIN (SELECT s_nationkey, s_suppkey % 7 AS desk, max(s_acctbal) AS balance FROM supplier GROUP BY 1, 2) s ON c_nationkey = s.s_nationkey AND c_custkey % 7 = s.desk""")
 def tool_lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Call arguments against a one-key and a two-key table, with defaults."""
-    args = F.col("args")
-    rows = responses(spark, sf_dir).select(
-        "conv_id",
-        "turn",
-        F.get_json_object(args, "$.location").alias("location"),
-        F.get_json_object(args, "$.from_currency").alias("from_currency"),
-        F.get_json_object(args, "$.to_currency").alias("to_currency"),
-    )
-    first = T.lookup(
-        rows, T.weather(spark), ["location"], {"temperature": F.lit("22°C"), "condition": F.lit("晴")}
-    )
-    both = T.lookup(first, T.rates(spark), ["from_currency", "to_currency"], {"rate": F.lit(1.0)})
-    return both.select("conv_id", "turn", "location", "temperature", "condition", "rate")
+    """Arguments against one-key tables and a two-key table, with defaults for what they don't hold."""
+    cases = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation_key"), (F.col("c_custkey") % 7).alias("desk"))
+    names = table(spark, sf_dir, "nation").filter("n_regionkey <> 2").select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("nation"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation_key"), (F.col("s_suppkey") % 7).alias("desk"), "s_acctbal")
+    workers = suppliers.groupBy("nation_key").agg(F.count(F.lit(1)).alias("workers"))
+    balances = suppliers.groupBy("nation_key", "desk").agg(F.max("s_acctbal").alias("balance"))
+    found = T.lookup(cases, names, ["nation_key"], {"nation": F.lit("unknown")})
+    found = T.lookup(found, workers, ["nation_key"], {"workers": F.lit(0).cast("bigint")})
+    found = T.lookup(found, balances, ["nation_key", "desk"], {"balance": F.lit(0.0)})
+    return found.select("c_custkey", "nation", "workers", "balance")
 
 
 @query(f"""WITH {_BASE} SELECT conv_id, turn, tool AS name FROM r

@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.hooks import generate, score_responses
@@ -52,6 +52,42 @@ def jsonl_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked_in(rows.select(F.md5(contents).alias("contents_md5"), F.size("conversations").cast("bigint").alias("n_messages")), folder)
 
 
+@query("""SELECT 'pretrain_t2t' AS view, 'pretrain' AS stage, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents
+UNION ALL SELECT 'sft_t2t', 'sft', count(DISTINCT conv_id), CAST(sum(length(text)) AS BIGINT) FROM conversations""")
+def corpus_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two corpora written under their registered names, read through their views with the registry's stages."""
+    folder = _folder(spark)
+    table(spark, sf_dir, "documents").select("text").write.json(f"{folder}/pretrain_t2t.jsonl")
+    nested(spark, sf_dir).select("conversations").write.json(f"{folder}/sft_t2t.jsonl")
+    readers.register_views(spark, folder, ["pretrain_t2t.jsonl", "sft_t2t.jsonl"])
+    contents = F.aggregate("conversations", F.lit(0).cast("bigint"), lambda n, m: n + F.length(m["content"]))
+    sizes = [spark.table("pretrain_t2t").select(F.lit("pretrain_t2t").alias("view"), F.length("text").cast("bigint").alias("size"))]
+    sizes.append(spark.table("sft_t2t").select(F.lit("sft_t2t").alias("view"), contents.alias("size")))
+    totals = sizes[0].union(sizes[1]).groupBy("view").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("n_chars"))
+    named = readers.registry(spark).select(F.regexp_replace("file", r"\.jsonl$", "").alias("view"), "stage")
+    return checked_in(totals.join(named, "view").select("view", "stage", "n", "n_chars"), folder)
+
+
+@query("""WITH w AS (SELECT word, count(*) AS freq FROM (SELECT unnest(string_split(lang || ' ' || source, ' ')) AS word FROM documents) GROUP BY word)
+SELECT word AS token, row_number() OVER (ORDER BY freq DESC, word) - 1 AS token_id, freq > (SELECT avg(freq) FROM w) AS special, 'tokens' AS part FROM w
+UNION ALL SELECT word || ' ' || word, row_number() OVER (ORDER BY word) - 1, false, 'merges' FROM w""")
+def vocabulary_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A token and a merge table written as the vocabulary's files and read back."""
+    folder = _folder(spark)
+    parts = table(spark, sf_dir, "documents").select(F.explode(F.array("lang", "source")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    mean = parts.agg(F.avg("freq").alias("mean"))
+    by_freq = Window.partitionBy(F.lit(0)).orderBy(F.desc("freq"), "word")  # languages and sources: a handful of rows
+    by_word = Window.partitionBy(F.lit(0)).orderBy("word")
+    tokens = parts.select((F.row_number().over(by_freq) - 1).alias("token_id"), F.col("word").alias("token"), (F.col("freq") > mean.scalar()).alias("special"))
+    merges = parts.select((F.row_number().over(by_word) - 1).alias("rank"), F.col("word").alias("left"), F.col("word").alias("right"))
+    writers.write_vocabulary(tokens, merges, folder)
+    read = spark.read.parquet(f"{folder}/tokens").select("token", F.col("token_id").cast("bigint").alias("token_id"), "special", F.lit("tokens").alias("part"))
+    pairs = spark.read.parquet(f"{folder}/merges").select(
+        F.concat_ws(" ", "left", "right").alias("token"), F.col("rank").cast("bigint").alias("token_id"), F.lit(False).alias("special"), F.lit("merges").alias("part")
+    )
+    return checked_in(read.union(pairs), folder)
+
+
 _BROKEN = "CASE doc_id % 10 WHEN 3 THEN 'not json' WHEN 6 THEN '{\"text\": \"open' END"
 
 

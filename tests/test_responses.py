@@ -159,6 +159,30 @@ def test_repeated_keys_take_their_last_value(spark):
     assert one(spark, plain, J.argument_object) == '{"z":1,"a":"2"}'
 
 
+def test_deep_repeats_are_those_of_a_json_reader(spark):
+    import random
+
+    dice = random.Random(3)
+
+    def value(depth):
+        kind = dice.random()
+        if depth == 0 or kind < 0.35:
+            return dice.choice(["1", "-2.5e3", "true", "null", '"a\\"b"', '"{,:]"', '""', '"\\u00e9 x"'])
+        if kind < 0.55:
+            return "[" + " , ".join(value(depth - 1) for _ in range(dice.randint(0, 3))) + "]"
+        keys = ['"a"', '"b"', '"\\u0061"', '"c d"']
+        return "{ " + ",".join(f"{dice.choice(keys)} : {value(depth - 1)}" for _ in range(dice.randint(0, 4))) + "}"
+
+    texts = [value(5) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert all(json.loads(r["t"]) == json.loads(r["v"]) for r in df.select("t", J.last_values(F.col("t")).alias("v")).collect())
+    call = '{"name": "f", "arguments": {"y": {"b": 1, "b": [{"c": 1, "c": 2}]}, "z": 3}}'
+    assert json.loads(one(spark, call, J.argument_object)) == json.loads(call)["arguments"]
+    row = spark.createDataFrame([(f"<tool_call>{call}</tool_call>",)], "t string").select(R.call_spans(F.col("t")).alias("c")).first()["c"][0]
+    assert json.loads(row["arguments"]) == json.loads(call)["arguments"]
+    assert one(spark, '{"a": 1, "a": 2', J.without_repeats) == '{"a": 1, "a": 2' and one(spark, None, J.without_repeats) is None
+
+
 def test_hooks(spark):
     import pandas as pd
 
