@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.bytepairs import merge_pairs
 from corpusloom.llm.scratch import fresh, keep, new_folder
 
-BLOCK_CHARS = 1 << 23  # a block ends with the text that reaches this many characters
+BLOCK_CHARS = 12_000_000  # a block ends with the text that reaches this many characters
 MAX_TOKENS = 1_000_000  # of a table of ranks; above that it isn't sent to the tasks
 MOST_GROUPS = 4096  # of words; each is encoded by one task
 ROWS_OUT = 256
