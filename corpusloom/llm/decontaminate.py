@@ -213,13 +213,13 @@ class Index:
 
 def tag_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    q: int = 8, rate: float = 0.08, passage: int = 50, piece: int = 2000, block: int = 2_000_000,
+    q: int = 8, rate: float = 0.08, passage: int = 40, piece: int = 2000, block: int = 2_000_000,
     to: str = "leaked_items",
 ) -> DataFrame:
     """Runs jobs over the benchmark. ``docs`` with an array of the benchmark items found in each text.
 
     Both sides are normalised (case, punctuation and symbols do not count). An item is found where any ``passage`` consecutive characters of it
-    (about eight words; the whole of a shorter item) are within floor(``rate`` x their number) edits of a stretch of the text. Items shorter
+    (seven or eight words; the whole of a shorter item) are within floor(``rate`` x their number) edits of a stretch of the text. Items shorter
     than 2 ``q`` must stand there exactly, between word borders. Items without letters or digits, null items and
     null texts match nothing; items with a null id are searched under the id null is not part of, so they are skipped.
 
