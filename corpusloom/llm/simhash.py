@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
 from corpusloom.llm.scratch import fresh, keep, new_folder
+from corpusloom.operators.neardup import similar_classes
 
 BITS = 64
 PAIR_LOW = 0x5555555555555555  # the lower bit of every two-bit segment
@@ -203,21 +206,34 @@ def _forest(bits: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return edges
 
 
-def near_links(
-    nodes: DataFrame, distance: int, cells: int = 128, width: int = 18, block: int = 2048, label: str | None = None
-) -> DataFrame:
-    """Runs a job. (a, b): links that connect all fingerprints found within ``distance`` bits of each other.
+def near_links(nodes: DataFrame, distance: int, cells: int = 128, width: int = 18, block: int = 2048, at_once: int = 32) -> DataFrame:
+    """Runs jobs. (a, b): links that connect all fingerprints found within ``distance`` bits of each other.
 
     ``nodes`` has wide fingerprints ``fp`` and a number ``low`` each. Segments are single bits here: with
     distances this wide, counts of longer segments are too coarse a bound (see README). A cell is the
     counts of ``width`` sampled segments; of ``cells`` kinds of cells, two texts of Jaccard similarity 0.8
     share one with probability about 0.99, at 0.9 nearly always. Within a cell the Manhattan distance of
     all segments decides, and only a spanning forest of the near pairs goes out, so a cell of n near copies
-    gives n - 1 rows. With ``label`` (a number column) every near pair of different labels goes out instead.
-    A cell of over ``block`` members is cut into blocks that meet in pairs.
+    gives n - 1 rows. A cell of over ``block`` members is cut into blocks that meet in pairs.
+
+    ``at_once`` kinds of cells are shuffled at a time. What a shuffle left on the executors' disks goes when the driver drops
+    its plan, so the disk needed is that of one turn.
     """
     spark = nodes.sparkSession
-    chosen = _samples(cells, width)
+    chosen, parts = _samples(cells, width), []
+    for first in range(0, cells, at_once):
+        found = _cell_links(nodes, distance, chosen[first : first + at_once], first, block)
+        parts.append(keep(found, new_folder(spark, "simhash")))
+        del found
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return keep(reduce(DataFrame.unionAll, parts).distinct(), new_folder(spark, "simhash"))
+
+
+def _cell_links(nodes: DataFrame, distance: int, chosen: np.ndarray, first: int, block: int) -> DataFrame:
+    """Runs a job. The links of the kinds of cells that look at the bits ``chosen``, numbered from ``first`` on."""
+    spark = nodes.sparkSession
+    cells, width = chosen.shape
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = (1 << np.arange(width, dtype=np.int64)).astype(np.int64)
@@ -226,16 +242,13 @@ def near_links(
                 part = batch.slice(low, 1024)
                 raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, 8 * WORDS_WIDE)
                 bits = np.unpackbits(raw, axis=1)
-                keys = (bits[:, chosen].astype(np.int64) @ weights) + (np.arange(cells, dtype=np.int64) << (width + 1))
+                keys = (bits[:, chosen].astype(np.int64) @ weights) + (np.arange(first, first + cells, dtype=np.int64) << (width + 1))
                 again = np.repeat(np.arange(len(part)), cells)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), *(part.column(k).take(pa.array(again)) for k in (0, 1, 2))],
-                    names=["cell", "low", "fp", "label"],
+                    [pa.array(keys.ravel()), *(part.column(k).take(pa.array(again)) for k in (0, 1))], names=["cell", "low", "fp"]
                 )
 
-    named = F.col(label) if label else F.lit(0)
-    placed = nodes.select("low", "fp", named.cast("bigint").alias("label"))
-    placed = placed.mapInArrow(place, "cell bigint, low bigint, fp binary, label bigint")
+    placed = nodes.select("low", "fp").mapInArrow(place, "cell bigint, low bigint, fp binary")
     crowded = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     blocks = crowded.select("cell", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks"))
     blocks = keep(blocks, new_folder(spark, "simhash"))
@@ -246,7 +259,7 @@ def near_links(
     spread = (
         placed.join(blocks, "cell", "left")
         .withColumn("mine", mine)
-        .select("cell", F.explode(F.coalesce(meets, F.array(F.lit(0)))).alias("meeting"), "low", "fp", "label")
+        .select("cell", F.explode(F.coalesce(meets, F.array(F.lit(0)))).alias("meeting"), "low", "fp")
     )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +267,7 @@ def near_links(
 
         def solve(table: pa.Table) -> pa.RecordBatch:
             cell, meeting = (table.column(k).to_numpy() for k in (0, 1))
-            low, tag = table.column(2).to_numpy(), table.column(4).to_numpy()
+            low = table.column(2).to_numpy()
             bits = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint64).reshape(-1, WORDS_WIDE)
             new = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (meeting[1:] != meeting[:-1])])
             size = np.diff(np.r_[new, len(cell)])
@@ -263,19 +276,11 @@ def near_links(
             group = np.repeat(np.where(small, np.arange(len(size)), -1 - np.arange(len(size))), size)
             for step in range(1, int(size[small].max(initial=1))):
                 i = np.flatnonzero((group[step:] == group[:-step]) & (group[step:] >= 0))
-                i = i[tag[i] != tag[i + step]] if label else i
                 near = i[np.bitwise_count(bits[i] ^ bits[i + step]).sum(axis=1, dtype=np.int64) <= distance]
                 out_a.append(low[near])
                 out_b.append(low[near + step])
             for g in np.flatnonzero(size > 24):
                 rows = slice(new[g], new[g] + size[g])
-                if label:
-                    for at in range(new[g], new[g] + size[g] - 1):
-                        i = np.flatnonzero(tag[at + 1 : rows.stop] != tag[at]) + at + 1
-                        near = i[np.bitwise_count(bits[i] ^ bits[at]).sum(axis=1, dtype=np.int64) <= distance]
-                        out_a.append(np.full(len(near), low[at]))
-                        out_b.append(low[near])
-                    continue
                 pairs = np.array(_forest(bits[rows], distance), dtype=np.int64).reshape(-1, 2)
                 out_a.append(low[rows][pairs[:, 0]])
                 out_b.append(low[rows][pairs[:, 1]])
@@ -304,8 +309,7 @@ def near_links(
             yield solve(pa.Table.from_batches(held))
 
     met = spread.repartition("cell", "meeting").sortWithinPartitions("cell", "meeting", "low")
-    found = met.mapInArrow(link, "a bigint, b bigint").filter("a < b").distinct()
-    return keep(found, new_folder(spark, "simhash"))
+    return met.mapInArrow(link, "a bigint, b bigint").filter("a < b").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -327,9 +331,9 @@ def near_copies(
     """Runs jobs. (key, component): the group of every row with a key, named by its smallest key.
 
     Texts are linked when the Jaccard similarity of their ``words``-word shingle sets is ``similarity`` or more. 256-bit
-    fingerprints only propose the pairs, at the distance of that similarity plus ``slack`` deviations. First a spanning
-    forest of the proposals is verified; where one of its links fails, all proposals within that tree are
-    verified that join texts not yet linked. Null and empty texts are copies of each other. Rows with
+    fingerprints only propose the pairs, at the distance of that similarity plus ``slack`` deviations. A spanning
+    forest of the proposals is verified; a tree in which one of its links fails is taken apart by an exact join of its members'
+    sets, which tests few pairs of a group (see ``similar_classes``) and loses none. Null and empty texts are copies of each other. Rows with
     a null key take no part; rows that share a key are one document, whatever their texts.
     """
     spark = docs.sparkSession
@@ -352,27 +356,24 @@ def near_copies(
     signed = keep(rows.mapInArrow(sign, "key bigint, c bigint, fp binary"), new_folder(spark, "simhash"))
     nodes = keep(signed.groupBy("c").agg(F.min("key").alias("key"), F.first("fp").alias("fp")), new_folder(spark, "simhash"))
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("c")).unionAll(pairs.select("b")).distinct()
+    def sets_of(ends: DataFrame) -> DataFrame:
         wanted = keep(ends.join(nodes, "c").select("c", "key"), new_folder(spark, "simhash"))
         sets = rows.join(wanted, "key").select("c", "text").mapInArrow(reread, "c bigint, hashes array<bigint>")
-        sets = keep(sets.dropDuplicates(["c"]), new_folder(spark, "simhash"))
-        return keep(verified(pairs, sets, similarity), new_folder(spark, "simhash"))
+        return keep(sets.dropDuplicates(["c"]), new_folder(spark, "simhash"))
 
     named = nodes.select(F.col("c").alias("low"), "fp")
-    far = distance_for(similarity, slack)
-    first = checked(near_links(named, far))
+    proposed = near_links(named, distance_for(similarity, slack))
+    sets = sets_of(proposed.select(F.col("a").alias("c")).unionAll(proposed.select("b")).distinct())
+    first = keep(verified(proposed, sets, similarity), new_folder(spark, "simhash"))
     good = first.filter("same").select("a", "b")
     failed = first.filter("NOT same").select("a", "b")
     if not failed.isEmpty():
         trees = keep(components(first), new_folder(spark, "simhash"))
         open_trees = failed.select(F.col("a").alias("node")).join(trees, "node").select("root").distinct()
-        within = trees.join(open_trees, "root").select(F.col("node").alias("low"))
-        linked = components(good).select(F.col("node").alias("low"), F.col("root").alias("label"))
-        again = named.join(within, "low").join(linked, "low", "left").withColumn("label", F.coalesce("label", "low"))
-        more = near_links(keep(again, new_folder(spark, "simhash")), far, label="label").join(failed, ["a", "b"], "left_anti")
-        second = checked(keep(more, new_folder(spark, "simhash")))
-        good = good.unionAll(second.filter("same").select("a", "b"))
+        within = trees.join(open_trees, "root").select(F.col("node").alias("c"))
+        doubtful = sets.join(within, "c").select(F.col("c").alias("key"), F.col("hashes").alias("items"), F.size("hashes").alias("size"))
+        exact = similar_classes(keep(doubtful, new_folder(spark, "simhash")), similarity)
+        good = good.unionAll(exact.select(F.col("node").alias("a"), F.col("label").alias("b")))
     lows = nodes.select("c", F.col("key").alias("low"))
     pairs = good.join(lows.select(F.col("c").alias("a"), F.col("low").alias("x")), "a")
     pairs = pairs.join(lows.select(F.col("c").alias("b"), F.col("low").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
