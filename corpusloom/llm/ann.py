@@ -118,7 +118,8 @@ def nearest_by_product(
     ranked = valid.distinct().withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("id")))
     grouped = ranked.filter(F.col("n") <= k + 1).groupBy("v").agg(F.min("id").alias("c"), F.array_sort(F.collect_list("id")).alias("ids"))
     classes = keep(grouped, new_folder(spark, "vectors"))
-    asking = valid.filter(queries).join(classes.select("v", "c"), "v").select(F.col("id").alias("query_id"), "c", "v").distinct()
+    # A query's vector has a name of its own: ids may repeat with other vectors.
+    asking = valid.filter(queries).select(F.col("id").alias("query_id"), F.xxhash64("v").alias("c"), "v").distinct()
     asking = keep(asking, new_folder(spark, "queries"))
     norms = classes.select(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("n"))
     largest = norms.agg(F.max("n")).first()[0]

@@ -201,14 +201,15 @@ def fit(
     draw are taken, the same ones every time. A key is one example: of several texts of a key the smallest counts, of several
     labels the largest. Texts become feature codes in the tasks and the features are chosen there; the driver gets, in the
     order of the draws, only the codes of the ``max_features`` chosen, however long the texts are. These bounds hold for the fit
-    alone; scoring covers every row. Rows without a label or key are not learnt from.
+    alone; scoring covers every row. Rows without a label or key are not learnt from. Other columns play no part, whatever their names.
     """
     marked = labels.filter(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_y"))
-    known = docs.filter(training).select(F.col(key).alias("_key")).distinct().join(marked, "_key")
+    learnt = docs.filter(training).select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
+    known = learnt.select(F.col("k").alias("_key")).distinct().join(marked, "_key")
     drawn = known.withColumn("_d", draw(F.col("_key"))).orderBy("_d", "_key").limit(max_examples).select("_key", "_y", "_d")
     drawn = keep(drawn, new_folder(docs.sparkSession, "examples"))  # at most ``max_examples`` rows
-    rows = docs.filter(training).join(F.broadcast(drawn), F.col(key) == F.col("_key"))
-    rows = rows.groupBy("_key", "_y", "_d").agg(F.min(F.col(text).cast("string")).alias("t")).select("t", "_y", "_d", "_key")
+    rows = learnt.join(F.broadcast(drawn), F.col("k") == F.col("_key"))
+    rows = rows.groupBy("_key", "_y", "_d").agg(F.min("t").alias("t")).select("t", "_y", "_d", "_key")
     codes = pa.list_(pa.int64())
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

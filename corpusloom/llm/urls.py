@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.scratch import keep, new_folder
+from corpusloom.llm.scratch import fresh, keep, new_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHAPE = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -110,5 +110,6 @@ def judged(pages: DataFrame, url: str, rules: list[tuple[str, str, str]], order:
     cut = threshold(scored.filter("held AND label IS NOT NULL").select("score", "label"))
     above = (F.col("score") >= cut) & (F.col("score") > 0) if cut == 0 else F.col("score") >= cut
     said = F.coalesce("label", F.when(above, F.lit("block")).otherwise(F.lit("allow")))
-    verdicts = scored.select(F.col("text").alias("_text"), "host", "path", "rule", said.alias("verdict"), "score")
-    return pages.select(*rest).join(verdicts, text == F.col("_text")).drop("_text")
+    mark = fresh(rest, "text_judged")
+    verdicts = scored.select(F.col("text").alias(mark), "host", "path", "rule", said.alias("verdict"), "score")
+    return pages.select(*rest).join(verdicts, text == F.col(mark)).drop(mark)
