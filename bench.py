@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from corpusloom.plans.catalogue import QUERIES  # noqa: E402
-from corpusloom.session import local_session  # noqa: E402
+from corpusloom.session import local_session, remove_intermediate  # noqa: E402
 from corpusloom.sources.readers import SCAN_PARTITIONS  # noqa: E402
 
 HEADLINE = [
@@ -58,6 +58,13 @@ HEADLINE = [
     "conv_history_n",
     "tool_lookup_default",
     "distill_kl_long",
+    "near_dedup",
+    "encoded_ids",
+    "pretrain_trained",
+    "chat_trained",
+    "preference_trained",
+    "length_sketch",
+    "text_span_mask",
 ]
 
 
@@ -77,6 +84,7 @@ def main() -> None:
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         times[name] = round(min(runs), 3)
+        remove_intermediate(spark)
         print(f"{name} {runs[0]:.2f} {runs[1]:.2f}", file=sys.stderr, flush=True)
     print(
         json.dumps(

@@ -131,6 +131,28 @@ def length_profile(rows: DataFrame, text: str, by: str, limit: int, bin_width: i
     )
 
 
+def length_sketches(rows: DataFrame, text: str, by: list[str], k: int = 4096) -> DataFrame:
+    """(…by, n_rows, sketch): a KLL sketch of the text lengths of each group, to be kept as a table and merged later.
+
+    A sketch holds about ``k`` lengths at most. Up to that many it is exact; beyond, the rank of a quantile is off by about 1.7 / k^0.9
+    of the rows (0.1 % at 4,096) with 99 % confidence. Null texts have no length and aren't counted.
+    """
+    size = F.length(text).cast("bigint")
+    return rows.groupBy(*by).agg(F.count(size).alias("n_rows"), F.kll_sketch_agg_bigint(size, k).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: list[str], k: int = 4096) -> DataFrame:
+    """The sketches of coarser groups from those of finer ones, without the rows: (…by, n_rows, sketch)."""
+    filled = sketches.filter("n_rows > 0")
+    return filled.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), F.kll_merge_agg_bigint("sketch", k).alias("sketch"))
+
+
+def sketched_profile(sketches: DataFrame, quantiles: dict[str, float]) -> DataFrame:
+    """The named quantiles of every sketch, in place of it."""
+    rest = [c for c in sketches.columns if c != "sketch"]
+    return sketches.select(*rest, *[F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(name) for name, q in quantiles.items()])
+
+
 def length_histogram(rows: DataFrame, text: str, by: str, bin_width: int = 500) -> DataFrame:
     return rows.groupBy(by, F.floor(F.length(text) / F.lit(bin_width)).cast("bigint").alias("bin")).agg(
         F.count(F.lit(1)).alias("n_rows")

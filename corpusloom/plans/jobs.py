@@ -1,6 +1,7 @@
 """End-to-end jobs: from corpus rows to padded training samples, prompts, batches and scores.
 
-Each is one lazy plan of row-local columns; only the seeded order and group statistics shuffle.
+The samples and prompts are one lazy plan of row-local columns. ``epoch_batches`` shuffles for its order; ``scored_trajectories`` runs a job for its
+group statistics.
 """
 
 from __future__ import annotations

@@ -3,15 +3,13 @@ taken in and returns what the stream wrote."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.plans import sqltext as S
 from corpusloom.plans.derived import RESPONSE, RESPONSES_SQL, TOOL_ARGS, TOOL_NAME, responses
 from corpusloom.plans.registry import query, table
-from corpusloom.session import ensure_checkpoint_dir
+from corpusloom.session import new_place
 from corpusloom.sources.writers import metric_sink, read_metrics
 from corpusloom.streaming import chunks as K
 from corpusloom.streaming.metrics import every_kth_and_last, to_metric_log
@@ -25,7 +23,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _drain(stream: DataFrame) -> DataFrame:
     """Run the stream over everything there is into Parquet files in the shared folder."""
     spark = stream.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    folder = new_place(spark, "stream")
     running = (
         stream.writeStream.format("parquet")
         .option("path", f"{folder}/out")
@@ -130,7 +128,7 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT user_id AS run, event_id AS step, 'value' AS metric, value FROM events WHERE event_id % 10 = 0 AND value IS NOT NULL""")
 def metric_log_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth value through the sink that takes each batch once; every batch is offered twice."""
-    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    folder = new_place(spark, "stream")
     steps = _stream(spark, sf_dir, "events").filter("event_id % 10 = 0").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), "value")
     sink = metric_sink(f"{folder}/log", "values")
 

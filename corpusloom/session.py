@@ -72,11 +72,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def written(rows: DataFrame) -> tuple[DataFrame, str]:
     """Runs a job. The table as written to a new place in the checkpoint folder, and that place."""
     spark = rows.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    folder = new_place(spark, "settled")
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder), folder
 
 
+_PLACES: list[tuple[str, str]] = []
+
+
+def new_place(spark: SparkSession, kind: str) -> str:
+    """A fresh path below the checkpoint folder, known to ``remove_intermediate``."""
+    folder = f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    _PLACES.append((spark.sparkContext.applicationId, folder))
+    return folder
+
+
+def remove_intermediate(spark: SparkSession) -> int:
+    """Remove the intermediate tables and stream folders that this application's operators have written so far.
+
+    For a caller that has taken (written, collected) all results it wants: frames not yet run may read them. Returns how many there were.
+    """
+    mine = [place for place in _PLACES if place[0] == spark.sparkContext.applicationId]
+    for place in mine:
+        remove_folder(spark, place[1])
+        _PLACES.remove(place)
+    return len(mine)
+
+
 def settled(rows: DataFrame) -> DataFrame:
     """Write a table to the checkpoint folder and read it back.
 
@@ -88,7 +110,7 @@ def settled(rows: DataFrame) -> DataFrame:
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
-    """Delete an intermediate folder through Spark's file system layer; nothing may read it any more."""
+    """Delete an intermediate folder through Spark's file system layer, if it is there; nothing may read it any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -8,6 +8,8 @@ import time
 
 import duckdb
 
+from corpusloom.session import remove_intermediate
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -54,6 +56,7 @@ def compare(spark, con, name: str, folder: str, build, sql: str) -> str | None:
     """None when equal, else a short account of the difference."""
     df = build(spark, folder)
     got = rows_of(df.columns, df.collect())
+    remove_intermediate(spark)
     cur = con.execute(sql)
     columns = [d[0] for d in cur.description]
     notes = type_notes(df, cur)

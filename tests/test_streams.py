@@ -123,6 +123,16 @@ def test_files_behind_the_last_line_are_not_opened(spark, tmp_path):
     assert len(read(100)[1]) == 27 and len(read(100)[0]) == 9
 
 
+def test_intermediate_tables_can_be_removed(spark):
+    from corpusloom.session import remove_intermediate, settled
+
+    remove_intermediate(spark)
+    kept = settled(spark.range(3))
+    (file, *_) = kept.inputFiles()
+    assert os.path.exists(file.removeprefix("file://")) and remove_intermediate(spark) == 1
+    assert not os.path.exists(file.removeprefix("file://")) and remove_intermediate(spark) == 0
+
+
 def test_spans_of_the_text_and_of_the_tokens(spark):
     a, e = P.OPENER, P.CLOSER
     texts = [f"x{a}réply{e}y{a}two", f"{a}{e}", "none", "", a, f"{a}one{a}inner{e}out{e}", f"🙂{a}日本{e}{a}z{e}", None, f"{a[:-1]} no{e}"]

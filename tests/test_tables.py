@@ -242,6 +242,24 @@ def test_training_matches_a_known_trainer(spark):
     assert [r["c"] for r in cut.collect()] == [True, False]
 
 
+def test_sketches_merge_within_their_error(spark):
+    from corpusloom.operators import corpus as C
+
+    n = 60_000
+    rows = spark.range(n).select(F.repeat(F.lit("x"), ((F.col("id") * 7919) % 997 + F.col("id") % 3).cast("int")).alias("t"), (F.col("id") % 50).alias("day"), F.lit("s").alias("source"))
+    rows = rows.union(spark.createDataFrame([(None, 99, "s")], "t string, day bigint, source string"))
+    sizes = sorted((i * 7919) % 997 + i % 3 for i in range(n))
+    for k, error in ((200, 0.02), (4096, 0.003)):
+        daily = C.length_sketches(rows, "t", ["source", "day"], k)
+        got = C.sketched_profile(C.merged_sketches(daily, ["source"], k), {"a": 0.1, "b": 0.5, "c": 0.99}).collect()
+        assert len(got) == 1 and got[0]["n_rows"] == n
+        for name, q in (("a", 0.1), ("b", 0.5), ("c", 0.99)):
+            below = sum(s < got[0][name] for s in sizes) / n
+            upto = sum(s <= got[0][name] for s in sizes) / n
+            assert below - error <= q <= upto + error
+    assert C.merged_sketches(C.length_sketches(rows.limit(0), "t", ["source", "day"]), ["source"]).count() == 0
+
+
 def test_reserved_tokens():
     tokens = V.fixed.reserved_tokens()
     assert len(tokens) == 36 and tokens[:3] == ["<|endoftext|>", "<|im_start|>", "<|im_end|>"]
