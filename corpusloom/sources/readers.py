@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,12 +55,12 @@ def leading_files(spark: SparkSession, path: str, lines: int) -> list[str]:
     Files are counted in groups of 1, 2, 4, … under a limit, which ends every task after as many lines as are still wanted: nothing behind
     the group with the last line is opened, and of that group little more than is needed.
     """
-    files = sorted(spark.read.text(path).inputFiles())
+    files = sorted(unquote(file) for file in spark.read.text(path).inputFiles())
     taken, group = 0, 1
     while taken < len(files) and lines > 0:
         lines -= spark.read.text(files[taken : taken + group]).limit(lines).count()
         taken, group = taken + group, 2 * group
-    return files[: max(taken, 1)]
+    return files[: max(taken, 1)] or [path]
 
 
 def read_tolerant(

@@ -108,6 +108,8 @@ def test_a_batch_again_adds_nothing(spark, tmp_path):
 
 
 def test_files_behind_the_last_line_are_not_opened(spark, tmp_path):
+    tmp_path = tmp_path / "a folder"
+    tmp_path.mkdir()
     for i in range(9):
         (tmp_path / f"{i}.jsonl").write_text("".join(json.dumps({"text": f"{i}-{k}"}) + "\n" for k in range(3)))
 
@@ -121,6 +123,8 @@ def test_files_behind_the_last_line_are_not_opened(spark, tmp_path):
     files, texts = read(4)
     assert files == ["0.jsonl", "1.jsonl", "2.jsonl"] and sorted(texts) == ["0-0", "0-1", "0-2", "1-0"]
     assert len(read(100)[1]) == 27 and len(read(100)[0]) == 9
+    (tmp_path / "empty").mkdir()
+    assert readers.read_tolerant(spark, str(tmp_path / "empty"), "text", first_lines=5)[0].count() == 0
 
 
 def test_intermediate_tables_can_be_removed(spark):
