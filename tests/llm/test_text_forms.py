@@ -161,7 +161,7 @@ def test_variants_with_hot_partitions(spark, most):
 
 def test_variants_of_odd_rows(spark):
     chain = ["abcdefgh"] * 500 + ["abcdefgx"] * 40 + ["abcdefyx"] * 3
-    rows = [(1, None), (2, ""), (None, "Größere größere GRÖSSERE ×÷×÷×÷×÷ ×÷×÷×÷×÷"), (3, " ".join(chain)), (3, " ".join(chain)), (5, "z" * 30000), (5, "z" * 30000)]
+    rows = [(1, None), (2, ""), (None, "Größere größere GRÖSSERE ×÷×÷×÷×÷ ×÷×÷×÷×÷"), (4, " ".join(chain)), (4, " ".join(chain)), (5, "z" * 30000), (5, "z" * 30000)]
     rows += [(6, "tiedone1 tiedonea tiedonea tiedoneb tiedoneb tiedonec tiedonec")]
     docs = spark.createDataFrame([(k, t, "w", 1) for k, t in rows], f"{TEXTS}, word string, n int")
     got = variants(docs)
