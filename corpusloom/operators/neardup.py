@@ -93,7 +93,7 @@ def similar_classes(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
         if open_places.isEmpty():
             break
         members = settled(members.join(open_places, "item", "left_semi"))
-        order = F.row_number().over(Window.partitionBy("item").orderBy("key"))
+        order = F.row_number().over(Window.partitionBy("item").orderBy("at", "key"))
         leaders = settled(members.withColumn("r", order).filter(F.col("r") <= leaders_each).drop("r"))
         met = members.alias("m").join(leaders.alias("l"), "item").filter((F.col("m.label") != F.col("l.label")) & _possible("m", "l", threshold))
         pairs = met.select(F.least("m.key", "l.key").alias("a"), F.greatest("m.key", "l.key").alias("b")).distinct()
