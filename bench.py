@@ -58,11 +58,6 @@ HEADLINE = [
     "conv_history_n",
     "tool_lookup_default",
     "distill_kl_long",
-    "near_dedup",
-    "encoded_ids",
-    "pretrain_trained",
-    "chat_trained",
-    "preference_trained",
     "length_sketch",
     "text_span_mask",
 ]
