@@ -142,7 +142,10 @@ def op7_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
         names = F.array(*[F.lit(k) for k in secrets.KINDS])
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(kind).alias(f"n_{name}") for kind, name in enumerate(secrets.KINDS)]
     return found.select(F.col("key").alias("doc_id"), *counts, F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
