@@ -16,8 +16,9 @@ from corpusloom.streaming.metrics import every_kth_and_last, to_metric_log
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table's files as a stream, be it one file or a folder of them; a stream takes a single file only as a glob."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _drain(stream: DataFrame) -> DataFrame:

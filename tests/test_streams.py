@@ -5,6 +5,7 @@ import os
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +174,16 @@ def test_these_queries_are_streams(spark, monkeypatch, name):
     real = S._drain
     monkeypatch.setattr(S, "_drain", lambda s: seen.append(s.isStreaming) or real(s))
     assert getattr(S, name)(spark, "/root/testdata/sf0.001").count() and seen == [True]
+
+
+@pytest.mark.parametrize("name", ["stream_deltas", "stream_fragments", "hold_bytes"])
+def test_streams_of_tables_in_several_files(spark, tmp_path, name):
+    from corpusloom.plans.catalogue import ORACLES, QUERIES
+    from tests.compare import compare
+
+    place = tmp_path / "conversations.parquet"
+    rows = [(i, turn, ("user", "assistant")[turn % 2], f"Wörter {i} von {turn}") for i in range(12) for turn in range(4)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3).write.parquet(str(place))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{place}/*.parquet')")
+    assert compare(spark, con, name, str(tmp_path), QUERIES[name], ORACLES[name]) is None
