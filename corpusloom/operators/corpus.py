@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,6 +155,31 @@ def sketched_profile(sketches: DataFrame, quantiles: dict[str, float]) -> DataFr
     return sketches.select(*rest, *[F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(name) for name, q in quantiles.items()])
 
 
+def length_counts(rows: DataFrame, text: str, by: list[str]) -> DataFrame:
+    """(…by, size, n_rows): how many texts of each length a group has, to be kept as a table and merged later; the length of a null text is null."""
+    return rows.groupBy(*by, F.length(text).cast("bigint").alias("size")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def merged_counts(counts: DataFrame, by: list[str]) -> DataFrame:
+    """The length counts of coarser groups from those of finer ones, without the rows."""
+    return counts.groupBy(*by, "size").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def counted_profile(counts: DataFrame, by: list[str], quantiles: dict[str, str]) -> DataFrame:
+    """(…by, n_rows, …quantiles) from length counts: exact, the smallest length that the given share (a decimal, as text) of the texts doesn't exceed.
+
+    Null texts are rows without a length. A group has one row per distinct length here, however many texts it has.
+    """
+    known = F.when(F.col("size").isNull(), 0).otherwise(F.col("n_rows"))
+    upto = Window.partitionBy(*by).orderBy(F.asc_nulls_first("size")).rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.select(*by, "size", "n_rows", F.sum(known).over(upto).alias("upto"), F.sum(known).over(Window.partitionBy(*by)).alias("known"))
+
+    def at(share: str) -> Column:
+        return F.min(F.when(F.col("upto") >= F.ceil(F.col("known") * F.lit(Decimal(share))), F.col("size")))
+
+    return running.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), *[at(share).alias(name) for name, share in quantiles.items()])
+
+
 def length_histogram(rows: DataFrame, text: str, by: str, bin_width: int = 500) -> DataFrame:
     return rows.groupBy(by, F.floor(F.length(text) / F.lit(bin_width)).cast("bigint").alias("bin")).agg(
         F.count(F.lit(1)).alias("n_rows")

@@ -4,6 +4,7 @@ import json
 import os
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,6 +261,20 @@ def test_sketches_merge_within_their_error(spark):
     assert C.merged_sketches(C.length_sketches(rows.limit(0), "t", ["source", "day"]), ["source"]).count() == 0
 
 
+def test_length_quantiles_of_large_groups_are_exact(spark, tmp_path):
+    from corpusloom.plans import corpus_queries as Q
+    from corpusloom.plans.registry import ORACLES
+    from tests.compare import compare
+
+    n = 30_000
+    text = F.repeat(F.lit("x"), (F.col("id") * 7919 % 9973).cast("int"))
+    rows = spark.range(n).select(F.when(F.col("id") % 10 > 0, text).alias("text"), F.when(F.col("id") % 3 > 0, "en").alias("lang"), (F.col("id") % 7).cast("string").alias("source"))
+    rows.union(spark.createDataFrame([(None, "fr", None), ("", "de", None)], rows.schema)).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(spark, con, "length_sketch", str(tmp_path), Q.length_sketch, ORACLES["length_sketch"]) is None
+
+
 def test_reserved_tokens():
     tokens = V.fixed.reserved_tokens()
     assert len(tokens) == 36 and tokens[:3] == ["<|endoftext|>", "<|im_start|>", "<|im_end|>"]
