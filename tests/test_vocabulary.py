@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,30 @@ def test_merges_do_not_depend_on_the_sample(spark, sample):
     assert V.train_vocabulary(rows.limit(0), "t", size)[1].count() == 0
 
 
+def test_packed_pieces_merge_like_lists():
+    dice = random.Random(8)
+    pieces = [[dice.randint(0, 3) for _ in range(dice.randint(1, 9))] for _ in range(60)]
+    freqs = [dice.randint(1, 5) for _ in pieces]
+    batch = pa.RecordBatch.from_arrays([pa.array(pieces, pa.list_(pa.int32())), pa.array(freqs, pa.int64())], names=["symbols", "freq"])
+    held = MG.Flat.of_table(MG.Flat.of_pieces(iter([batch.slice(0, 20), batch.slice(20)])).rows())
+
+    def counted():
+        return Counter(p for s, n in zip(pieces, freqs) for p in zip(s, s[1:]) for _ in range(n))
+
+    for merge in ((0, 0, 4), (1, 2, 5), (4, 4, 6), (5, 1, 5), (3, 3, 7), (9, 9, 10)):
+        before = counted()
+        for i, old in enumerate(pieces):
+            made = []
+            while old:
+                joined = tuple(old[:2]) == merge[:2]
+                made, old = [*made, merge[2] if joined else old[0]], old[2 if joined else 1 :]
+            pieces[i] = made
+        after = counted()
+        assert MG._by_pair(*held.apply(merge)) == {p: after[p] - before[p] for p in before | after if after[p] != before[p]}
+    packed = [s for s in held.symbols.tolist()]
+    assert packed[:1] == [-1] and [x for x in packed if x >= 0] == [x for s in pieces for x in s]
+
+
 def test_tables_are_written_anew_without_change(spark, monkeypatch):
     rows = spark.createDataFrame([(f"{a}{b}{a}c",) for a in "abcdefgh" for b in "abcdefgh"], "t string")
     size = len(V.base_vocabulary(spark)[0].collect()) + 40
