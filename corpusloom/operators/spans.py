@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed
 from corpusloom.functions.bind import let
+from corpusloom.functions.lists import row_bounds
 from corpusloom.operators.vocabulary import Encoder
 
 OPENER = f"{fixed.START}assistant\n"
@@ -57,9 +59,13 @@ def token_ends(ids: Column, encoder: Encoder) -> Column:
     """Where each token ends, in bytes of the text: prefix sums of the tokens' lengths."""
     sizes = encoder.byte_lengths()
 
-    @F.pandas_udf("array<int>")
-    def ends(column: pd.Series) -> pd.Series:
-        return column.map(lambda a: None if a is None else np.cumsum(sizes[np.asarray(a, np.int64)]).astype(np.int32))
+    @F.arrow_udf("array<int>")
+    def ends(column: pa.Array) -> pa.Array:
+        at, tokens = row_bounds(column), column.flatten().to_numpy(zero_copy_only=False)
+        out = np.empty(len(tokens), np.int32)
+        for low, high in zip(at[:-1], at[1:]):
+            np.cumsum(sizes[tokens[low:high]], out=out[low:high])
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(out), mask=column.is_null())
 
     return ends(ids)
 
@@ -67,18 +73,18 @@ def token_ends(ids: Column, encoder: Encoder) -> Column:
 def spans_to_mask(ends: Column, spans: Column) -> Column:
     """1 for tokens that lie in a span whole, else 0: an interval join of the sorted token ends with the sorted spans."""
 
-    @F.pandas_udf("array<int>")
-    def mask(ends: pd.Series, spans: pd.Series) -> pd.Series:
-        def of(stops, found):
-            if stops is None or found is None:
-                return None
-            stops = np.asarray(stops, np.int64)
-            starts = np.concatenate([[0], stops[:-1]]) if len(stops) else stops
-            out = np.zeros(len(stops), np.int32)
-            for s in found:
-                out[np.searchsorted(starts, s["start"]) : np.searchsorted(stops, s["stop"], "right")] = 1
-            return out
-
-        return pd.Series([of(e, s) for e, s in zip(ends, spans)], index=ends.index, dtype=object)
+    @F.arrow_udf("array<int>")
+    def mask(ends: pa.Array, spans: pa.Array) -> pa.Array:
+        at, stops = row_bounds(ends), ends.flatten().to_numpy(zero_copy_only=False)
+        held, found = row_bounds(spans), spans.flatten()
+        first, last = (c.to_numpy(zero_copy_only=False) for c in found.flatten())
+        out = np.zeros(len(stops), np.int32)
+        for low, high, i, j in zip(at[:-1], at[1:], held[:-1], held[1:]):
+            mine = stops[low:high]
+            starts = np.concatenate([[0], mine[:-1]])
+            for a, b in zip(np.searchsorted(starts, first[i:j]), np.searchsorted(mine, last[i:j], "right")):
+                out[low + a : low + b] = 1
+        nulls = pc.or_(ends.is_null(), spans.is_null())
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(out), mask=nulls)
 
     return mask(ends, spans)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.bytepairs import merge_pairs
+from corpusloom.functions.lists import row_bounds, row_runs
 from corpusloom.operators import merges as MG
 from corpusloom.operators import messages as M
 from corpusloom.operators import vocabulary as V
@@ -156,3 +158,33 @@ def test_preference_samples(spark, known):
             ids = padded(known.encode(texts[r.conv_id][side]).ids, 512)
             mask = labelled(known, ids)
             assert [r[f"{c}_{side}_md5"] for c in "xy"] + [r[f"mask_{side}_md5"]] == [md5(ids[:-1]), md5(ids[1:]), md5(mask[1:])]
+
+
+def test_encoding_takes_little_more_memory_than_its_batch():
+    ids = {letter: i + 10 for i, letter in enumerate(V.BYTE_LETTERS)}
+    rows = [[f" w{(i * 7 + k) % 997}" for k in range(300)] for i in range(3000)]
+    column = pa.array([None, [], *rows, []], pa.list_(pa.string()))
+    del rows
+    tracemalloc.start()
+    held, out = pa.total_allocated_bytes(), []
+    for part in V._encode_batches(iter([column, column.slice(0, 0)]), ids, {}):
+        out.append((len(part), len(part.flatten())))
+        del part
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n = sum(len(f" w{(i * 7 + k) % 997}") for i in range(3000) for k in range(300))
+    assert sum(rows for rows, _ in out) == len(column) and sum(tokens for _, tokens in out) == n
+    assert most < 4 * column.nbytes and pa.total_allocated_bytes() <= held  # 900,000 Python strings and arrays alone are more
+
+
+def test_encoding_of_rows_in_runs_and_slices(spark):
+    encoder = V.Encoder(*V.base_vocabulary(spark))
+    texts = ["", None, "ab 日本", "<|im_start|>x", "a" * 5000] * 300
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    got = {r.i: r.ids for r in df.select("i", encoder.encode(F.col("t")).alias("ids")).collect()}
+    start, size = encoder.ids["<|im_start|>"], [len((t or "").encode()) for t in texts]
+    assert [len(got[i]) for i in range(len(texts))] == [2 if (t or "").startswith("<|im") else n for t, n in zip(texts, size)]
+    assert got[3] == [start, encoder.ids["x"]] and bytes(V.BYTE_LETTERS.index(encoder.tokens[i]) for i in got[2]).decode() == "ab 日本"
+    column = pa.array([["a", "b"], None, [], ["c"] * 5, ["d"]], pa.list_(pa.string()))
+    assert [p.to_pylist() for p in row_runs(column, 3)] == [[["a", "b"], None, []], [["c"] * 5], [["d"]]]
+    assert row_bounds(column.slice(1)).tolist() == [0, 0, 0, 5, 6]
