@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.scratch import fresh, keep, new_folder
+from corpusloom.llm.scratch import pieces as slices
 
 GAP = re.compile(r"[\W_]+")
 BASE = 0x9E3779B97F4A7C15  # fixed odd multiplier of the rolling hash
@@ -113,8 +114,8 @@ class Index:
     def hits(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position in the text, pattern, position in the pattern) of every shared q-gram."""
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for low in range(0, len(text), 1 << 20):
-            grams = gram_hashes(_codes(text[low : low + (1 << 20) + self.q - 1]), self.q)
+        for low in range(0, len(text), 1 << 18):
+            grams = gram_hashes(_codes(text[low : low + (1 << 18) + self.q - 1]), self.q)
             at = np.flatnonzero(self.sieve[(grams >> np.uint64(42)).astype(np.int64)])
             slot = np.searchsorted(self.hashes, grams[at])
             real = slot < len(self.hashes)
@@ -134,9 +135,9 @@ class Index:
                 if f" {p} " in f" {t} ":
                     out[n].add(i)
         low = 0
-        while low < len(clean):  # texts are searched together, about a million characters at a time
+        while low < len(clean):  # texts are searched together, about 262,000 characters at a time
             high, size = low, 0
-            while high < len(clean) and (high == low or size + len(clean[high]) <= 1 << 20):
+            while high < len(clean) and (high == low or size + len(clean[high]) <= 1 << 18):
                 size += len(clean[high]) + 1
                 high += 1
             self._search(clean, low, high, out)
@@ -248,7 +249,10 @@ def tag_leaks(
     blocks = max(1, -(-(patterns.agg(F.sum(F.length("p"))).first()[0] or 0) // block))
     rest = [c for c in docs.columns if c.lower() != to.lower()]
     named = fresh(rest, "text_to_search")
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(text).cast("string").alias(named))
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest])
+    if text not in rest or docs.schema[text].dataType != T.StringType():
+        rows = rows.withColumn(named, F.col(text).cast("string"))  # else the text would travel twice
+    text_at = rows.columns.index(named if named in rows.columns else text)
     schema = rows.schema.add(to, T.ArrayType(T.LongType()))
     rows = rows.withColumn(to, F.array().cast("array<bigint>"))
     for number in range(blocks):
@@ -256,8 +260,8 @@ def tag_leaks(
         index = spark.sparkContext.broadcast(Index.of(sorted((r.i, r.p) for r in mine.collect()), q, rate, passage))
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = index.value.leaks(batch.column(batch.num_columns - 2).to_pylist())
+            for batch in slices(batches):
+                found = index.value.leaks(batch.column(text_at).to_pylist())
                 before = batch.column(batch.num_columns - 1).to_pylist()
                 both = [sorted({*a, *b}) for a, b in zip(before, found, strict=True)]
                 columns = [*batch.columns[:-1], pa.array(both, pa.list_(pa.int64()))]

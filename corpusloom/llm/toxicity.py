@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from corpusloom.llm.scratch import draw, fresh, keep, new_folder
+from corpusloom.llm.scratch import draw, fresh, keep, new_folder, pieces
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -92,9 +93,9 @@ class Classifier:
     examples: int = 0
     counterfactuals: int = 0
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        """Probability of label 1 for each text; null and empty texts have the bias alone."""
-        memory: dict[str, tuple[int, ...]] = {}
+    def scores(self, texts: list[str | None], memory: dict[str, tuple[int, ...]] | None = None) -> np.ndarray:
+        """Probability of label 1 for each text; null and empty texts have the bias alone. ``memory`` keeps words between calls."""
+        memory = {} if memory is None else memory
         weights, out = self.weights, np.empty(len(texts))
         for n, text in enumerate(texts):
             hit: set[int] = set()
@@ -214,7 +215,7 @@ def fit(
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in pieces(batches):
             texts, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             made = [example(t, y, terms, memory) for t, y in zip(texts, ys, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -233,7 +234,7 @@ def fit(
             values = np.array(values, np.int64)
             return values[np.isin(values, named)].tolist()
 
-        for batch in batches:
+        for batch in pieces(batches):
             own = pa.array([chosen(c) for c in batch.column(3).to_pylist()], codes)
             swaps = pa.array([[chosen(c) for c in s] for s in batch.column(4).to_pylist()], pa.list_(codes))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], own, swaps], names=batch.schema.names)
@@ -246,16 +247,23 @@ def fit(
     return train(examples, max_features=max_features, **options)
 
 
+def _string(docs: DataFrame, name: str) -> bool:
+    """The column is a string as it is, so it needn't travel a second time as one."""
+    return docs.schema[name].dataType == StringType()
+
+
 def scored(docs: DataFrame, text: str, model: Classifier, score: str = "score") -> DataFrame:
     """``docs`` with a ``score`` column (0 to 1, double), replacing one of that name. One pass, no shuffle."""
     rest = [c for c in docs.columns if c.lower() != score.lower()]
     named = fresh(rest, "text_to_score")
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(text).cast("string").alias(named))
+    rows = docs.select(F.col(text).cast("string").alias(named), *[F.col(f"`{c}`") for c in rest if c != text or not _string(docs, c)])
+    at = [0 if c == text and _string(docs, c) else rows.columns.index(c) for c in rest]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = model.scores(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=[*rest, score])
+        memory: dict[str, tuple[int, ...]] = {}
+        for batch in pieces(batches):
+            values = model.scores(batch.column(0).to_pylist(), memory)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in at), pa.array(values)], names=[*rest, score])
 
-    schema = rows.drop(named).schema.add(score, "double")
+    schema = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add(score, "double")
     return rows.mapInArrow(judge, schema)

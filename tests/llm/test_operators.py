@@ -648,3 +648,20 @@ def test_nothing_learnt_drops_nothing(spark, tmp_path):
         assert corpus_pipeline.without_toxic(spark, docs, folder).count() == 3
     few = [toxicity.example(t, y, toxicity.IDENTITY_TERMS) for t, y in (("a b", 1), ("c d", 0), ("e f", 0), ("g h", 0))]
     assert toxicity.train(few).scores(["any"])[0] < 0.5
+
+
+def test_texts_are_scored_and_searched_a_few_at_a_time(spark):
+    class Watching(toxicity.Classifier):
+        def scores(self, texts, *memory):
+            assert len(texts) <= 256, "a whole batch became Python strings"
+            return super().scores(texts, *memory)
+
+    docs = spark.createDataFrame([(i, None if i % 97 == 0 else f"word{i % 7} two") for i in range(1500)], "n int, text string").coalesce(1)
+    model = Watching(0.0, {toxicity.traits("word3")[0]: 2.0})
+    scored = toxicity.scored(docs, "text", model)
+    assert scored.columns == ["n", "text", "score"]
+    got = {r.n: (r.text, r.score > 0.5) for r in scored.collect()}
+    assert got == {r.n: (r.text, bool(r.text) and "word3" in r.text) for r in docs.collect()}
+    leaks = decontaminate.tag_leaks(docs, spark.createDataFrame([(1, "word3 two")], "item_id int, text string"))
+    assert leaks.columns == ["n", "text", "leaked_items"] and "text_to_search" not in leaks._jdf.queryExecution().optimizedPlan().toString()
+    assert all((r.leaked_items == [1]) == (bool(r.text) and "word3" in r.text) for r in leaks.collect())
