@@ -420,6 +420,26 @@ def test_blocks_of_a_crowded_cell_find_the_same_groups(spark):
         assert {(r.node, r.root) for r in found.collect()} == {(n, 0) for n in range(120)}
 
 
+def test_a_group_of_near_copies_is_reported_once_and_not_by_every_cell(spark, monkeypatch):
+    real, reported = simhash._cell_links, []
+
+    def watched(*given):
+        found = real(*given)
+        reported.append(found.count())
+        return found
+
+    monkeypatch.setattr(simhash, "_cell_links", watched)
+    centre = np.random.Generator(np.random.PCG64(2)).integers(0, 2, 256)
+    rows = []
+    for n in range(200):
+        bits = centre.copy()
+        bits[n] ^= 1
+        rows.append((n, bytearray(np.packbits(bits).tobytes())))
+    found = simhash.near_links(spark.createDataFrame(rows, "low bigint, fp binary"), 30)
+    assert {(r.node, r.root) for r in components.components(found).collect()} == {(n, 0) for n in range(200)}
+    assert len(reported) == 5 and sum(reported[1:]) == 0
+
+
 # 7 -------------------------------------------------------------------------------------------------
 
 
