@@ -440,6 +440,41 @@ def test_a_group_of_near_copies_is_reported_once_and_not_by_every_cell(spark, mo
     assert len(reported) == 5 and sum(reported[1:]) == 0
 
 
+def test_only_the_texts_that_are_compared_are_shuffled(spark):
+    rows = spark.range(-20000, 60000).select(F.col("id").alias("key"), F.col("id").cast("string").alias("text"))
+    wanted = spark.range(-15000, 60000, 11).select(F.col("id").alias("key"))
+    found = simhash.likely(rows, wanted)
+    assert found.columns == ["key", "text"] and found.join(wanted, "key").count() == wanted.count()
+    assert found.count() < 2.6 * wanted.count()
+    assert simhash.likely(rows, wanted.limit(0)).count() == 0
+
+
+def test_sets_of_near_copies_are_shuffled_once(spark, monkeypatch):
+    """The sets lie in buckets: an exact join of some of them finds them dealt out."""
+    real, plans = simhash.dealt, []
+
+    def watched(sets, keys=None, **how):
+        if keys is not None:
+            plans.append(sets.join(keys, "key", "left_semi")._jdf.queryExecution().executedPlan().toString())
+        return real(sets, keys, **how)
+
+    monkeypatch.setattr(simhash, "dealt", watched)
+    dice = random.Random(23)
+    base, texts = sentence(dice, 240).split(), []
+    for changed in (0, 1, 2, 4, 6, 7, 8, 9, 10, 12):
+        words = list(base)
+        for at in dice.sample(range(48), changed):
+            words[5 * at] = "x" + str(dice.random())
+        texts.append(" ".join(words))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        simhash.near_copies(documents(spark, texts), "doc_id", "text")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans and all(p.count("Exchange hashpartitioning") == 1 for p in plans)  # the keys only
+
+
 # 7 -------------------------------------------------------------------------------------------------
 
 
