@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.bytepairs import merge_pairs
-from corpusloom.llm.scratch import fresh, keep, new_folder
+from corpusloom.llm.scratch import fresh, keep, new_folder, pieces as slices
 
 BLOCK_CHARS = 12_000_000  # a block ends with the text that reaches this many characters
 MAX_TOKENS = 1_000_000  # of a table of ranks; above that it isn't sent to the tasks
@@ -103,11 +103,12 @@ def blocks_of(rows: DataFrame, key: str, text: str, pattern: str, groups: int) -
             packed, ends = [], np.cumsum(np.bincount(group, minlength=groups)).tolist()
             for a, b in zip([0, *ends], ends):
                 packed.append(_pack_lists([raw[i] for i in ranked[a:b]]) if a < b else None)
+            del raw, ranked, group
             places = _pack(place[np.frombuffer(order, np.uint32)] if order else np.empty(0, np.uint32))
             columns = [pa.array([keys], pa.list_(shape)), pa.array([counts], pa.list_(pa.int32())), pa.array([packed], pa.list_(pa.binary())), pa.array([places], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["keys", "counts", "words", "places"])
 
-        for batch in batches:
+        for batch in slices(batches):
             shape = batch.schema.field(0).type
             for name, value in zip(batch.column(0), batch.column(1)):
                 value = value.as_py() or ""
@@ -150,6 +151,7 @@ def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = [_unpack_lists(p) for p in packed.as_py() or ()]
             lengths = np.concatenate([n for n, _ in lists] or [np.empty(0, np.int64)]) // 4
             flat = np.frombuffer(b"".join(raw for _, raw in lists), "<i4")
+            del lists
             starts = np.cumsum(lengths) - lengths
             stops = np.concatenate([[0], np.cumsum(counts.values.to_numpy(zero_copy_only=False))])
             for a in range(0, len(stops) - 1, ROWS_OUT):
@@ -178,7 +180,7 @@ def encoded(rows: DataFrame, key: str, text: str, ranks: dict[bytes, int], patte
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, bytes] = {}
         at = None
-        for batch in batches:
+        for batch in slices(batches):
             packed = []
             for group, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if group != at:
@@ -224,25 +226,29 @@ def decoded(rows: DataFrame, ids: str, tokens: DataFrame, out: str = "decoded")
     at = rows.columns.index(ids)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(sent.value, pa.large_binary())
-        for batch in batches:
-            texts = []
-            for value in batch.column(at):
-                text = None
-                if value.is_valid:
-                    numbers = value.values
-                    known = not numbers.null_count and (not len(numbers) or (0 <= pa.compute.min(numbers).as_py() and pa.compute.max(numbers).as_py() < len(table)))
-                    got = table.take(numbers) if known and len(numbers) else None
-                    if got is not None and not got.null_count:
-                        text = _joined(got)
-                    elif known and not len(numbers):
-                        text = b""
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, out])
+        return _looked_up(batches, pa.array(sent.value, pa.large_binary()), at, out)
 
     return rows.mapInArrow(look_up, T.StructType([*rows.schema.fields, T.StructField(out, T.BinaryType())]))
 
 
+def _looked_up(batches: Iterator[pa.RecordBatch], table: pa.LargeBinaryArray, at: int, out: str) -> Iterator[pa.RecordBatch]:
+    """The batches, ``ROWS_OUT`` rows at a time, with the bytes of the ids in column ``at``: neither this worker nor Spark holds the bytes of a whole batch."""
+    for batch in slices(batches, ROWS_OUT):
+        texts = []
+        for value in batch.column(at):
+            text = None
+            if value.is_valid:
+                numbers = value.values
+                known = not numbers.null_count and (not len(numbers) or (0 <= pa.compute.min(numbers).as_py() and pa.compute.max(numbers).as_py() < len(table)))
+                got = table.take(numbers) if known and len(numbers) else None
+                if got is not None and not got.null_count:
+                    text = _joined(got)
+                elif known and not len(numbers):
+                    text = b""
+            texts.append(text)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, out])
+
+
 def _joined(tokens: pa.LargeBinaryArray) -> bytes:
     """All tokens in one: they lie one behind the other already."""
     _, offsets, data = tokens.buffers()

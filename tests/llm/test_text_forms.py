@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import zstandard
@@ -51,6 +52,17 @@ def test_every_kind_of_code_point(ranks, known):
         assert [i for w in pieces.findall(text) for i in bytebpe.word_ids(w.encode(), ranks)] == known.encode_ordinary(text)
 
 
+def test_decoding_holds_the_bytes_of_a_few_rows(ranks):
+    tokens = sorted(ranks.items(), key=lambda x: x[1])
+    assert [n for _, n in tokens] == list(range(len(tokens)))
+    ids = [list(range(k % 50, 300 + k % 50)) for k in range(2000)] + [None, [], [10**8]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2003)), pa.array(ids, pa.list_(pa.int32()))], names=["key", "ids"])
+    found = list(bytebpe._looked_up(iter([batch]), pa.array([w for w, _ in tokens], pa.large_binary()), 1, "decoded"))
+    assert max(b.num_rows for b in found) <= bytebpe.ROWS_OUT and [k for b in found for k in b.column(0).to_pylist()] == list(range(2003))
+    want = [b"".join(tokens[i][0] for i in row) for row in ids[:2000]] + [None, b"", None]
+    assert [t for b in found for t in b.column(2).to_pylist()] == want
+
+
 def test_encoding_odd_rows(spark, ranks, known, monkeypatch):
     monkeypatch.setattr(bytebpe, "BLOCK_CHARS", 500)
     dice = random.Random(3)
