@@ -638,6 +638,32 @@ def test_fuzzy_lines_by_brute_force(spark):
     assert lines.fuzzy_lines(docs.limit(0), "doc_id", "text").count() == 0
 
 
+def test_a_bucket_of_fuzzy_lines_does_not_give_all_its_pairs(spark, monkeypatch):
+    """Families of lines a little below the similarity, and one of near copies: few pairs are compared as texts."""
+    real, tested = lines._verified, []
+
+    def watched(pairs, texts, similarity):
+        tested.append(pairs.count())
+        return real(pairs, texts, similarity)
+
+    monkeypatch.setattr(lines, "_verified", watched)
+    dice, texts = random.Random(31), []
+    for changed, count in ((4, 60), (1, 60)):
+        base = sentence(dice, 40).split()
+        for _ in range(count):
+            words = list(base)
+            for at in dice.sample(range(40), changed):
+                words[at] = f"z{dice.randrange(10**6)}"
+            texts.append(" ".join(words))
+    sets = [shingle_set(t) for t in texts]
+    near = [(a, b) for a in range(120) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    got = {r.key: r.dropped for r in lines.fuzzy_lines(documents(spark, texts), "doc_id", "text").collect()}
+    root = grouped(near, range(120))
+    assert {k for k, d in got.items() if d} <= {k for k in range(120) if root[k] != k}  # nothing below the similarity is dropped
+    assert sum(not got[k] for k in range(60, 120)) == 1
+    assert sum(tested) < 300
+
+
 # 10 ------------------------------------------------------------------------------------------------
 
 
