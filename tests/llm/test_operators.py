@@ -664,6 +664,32 @@ def test_a_bucket_of_fuzzy_lines_does_not_give_all_its_pairs(spark, monkeypatch)
     assert sum(tested) < 300
 
 
+def test_fuzzy_lines_leave_no_shuffles_and_sketches_rule_out_no_near_line(spark, monkeypatch):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    real, before, there = lines.keep, files().size(), []
+
+    def watched(rows, folder):
+        out = real(rows, folder)
+        there.append(files().size() - before)
+        return out
+
+    monkeypatch.setattr(lines, "keep", watched)
+    dice, texts = random.Random(77), ["ab", "abcdefgh", "abcdefghi", "na" * 40, "na" * 60]
+    for _ in range(6):
+        words = sentence(dice, 30).split()
+        texts += [" ".join(words), " ".join(words[:-1] + ["zz"]), " ".join(words[:20]), " ".join(words + words[:12])]
+    docs = documents(spark, texts)
+    assert lines.fuzzy_lines(docs, "doc_id", "text").filter(F.size("dropped") > 0).count() >= 6
+    assert max(there) <= 0
+    named = lines.line_rows(docs, "doc_id", "text").select("h1", "h2", "line").distinct()
+    found = lines.sketches(named).join(named.selectExpr("struct(h1, h2) AS id", "line"), "id")
+    met = found.alias("a").join(found.alias("b"), F.col("a.line") < F.col("b.line"))
+    may = {tuple(r) for r in met.filter(lines.may_be_similar("a", "b", 0.8)).select("a.line", "b.line").collect()}
+    sets = {t: shingle_set(t) for t in texts}
+    near = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert near <= may and len(may) < len(sets) * (len(sets) - 1) / 4
+
+
 # 10 ------------------------------------------------------------------------------------------------
 
 
